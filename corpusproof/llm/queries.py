@@ -16,5 +16,26 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_jaccard_join": op7_jaccard_join}
+def held_out(doc_id: str, parts: int, part: int):
+    """Whether crc32 of the doc_id as text, modulo ``parts``, is ``part``."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part
+
+
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.line_crf import quality_scores
+
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = quality_scores(documents.select("doc_id", "text"), labels.where(~held_out("doc_id", 5, 0)))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from corpusproof.llm.token_files import write_token_files
+
+    return write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).read()
+
+
+QUERIES = {"op1_line_crf": op1_line_crf, "op3_token_files": op3_token_files, "op7_jaccard_join": op7_jaccard_join}
 ORACLES: dict[str, str] = {}
