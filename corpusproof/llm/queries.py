@@ -37,5 +37,32 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).read()
 
 
-QUERIES = {"op1_line_crf": op1_line_crf, "op3_token_files": op3_token_files, "op7_jaccard_join": op7_jaccard_join}
+def op2_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.log_bilinear import lm_scores
+
+    scored = lm_scores(_table(spark, sf_dir, "documents"), ~held_out("doc_id", 7, 2))
+    return scored.select("doc_id", held_out("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op8_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.outliers import judged
+
+    return judged(_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.repeated_windows import remove_repeated_windows
+
+    cut = remove_repeated_windows(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    "op1_line_crf": op1_line_crf,
+    "op2_log_bilinear": op2_log_bilinear,
+    "op3_token_files": op3_token_files,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_outliers": op8_outliers,
+    "op9_repeated_windows": op9_repeated_windows,
+}
 ORACLES: dict[str, str] = {}
