@@ -12,6 +12,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder's URI; also makes it Spark's checkpoint folder where none is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -31,8 +34,16 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df``, computed once, stored as Parquet in the shared folder and read again."""
+    """The rows of ``df``, computed once, stored as Parquet in the shared folder and read again.
+
+    Shuffle files of the write go as soon as it ends: nothing reads them again.
+    """
     spark = df.sparkSession
     path = new_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
