@@ -6,9 +6,57 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusproof.llm.decontaminate import without_contamination
+from corpusproof.llm.jaccard_join import jaccard_components
+from corpusproof.llm.line_crf import quality_scores
+from corpusproof.llm.mixing import label_domains, mixed
+from corpusproof.llm.queries import TARGETS
 from corpusproof.llm.scratch import written
+from corpusproof.llm.token_files import write_token_files
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose line field marginals average to 0.3 or more; the model is fitted on all labels."""
+    scored = quality_scores(docs, _table(spark, sf_dir, "labels"))
+    return scored.where("quality_score >= 0.3").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates (three-word shingles, 0.9)."""
+    groups = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(groups, "doc_id", "left_anti")
+    return kept.select(*docs.columns)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window that links with a benchmark item."""
+    return without_contamination(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their rates say."""
+    return mixed(docs, label_domains(_table(spark, sf_dir, "labels")), TARGETS)
+
+
+def to_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the documents, read back: doc_id, start, n_tokens and ids_crc32 of each."""
+    import public_tokenizers
+
+    return write_token_files(docs, public_tokenizers.path("word_bpe_49k.json")).read()
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", good_quality),
+    ("near_duplicates", one_of_each_group),
+    ("decontaminate", no_benchmark),
+    ("mix", to_targets),
+    ("tokens", to_token_files),
+]
+#: SQL can express neither the line field nor the classifier of the mix.
 ORACLE_SQL: str | None = None
 
 

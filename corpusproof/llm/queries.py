@@ -57,12 +57,52 @@ def op9_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+# fixed values: the host and path rules that go before the mined ones
+HOST_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+# weights of the domains in the mix
+TARGETS = {"clean": 0.93, "poor": 0.04, "toxic": 0.03}
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are labelled through the row of ``labels`` with their id: blocked are those of poor quality or toxic."""
+    from corpusproof.llm.url_rules import judge_urls
+
+    pages, labels = _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels")
+    blocked = ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked")
+    labelled = pages.join(labels, pages["page_id"] == labels["doc_id"]).select("url", blocked)
+    return judge_urls(pages.select("page_id", "url"), labelled, HOST_RULES).select("page_id", "host", "path", "rule", "verdict", "mined")
+
+
+def op5_license_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.licenses import license_matches
+
+    return license_matches(_table(spark, sf_dir, "documents"))
+
+
+def op6_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.mixing import document_rates, label_domains
+
+    documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    rated = document_rates(documents.select("doc_id", "text"), label_domains(labels), TARGETS)
+    return rated.select("doc_id", "n_words", "domain", F.round("posterior", 6).alias("posterior"), F.round("rate", 6).alias("rate"))
+
+
+def op10_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.decontaminate import contaminations
+
+    return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_line_crf": op1_line_crf,
     "op2_log_bilinear": op2_log_bilinear,
     "op3_token_files": op3_token_files,
+    "op4_url_rules": op4_url_rules,
+    "op5_license_sentences": op5_license_sentences,
+    "op6_soft_mixing": op6_soft_mixing,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_outliers": op8_outliers,
     "op9_repeated_windows": op9_repeated_windows,
+    "op10_simhash_windows": op10_simhash_windows,
 }
 ORACLES: dict[str, str] = {}
