@@ -172,7 +172,11 @@ def ungrounded(blocks: DataFrame, pages: DataFrame, by: list[str] = ("area", "bl
     """
     by = list(by)
     told = blocks.select(*by, F.array_distinct(page_citations(F.col("block"))).alias("cites"), specifics(F.col("block")).alias("s")).where(F.size("cites") > 0)
-    kinds = F.flatten(F.array(*(F.transform(F.col(f"s.{k}"), lambda v, k=k: F.struct(F.lit(k).alias("kind"), v.alias("value"))) for k in ("numbers", "acronyms", "names", "quotes"))))
+
+    def of_kind(kind: str) -> Column:
+        return F.transform(F.col(f"s.{kind}"), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    kinds = F.flatten(F.array(*map(of_kind, ("numbers", "acronyms", "names", "quotes"))))
     claims = told.select(*by, "cites", F.explode(kinds).alias("c")).select(*by, "cites", "c.kind", "c.value")
     pairs = claims.select(*by, "kind", "value", F.explode("cites").alias("page_id")).join(page_forms(pages), "page_id", "left")
     in_page = F.when(F.col("kind") == "numbers", F.array_contains("numbers", F.col("value"))).when(F.col("kind") == "quotes", F.col("form").contains(quote_form(F.col("value")))).otherwise(F.col("form").contains(F.lower("value")) | F.col("form").contains(quote_form(F.col("value"))))
