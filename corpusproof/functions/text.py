@@ -283,7 +283,7 @@ def ticket_text(summary: Column, description: Column, criteria: Column, comments
 def commit_records(log: Column) -> Column:
     """array of (hash, message) from records split by U+001E with fields split by U+001F."""
     records = F.filter(F.split(text_of(log), "\u001e"), lambda r: F.trim(r) != "")
-    return F.transform(records, lambda r: F.struct(F.trim(F.substring_index(r, "\u001f", 1)).alias("hash"), F.when(r.contains("\u001f"), F.regexp_replace(r, "(?s)^[^\u001f]*\u001f", "")).otherwise(F.lit("")).alias("message")))
+    return F.transform(records, lambda r: F.struct(F.btrim(F.substring_index(r, "\u001f", 1), F.lit(" \n\r\t")).alias("hash"), F.when(r.contains("\u001f"), F.regexp_replace(r, "(?s)^[^\u001f]*\u001f", "")).otherwise(F.lit("")).alias("message")))
 
 
 def node_id(name: Column) -> Column:
