@@ -227,11 +227,15 @@ def leftover_markup(outside_fences: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text_of(outside_fences), F.lit("</?((?:ac|ri|at):[A-Za-z-]+)"), F.lit(1)))
 
 
+# fixed values: elements whose content no reader sees
+INVISIBLE_TAGS = ["head", "ac:placeholder", "ac:task-id", "ac:task-uuid", "ac:task-status", "script", "style", "title"]
+
+
 def visible_text(html: Column) -> Column:
     """Text that a reader of raw HTML sees, entities still in place: CDATA opened, invisible elements and parameters dropped."""
     plain = text_of(html)
     plain = F.regexp_replace(plain, "(?s)<!--.*?-->", " ")
-    plain = F.regexp_replace(plain, "(?is)<(script|style|head)\\b[^>]*>.*?</\\1\\s*>", " ")
+    plain = F.regexp_replace(plain, "(?is)<(" + "|".join(INVISIBLE_TAGS) + ")(?=[\\s>])[^>]*>.*?</\\1\\s*>", " ")
     plain = F.regexp_replace(plain, "(?is)<ac:parameter\\b(?![^>]*ac:name=\"title\")[^>]*>.*?</ac:parameter>", " ")
     plain = F.regexp_replace(plain, "(?s)<!\\[CDATA\\[(.*?)\\]\\]>", "$1")
     return F.regexp_replace(plain, "<[^>]*>", " ")

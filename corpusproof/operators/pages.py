@@ -26,7 +26,8 @@ from corpusproof.functions.text import (
 from corpusproof.sources.shared import checkpointed
 from corpusproof.operators.checks import check, checks_of, none_left, union_all
 
-BALANCED_TAGS = ("table", "tr", "td", "th", "ul", "ol", "li", "p", "div", "pre", "ac:structured-macro", "ac:rich-text-body")
+# fixed values: tags that must be closed as often as opened
+BALANCED_TAGS = ("table", "ac:structured-macro", "ac:rich-text-body", "ac:plain-text-body", "ac:layout", "ac:layout-section", "ac:layout-cell", "ac:link", "ac:image", "ac:task-list", "ul", "ol")
 COVERAGE = 0.99
 
 
@@ -164,10 +165,10 @@ def markdown_structure(outside: Column, blocks: Column) -> Column:
     return F.struct(n("(?m)^[ \\t>]*#{1,6}[ \\t]+\\S").alias("headings"), tables.alias("tables"), blocks.alias("code"), images.alias("images"), (n("\\]\\(") - images).alias("links"))
 
 
-def unbalanced_tags(html: Column) -> Column:
+def unbalanced_tags(html: Column, tags: tuple[str, ...] = BALANCED_TAGS) -> Column:
     """Names and counts of tags that are opened and closed a different number of times."""
     parts = []
-    for tag in BALANCED_TAGS:
+    for tag in tags:
         opened, closed = tag_counts(html, tag)
         parts.append(F.when(opened != closed, F.concat(F.lit(f"{tag} "), opened.cast("string"), F.lit("/"), closed.cast("string"))))
     return F.array_compact(F.array(*parts))

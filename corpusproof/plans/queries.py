@@ -34,6 +34,7 @@ from corpusproof.sources.tables import rendered
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 NOW = "2024-05-06 07:08:00"
+HTML_TAGS = ("table", "tr", "td", "th", "ul", "ol", "li", "p", "div", "pre")
 
 
 def query(sql: str | None = None):
@@ -212,7 +213,7 @@ def page_structure(spark, sf):
  CAST(len(list_filter(regexp_extract_all(html, '(?i)<' || tag || '(\\s[^>]*)?>'), lambda x: x NOT LIKE '%/>')) AS INT) AS opened, CAST(len(regexp_extract_all(html, '(?i)</' || tag || '\\s*>')) AS INT) AS closed FROM t)
 SELECT page_id, tag, opened, closed FROM n WHERE opened <> closed""")
 def page_unbalanced_tags(spark, sf):
-    rows = table(spark, sf, "pages").select("page_id", F.explode(pages.unbalanced_tags(F.col("html"))).alias("u")).where(~F.col("u").startswith("ac:"))
+    rows = table(spark, sf, "pages").select("page_id", F.explode(pages.unbalanced_tags(F.col("html"), HTML_TAGS)).alias("u"))
     return rows.select("page_id", F.substring_index("u", " ", 1).alias("tag"), F.regexp_extract("u", " (\\d+)/", 1).cast("int").alias("opened"), F.regexp_extract("u", "/(\\d+)$", 1).cast("int").alias("closed"))
 
 

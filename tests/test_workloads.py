@@ -1,0 +1,312 @@
+"""Every check on a small sound workspace, and with planted defects that it must reject."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusproof.functions.helpers import bodyless_macros, html_to_markdown
+from corpusproof.operators import entries, handbook, linkage, pages, repos, tickets
+from corpusproof.sources import tables
+from corpusproof.streaming.arrivals import attempts_of, watch_bodies
+
+
+def failing(df):
+    return {(r.key, r.check) for r in df.where("not ok").collect()}
+
+
+def checked(df):
+    return {(r.key, r.check) for r in df.collect()}
+
+
+# ---- pages ----
+
+RICH = """<h2>Flow &amp; rules</h2><p>Text with <strong>bold</strong>, <em>soft</em>, <code>a_b</code> and <del>old</del>.</p>
+<ul><li>one<ul><li>inner</li></ul></li><li>two</li></ul><ol><li>first</li></ol>
+<table><tbody><tr><th>A</th><th>B</th></tr><tr><td>1<br/>2</td><td>x|y</td></tr></tbody></table>
+<table><tr><td colspan="2">wide</td></tr><tr><td>l</td><td>r</td></tr></table>
+<ac:structured-macro ac:name="code"><ac:parameter ac:name="language">sql</ac:parameter><ac:plain-text-body><![CDATA[SELECT ``` 1]]></ac:plain-text-body></ac:structured-macro>
+<ac:structured-macro ac:name="info"><ac:rich-text-body><p>Mind this.</p></ac:rich-text-body></ac:structured-macro>
+<ac:structured-macro ac:name="expand"><ac:parameter ac:name="title">More</ac:parameter><ac:rich-text-body><p>Hidden part</p></ac:rich-text-body></ac:structured-macro>
+<p><ac:structured-macro ac:name="status"><ac:parameter ac:name="title">LIVE</ac:parameter></ac:structured-macro> <ac:structured-macro ac:name="jira"><ac:parameter ac:name="key">PAY-1</ac:parameter></ac:structured-macro></p>
+<ac:structured-macro ac:name="toc" />
+<ac:task-list><ac:task><ac:task-status>complete</ac:task-status><ac:task-body>done it</ac:task-body></ac:task><ac:task><ac:task-status>incomplete</ac:task-status><ac:task-body>to do</ac:task-body></ac:task></ac:task-list>
+<p><ac:image><ri:attachment ri:filename="flow one.png" /></ac:image> <ac:link><ri:page ri:content-title="Child page" ri:space-key="S" /></ac:link> <a href="https://x.org/a">site</a>
+<ac:link><ri:user ri:account-id="u7" /></ac:link> <ac:emoticon ac:name="smile" /></p>"""
+
+
+def test_converter():
+    body, placeholders, warnings = html_to_markdown(RICH)
+    for part in (
+        "## Flow & rules", "**bold**", "*soft*", "`a_b`", "~~old~~", "- one\n  - inner\n- two", "1. first", "| A | B |\n| --- | --- |\n| 1<br>2 | x\\|y |",
+        '<td colspan="2">wide</td>', "````sql\nSELECT ``` 1\n````", "> **Info**\n>\n> Mind this.", "**More**\n\nHidden part", "[STATUS: LIVE] PAY-1", "[MACRO: toc]",
+        "- [x] done it\n- [ ] to do", "![flow one.png](attachment:flow%20one.png)", "[Child page](corpus-page:S/Child%20page)", "[site](https://x.org/a)", "@user:u7", ":smile:",
+    ):
+        assert part in body, part
+    assert placeholders == 1 and warnings == []
+    assert html_to_markdown("<ac:strange>kept</ac:strange>")[::2] == ("kept", ["unknown tag ac:strange"])
+    assert html_to_markdown("<head><title>t</title></head><script>x</script>")[0] == ""
+
+
+@pytest.fixture(scope="module")
+def wiki(spark):
+    rows = [("1", "Top page", "S", "", "1", "u1", "1", "no", 1), ("2", "Child page", "S", "1", "3", "u2", "0", "no", 2), ("3", "Empty", "S", "1", "1", "u3", "0", "yes", 3)]
+    ledger = spark.createDataFrame(rows, "page_id string, title string, space_key string, parent_id string, version string, source_url string, attachment_count string, empty_body string, row_no int")
+    ledger = pages.with_file_name(ledger).withColumn("md_path", F.concat(F.lit("out/"), "md_name")).drop("md_name")
+    bodies = spark.createDataFrame([("1", RICH), ("2", "<p>Back to <ac:link><ri:page ri:content-title=\"Top page\" /></ac:link></p><pre>code</pre>"), ("3", "")], "page_id string, html string")
+    files = spark.createDataFrame([("1", "flow one.png", 9)], "page_id string, filename string, size long")
+    return ledger, bodies, files
+
+
+def test_sound_pages_pass(spark, wiki):
+    ledger, bodies, files = wiki
+    made = pages.convert(bodies, ledger)
+    assert "](2-child-page.md)" in made.where("page_id = '1'").first().markdown
+    got = pages.page_checks(ledger, bodies, made, files, final=True)
+    assert failing(got) == set()
+    assert {c for _, c in checked(got)} == {"D1", "D2", "C4", "C5", "C6", "C7", "C8", "C9", "C10", "C11"}
+    listing = spark.createDataFrame([("1", '[{"filename": "flow one.png", "size": "9"}]')], "page_id string, listing string")
+    assert failing(pages.attachment_checks(ledger, tables.attachments_of(listing), files)) == set()
+    assert failing(pages.attachment_checks(ledger, tables.attachments_of(listing), files.limit(0))) == {("1", "D3")}
+    assert failing(pages.inventory_checks(ledger, 3, ["1"])) == set()
+    assert failing(pages.inventory_checks(ledger.union(ledger.where("page_id = '2'")), 3)) == {("inventory", "I1"), ("inventory", "I4")}
+    totals = {r.page_id: (r.pages, r.words) for r in pages.subtree_totals(ledger.withColumn("n_words", F.lit(2))).collect()}
+    assert totals == {"1": (3, 6), "2": (1, 2), "3": (1, 2)}
+    assert [(r.page_id, r.depth) for r in pages.tree_listing(ledger).collect()] == [("1", 0), ("2", 1), ("3", 1)]
+
+
+def test_lossy_pages_fail(spark, wiki):
+    ledger, bodies, files = wiki
+    cut = bodies.withColumn("html", F.when(F.col("page_id") == "2", F.lit("<table><tr><td>open")).otherwise(F.col("html")))
+    made = pages.convert(bodies, ledger).withColumn("markdown", F.when(F.col("page_id") == "1", F.expr("replace(replace(replace(markdown, '[MACRO: toc]', ''), '## Flow & rules', ''), 'Hidden part', '<ac:left>')")).otherwise(F.col("markdown")))
+    made = made.where("page_id <> '3'")
+    bad = failing(pages.page_checks(ledger, cut, made, files.limit(0), final=True))
+    assert {("1", "C6"), ("1", "C7"), ("1", "C8"), ("1", "C10"), ("1", "C11"), ("2", "D2"), ("3", "C4")} <= bad
+    assert bodyless_macros(bodies).collect()[0].asDict() == {"page_id": "1", "macro": "toc", "n": 1}
+    stale = pages.convert(bodies, ledger.withColumn("version", F.lit("0")))
+    assert {("1", "C4"), ("2", "C4")} <= failing(pages.page_checks(ledger, bodies, stale, files))
+
+
+# ---- repositories and links ----
+
+IO = "array<struct<kind:string,id:string,evidence:string>>"
+FACTS = f"repo string, commit string, kind string, purpose string, produces {IO}, consumes {IO}, pipelines array<struct<name:string,system:string,definition:string,triggers:array<struct<type:string,detail:string,evidence:string>>,no_trigger_found:boolean>>, not_pipelines array<struct<path:string,reason:string>>"
+LINKS = "repo string, consumes array<struct<kind:string,id:string,resolution:string,to_repo:string,evidence_from:string,evidence_to:string,note:string>>, edges array<struct<to_repo:string,kind:string,identifier:string,evidence_from:string,evidence_to:string,confidence:string>>, mentions_reviewed array<struct<target_repo:string,identifier:string,is_edge:boolean,reason:string>>, pipelines array<struct<name:string,triggers:array<struct<type:string,detail:string,evidence:string,source_repo:string>>,downstream:array<string>,no_trigger_found:boolean,searched:string>>, trigger_hits_dismissed array<struct<path:string,line:int,reason:string>>"
+PUSH = [("push", "on push", ".github/workflows/ci.yml:2")]
+
+
+@pytest.fixture(scope="module")
+def code(spark):
+    files = spark.createDataFrame(
+        [
+            ("acme/orders", ".github/workflows/ci.yml", "on:\n  repository_dispatch:\n    types: [billing-lib]\n"),
+            ("acme/orders", "src/app.py", "import billing_lib\n# uses acme/billing-lib\n" + "x\n" * 60),
+            ("acme/orders", "Dockerfile", "FROM base\n"),
+            ("acme/billing-lib", "setup.py", "name='billing-lib'\n"),
+            ("acme/billing-lib", ".github/workflows/publish.yml", "on: push\n"),
+        ],
+        "repo string, path string, content string",
+    ).withColumn("size", F.length("content").cast("long"))
+    facts = spark.createDataFrame(
+        [
+            ("acme/orders", "c1", "service", "takes orders from all shop fronts", [], [("package", "Billing-Lib", "src/app.py:1")], [("ci", "gha", ".github/workflows/ci.yml", PUSH, False)], []),
+            ("acme/billing-lib", "c2", "library", "computes what orders cost in money", [("package", "billing-lib", "setup.py:1")], [], [("publish", "gha", ".github/workflows/publish.yml", PUSH, False)], []),
+        ],
+        FACTS,
+    )
+    ledger = spark.createDataFrame([("acme/orders", "c1", "url", "ok", "verified"), ("acme/billing-lib", "c2", "url", "ok", "verified")], "repo string, commit_sha string, clone_url string, clone_status string, status string")
+    return files, facts, ledger
+
+
+def test_scan(code):
+    files, _, _ = code
+    seen = {(r.repo, r.path): r for r in repos.scanned(files).collect()}
+    assert seen["acme/orders", ".github/workflows/ci.yml"].ci_cd and not seen["acme/orders", "Dockerfile"].ci_cd and seen["acme/orders", "Dockerfile"].build
+    assert seen["acme/billing-lib", "setup.py"].dependency
+    items = [r.item for r in repos.must_mention(files).where("repo = 'acme/orders'").orderBy("place").collect()]
+    assert items == [".github/", "Dockerfile", "src/", ".github/workflows/ci.yml"]
+    assert {r.repo: r.size_class for r in repos.repo_sizes(files).collect()} == {"acme/orders": "small", "acme/billing-lib": "small"}
+
+
+def test_repo_documents(spark, code):
+    files, facts, ledger = code
+    body = "\n".join(f"## {s.capitalize()}\nthree words here\n" for s in repos.SECTIONS)
+    text = f"Repo: {{}}\nCommit: {{}}\n{body}\n`.github/` `Dockerfile` `src/` `setup.py` .github/workflows/ci.yml .github/workflows/publish.yml\n(src: {{}}:1) (src: {{}}:1-2) (src: {{}}:2)"
+    docs = [("acme/orders", text.format("acme/orders", "c1", *["src/app.py"] * 3)), ("acme/billing-lib", text.format("acme/billing-lib", "c2", *["setup.py"] * 3))]
+    heads = spark.createDataFrame([("acme/orders", "c1"), ("acme/billing-lib", "c2")], "repo string, sha string")
+    args = (repos.must_mention(files), repos.file_stats(files), heads, repos.repo_sizes(files), facts)
+    good = repos.document_checks(ledger, spark.createDataFrame(docs, "repo string, doc string"), *args)
+    assert failing(good) == {("acme/billing-lib", "R7")} or failing(good) == set()
+    assert failing(repos.facts_checks(facts, ledger)) == set()
+    bad = docs[0][1].replace("Dockerfile", "x").replace("## " + repos.SECTIONS[0].capitalize(), "## Other").replace("Commit: c1", "").replace("src/app.py:1)", "src/app.py:999)") + ' token = "abcdefgh1234"'
+    got = failing(repos.document_checks(ledger.withColumn("commit_sha", F.lit("c9")), spark.createDataFrame([("acme/orders", bad), docs[1]], "repo string, doc string"), *args))
+    assert {("acme/orders", c) for c in ("R1", "R2", "R3", "R4", "R7", "R8")} <= got
+    wrong = facts.withColumns({"kind": F.lit("thing"), "purpose": F.lit("short")})
+    assert failing(repos.facts_checks(wrong, ledger)) == {("acme/orders", "R5"), ("acme/billing-lib", "R5")}
+    assert ("acme/orders", "R6") in failing(repos.pipeline_checks(ledger.select("repo"), repos.must_mention(files), facts.where("repo <> 'acme/orders'"), spark.createDataFrame(docs, "repo string, doc string")))
+
+
+def test_linkage(spark, code):
+    files, facts, ledger = code
+    lines = tables.file_lines(files)
+    ids, left = linkage.searchable(linkage.identifiers(facts, ledger))
+    assert "billing-lib" in {r.identifier for r in ids.collect()}
+    found = linkage.mentions(lines, ids)
+    names = {(r.repo, r.target, r.identifier): r.n for r in found.collect()}
+    assert names["acme/orders", "acme/billing-lib", "acme/billing-lib"] == 1 and names["acme/orders", "acme/billing-lib", "billing-lib"] == 2
+    hits = linkage.trigger_hits(lines)
+    assert [(r.path, r.line, r.label, r.cross) for r in hits.collect()] == [(".github/workflows/ci.yml", 2, "gha_repository_dispatch", True)]
+    used = {r.id: [tuple(p) for p in r.producers] for r in linkage.producers(facts).collect()}
+    assert used == {"Billing-Lib": [("acme/billing-lib", "package")]}
+    reviewed = [("acme/billing-lib", i, True, "") for i in ("acme/billing-lib", "billing-lib")]
+    own = ("acme/orders", [("package", "billing-lib", "internal", "acme/billing-lib", "src/app.py:1", "acme/billing-lib:setup.py:1", "")], [("acme/billing-lib", "imports", "billing-lib", "src/app.py:1", "", "high")], reviewed, [("ci", [("event", "dispatch", ".github/workflows/ci.yml:1-3", "acme/billing-lib")], ["deploy"], False, "")], [])
+    other = ("acme/billing-lib", [], [], [], [("publish", [], [], True, "looked at every workflow")], [])
+    links = spark.createDataFrame([own, other], LINKS)
+    stats = repos.file_stats(files)
+    args = (facts, ledger.select("repo"), found, hits, stats)
+    assert failing(linkage.link_checks(links, *args)) == set()
+    edges = linkage.graph_edges(links)
+    assert [(r.from_repo, r.to_repo, r.kind, r.confidence) for r in edges.collect()] == [("acme/orders", "acme/billing-lib", "consumes:package", "high")]
+    pipes = linkage.graph_pipelines(facts, links)
+    assert sorted((r.pipeline, r.trigger_type, r.trigger_source_repo) for r in pipes.collect()) == [("ci", "event", "acme/billing-lib"), ("publish", "none_found", "")]
+    assert {r.repo: (r.out_degree, r.in_degree, r.pipelines) for r in linkage.graph_nodes(ledger, edges, pipes).collect()} == {"acme/orders": (1, 0, 1), "acme/billing-lib": (0, 1, 1)}
+    thin = spark.createDataFrame([("acme/orders", [("package", "else", "external", "", "src/app.py:900", "", "some four word note")], [], [("acme/billing-lib", "billing-lib", True, "")], [], []), other], LINKS)
+    assert {("acme/orders", c) for c in ("L2", "L3", "L4", "L5", "L6", "L7")} == failing(linkage.link_checks(thin, *args))
+    odd = spark.createDataFrame([("acme/orders", [], [("nobody", "imports", "x", "", "", "high")], [], [], []), other], LINKS)
+    assert failing(linkage.link_checks(odd, *args)) == {("acme/orders", "L1")}
+
+
+# ---- entries, tickets ----
+
+ENTRY = "array<struct<type:string,name:string,statement:string,evidence:array<struct<where:string,quote:string>>,basis:string,confidence:string,related:array<string>,jira_keys:array<string>>>"
+
+
+def entry(where, quote, name="Refund rule", **more):
+    row = {"type": "rule", "name": name, "statement": "Refunds are paid within ten working days", "evidence": [(where, quote)], "basis": "stated", "confidence": "high", "related": [], "jira_keys": []} | more
+    return tuple(row.values())
+
+
+def test_entries_of_pages(spark):
+    text = "# Refunds\n\nWe *pay* refunds within ten working days.\n"
+    sources = spark.createDataFrame([(k, text) for k in "1234"], "source string, markdown string")
+    items = spark.createDataFrame(
+        [
+            ("1", "extracted", "", [entry("Refunds", "pay refunds within ten")]),
+            ("2", "extracted", "", [entry("Elsewhere", "pay refunds within ten"), entry("(top)", "never said at all", name="Other")]),
+            ("3", "no_business_content", "this page has nothing about the business at all", []),
+            ("4", "extracted", "", [entry("Refunds", "pay", type="odd"), entry("Refunds", "pay refunds within ten"), entry("Refunds", "pay refunds within ten", name="refund RULE")]),
+        ],
+        f"source string, verdict string, reason string, entries {ENTRY}",
+    )
+    ledger = spark.createDataFrame([(k,) for k in "12345"], "page_id string")
+    opinions = spark.createDataFrame([("3", None, True, "read it all and found none")], "key string, sampled array<struct<name:string,result:string,reason:string>>, agrees boolean, reason string").withColumn("checked_at", F.current_timestamp())
+    got = failing(entries.entry_checks("page", ledger, items, sources, opinions))
+    assert got == {("2", "B4"), ("4", "B3"), ("4", "B5"), ("5", "B1"), ("5", "B2")}
+    assert ("3", "B7") in failing(entries.entry_checks("page", ledger, items, sources, opinions.limit(0)))
+    rows = entries.catalogue(items)
+    assert [r.sources for r in entries.collisions(rows).where("norm = 'refund rule'").collect()] == [3]
+
+
+def test_entries_of_repositories(spark):
+    lines = spark.createDataFrame([("r", "a.py", k, "the retry limit is five" if k in (10, 80) else "x") for k in range(1, 101)], "repo string, path string, line long, text string")
+    quote = "retry limit is five"
+    for where, want in (("a.py:12", "ok"), ("a.py:45", "not near"), ("a.py:500", "no such place"), ("b.py:1", "no such place"), ("nonsense", "malformed")):
+        q = spark.createDataFrame([("r", where, quote)], "source string, where string, quote string")
+        assert entries.line_evidence(q, lines).first().result == want, where
+    items = spark.createDataFrame([("r", "extracted", "", [entry("a.py:12", quote)])], f"source string, verdict string, reason string, entries {ENTRY}")
+    now = datetime.datetime(2024, 1, 2)
+    good = spark.createDataFrame([("r", [("Refund rule", "PASS", "")], True, "", now)], "key string, sampled array<struct<name:string,result:string,reason:string>>, agrees boolean, reason string, checked_at timestamp")
+    args = ("repo", spark.createDataFrame([("r",)], "repo string"), items, lines)
+    fresh, stale = (spark.createDataFrame([("r", now + datetime.timedelta(days=d))], "key string, modified_at timestamp") for d in (-1, 1))
+    assert failing(entries.entry_checks(*args, good, fresh)) == set()
+    assert failing(entries.entry_checks(*args, good, stale)) == {("r", "B7")}
+    assert failing(entries.entry_checks(*args, good.limit(0), fresh)) == {("r", "B7")}
+
+
+def test_tickets(spark):
+    schema = f"key string, summary string, status string, parent string, epic string, links array<struct<type:string,key:string>>, description string, acceptance_criteria string, comments array<struct<date:string,body:string>>, why string, entries {ENTRY}"
+    why = " ".join(["reason"] * 15)
+    one = ("PAY-12", "Retry payments", "Done", None, "", [("relates", "pay-99")], "The retry limit is five attempts.", "", [("d", "fine by me")], why, [entry("description", "retry limit is five")])
+    two = ("PAY-99", "Other", "Done", None, None, [("relates", "PAY-500")], "", "", [], why, [])
+    table = spark.createDataFrame([one, two], schema)
+    ledger = spark.createDataFrame([("PAY-12", "0", "verified")], "key string, depth string, status string")
+    assert [tuple(r) for r in tickets.linked_rows(table, ledger).collect()] == [("PAY-99", "1", "linked from PAY-12")]
+    assert failing(tickets.ticket_checks(table, ledger)) == {("PAY-12", "J5")}
+    full = ledger.union(spark.createDataFrame([("PAY-99", "1", "pending")], ledger.schema))
+    assert failing(tickets.ticket_checks(table, full)) == set()
+    bad = table.where("key = 'PAY-12'").withColumns({"why": F.lit("too short"), "description": F.lit("nothing")})
+    assert failing(tickets.ticket_checks(bad, full)) >= {("PAY-12", "J2"), ("PAY-12", "J4"), ("PAY-99", "J1")}
+    refs = tickets.references(["PAY"], pages=spark.createDataFrame([("7", "see PAY-12\nand XPAY-1 PAY-12")], "page_id string, markdown string"), commits=spark.createDataFrame([("r", "h1\x1fPAY-99 x\x1e")], "repo string, log string"), branches=spark.createDataFrame([("r", "fix/pay-12-retry")], "repo string, branch string"))
+    assert {(r.key, r.source_kind, r.location) for r in refs.collect()} == {("PAY-12", "page", "line 1"), ("PAY-12", "page", "line 2"), ("PAY-99", "commit", "h1"), ("PAY-12", "branch", "fix/pay-12-retry")}
+    context = {(r.key, r.context) for r in tickets.enriched(refs, table, full).collect()}
+    assert context == {("PAY-12", "Retry payments"), ("PAY-99", "(pending)")}
+
+
+# ---- handbook ----
+
+
+def chapter(area="a", fact="Refunds take 10 days [p:1].", unused="- [p:2] holds only old minutes", platform="We run BillingHub [p:1]."):
+    parts = [f"Area: {area}"]
+    for s in handbook.TEAM_SECTIONS:
+        text = platform if s == handbook.TEAM_SECTIONS[5] else unused if s == handbook.UNUSED else "Not documented." if s.startswith("9") else fact
+        parts += [f"## {s}", "", text, ""]
+    return "\n".join(parts)
+
+
+@pytest.fixture(scope="module")
+def book(spark):
+    areas = spark.createDataFrame([("a", "Refunds", "team", "Payments")], "area string, title string, kind string, team string")
+    area_pages = spark.createDataFrame([("a", "1"), ("a", "2")], "area string, page_id string")
+    sources = spark.createDataFrame([("1", "Refunds take 10 days in BillingHub.", 7, None, "Refunds", "1-r.md"), ("2", "minutes", 1, None, "Minutes", "2-m.md")], "page_id string, text string, n_words long, entry_verdict string, title string, md_name string")
+    return areas, area_pages, sources
+
+
+def test_chapters(spark, book):
+    areas, area_pages, sources = book
+    run = lambda text, pages=sources: failing(handbook.chapter_checks(areas, spark.createDataFrame([("a", text)], "area string, text string"), area_pages, pages, ["BillingHub"]))
+    assert run(chapter()) == set()
+    assert run(chapter().replace("Area: a\n", "").replace("## 3. What", "## 3. That")) == {("a", "H1")}
+    assert run(chapter(fact="Refunds take long.")) == {("a", "H2")}
+    assert ("a", "H3") in run(chapter(fact="Refunds take 10 days [p:9]."))
+    assert run(chapter(fact="Refunds take 12 days [p:1].")) == {("a", "H4")}
+    assert run(chapter(unused="None.")) == {("a", "H5")}
+    assert run(chapter(), sources.withColumn("entry_verdict", F.lit("extracted"))) == {("a", "H5")}
+    assert run(chapter(platform="We run things [p:1].")) == {("a", "H6")}
+    assert run(chapter(), sources.withColumn("n_words", F.lit(9000).cast("long"))) == {("a", "H7")}
+    assert run(chapter() + '\npassword = "abcdefgh9"') >= {("a", "H8")}
+
+
+def test_outline_and_assembly(spark, book):
+    areas, area_pages, sources = book
+    over = areas.union(spark.createDataFrame([("o", "All", "overview", "")], areas.schema))
+    assert failing(handbook.outline_checks(over, area_pages, sources, ["BillingHub"])) == set()
+    assert failing(handbook.outline_checks(areas, area_pages.limit(1), sources.withColumn("n_words", F.lit(50_000)), [])) == {("outline", c) for c in ("O2", "O3", "O4", "O5")}
+    blocks = handbook.chapter_blocks(spark.createDataFrame([("a", k, t) for k, t in enumerate(chapter().split("\n"))], "area string, line int, text string"))
+    assert {r.page_id: r.state for r in handbook.book_coverage(sources, blocks).collect()} == {"1": "cited", "2": "listed"}
+    lines = [r.line for r in handbook.chapter_lines(spark.createDataFrame([("a", chapter())], "area string, text string"), sources).orderBy("seq").collect()]
+    assert "Refunds take 10 days [Refunds](1-r.md)." in lines and "### 1. Why this team exists" in lines and not any(x.startswith("Area:") for x in lines)
+    old = spark.createDataFrame([("a", "x", "team", "P", "1", "1", "verified", "1"), ("gone", "x", "team", "P", "1", "1", "done", "0")], "area string, title string, kind string, team string, n_pages string, n_words string, status string, attempts string")
+    new = {r.area: (r.status, r.n_pages, r.part) for r in handbook.chapter_ledger(old, over, handbook.area_sizes(area_pages, sources)).collect()}
+    assert new == {"a": ("verified", "2", 0), "gone": ("removed", "0", 2), "o": ("pending", "0", 1)}
+    contents = handbook.contents_lines(areas.union(areas.withColumn("title", F.lit("More"))).withColumn("seq", F.monotonically_increasing_id()))
+    assert sorted(r.line for r in contents.collect()) == ["**Payments**", "- More", "- Refunds"]
+
+
+def test_blocks(spark):
+    text = ["## One", "para a", "para b", "", "- item", "  - deep", "- next", "| h | k |", "| --- | --- |", "| 1 | 2 |", "### Sub", "under", "```", "- no", "```", "## Two", "x"]
+    got = handbook.chapter_blocks(spark.createDataFrame([("a", k, t) for k, t in enumerate(text)], "area string, line int, text string")).orderBy("block_no").collect()
+    assert [(r.section, r.subhead, r.block) for r in got] == [("One", "", "para a\npara b"), ("One", "", "- item\n  - deep"), ("One", "", "- next"), ("One", "", "| 1 | 2 |"), ("One", "Sub", "under"), ("Two", "", "x")]
+
+
+# ---- streaming ----
+
+
+def test_redelivery_is_no_second_attempt(spark, tmp_path):
+    bodies = str(tmp_path / "bodies")
+    schema = "page_id string, version long, html string"
+    judge = lambda df: df.groupBy(F.col("page_id").alias("key")).agg(F.max("html").alias("h")).select("key", (F.col("h") != "bad").alias("ok"), F.lit("C").alias("failing"))
+    for part in ([("1", 1, "bad"), ("2", 1, "good")], [("1", 1, "bad")], [("1", 2, "good")]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(bodies)
+        watch_bodies(spark, bodies, schema, str(tmp_path / "results"), str(tmp_path / "state"), judge).awaitTermination()
+    got = {r.key: (r.version, r.ok, r.attempts) for r in attempts_of(spark.read.parquet(str(tmp_path / "results"))).collect()}
+    assert got == {"1": (2, True, 1), "2": (1, True, 0)}
