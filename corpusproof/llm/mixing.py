@@ -71,8 +71,8 @@ def _rate(gradients: list[list[float]], most: float) -> Column:
     return rate
 
 
-def document_rates(documents: DataFrame, labelled: DataFrame, targets: dict[str, float], total: float | None = None, sample: int = SAMPLE, most: float = MOST) -> DataFrame:
-    """All columns of ``documents`` with n_words, domain (likeliest), posterior (its probability) and rate.
+def _rated(documents: DataFrame, labelled: DataFrame, targets: dict[str, float], total: float | None = None, sample: int = SAMPLE, most: float = MOST) -> DataFrame:
+    """All columns of ``documents``, and _mix: struct of n_words, domain (likeliest), posterior (its probability), rate.
 
     ``targets`` are the domains' weights (any positive scale; a domain that is left out has weight 0) of ``total`` words,
     by default as many as the documents have.  Rates lie between 0 and ``most``.  A domain without a single expected
@@ -102,10 +102,16 @@ def document_rates(documents: DataFrame, labelled: DataFrame, targets: dict[str,
         reached = moved
     best = F.array_max("p")
     named = F.array(*map(F.lit, domains))[(F.array_position("p", best) - 1).cast("int")]
-    rated = rows.select("key", "tie", F.col("n_words"), named.alias("domain"), best.alias("posterior"), _rate(gradients, most).alias("rate")).dropDuplicates(["key", "tie"])
-    own = [c for c in documents.columns if c not in ("n_words", "domain", "posterior", "rate", "key", "tie")]
-    keyed = row_key(documents.select(*own))
-    return keyed.join(rated, ["key", "tie"]).select(*own, "n_words", "domain", "posterior", "rate")
+    found = F.struct("n_words", named.alias("domain"), best.alias("posterior"), _rate(gradients, most).alias("rate"))
+    rated = rows.select(F.col("key").alias("_key"), F.col("tie").alias("_tie"), found.alias("_mix")).dropDuplicates(["_key", "_tie"])
+    keyed = documents.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_tie": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return keyed.join(rated, ["_key", "_tie"]).select(*documents.columns, "_mix")
+
+
+def document_rates(documents: DataFrame, labelled: DataFrame, targets: dict[str, float], total: float | None = None, sample: int = SAMPLE, most: float = MOST) -> DataFrame:
+    """All columns of ``documents`` with n_words, domain, posterior and rate, as ``_rated`` finds them; own columns of these names are replaced."""
+    own = [c for c in documents.columns if c not in ("n_words", "domain", "posterior", "rate")]
+    return _rated(documents, labelled, targets, total, sample, most).select(*own, "_mix.*")
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -116,7 +122,8 @@ def label_domains(labels: DataFrame) -> DataFrame:
 
 def mixed(documents: DataFrame, labelled: DataFrame, targets: dict[str, float], total: float | None = None) -> DataFrame:
     """``documents`` with each row as often as its rate says: its whole part, and once more if a hash of the row falls below the rest."""
-    rated = document_rates(documents, labelled, targets, total)
+    rated = _rated(documents, labelled, targets, total)
     draw = F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("text")), F.lit(1_000_003)) / 1_000_003
-    copies = (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
+    rate = F.col("_mix.rate")
+    copies = (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("int")
     return rated.withColumn("_copies", F.explode(F.array_repeat(F.lit(1), copies))).select(*documents.columns)
