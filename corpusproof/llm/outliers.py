@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusproof.llm.native import small
 from corpusproof.llm.scratch import written
 from corpusproof.llm.textbytes import chunks, ngrams
 
@@ -29,6 +30,8 @@ STEPS = 3
 LEAST = 60
 #: Squared distance beyond which a text is rejected: the 0.99999 quantile of chi-square with five degrees of freedom.
 CUTOFF = 30.9
+#: Groups up to which their estimates are broadcast (about 300 bytes each), so that a large group stays spread over tasks.
+GROUPS = 20_000
 _MEDIAN = 4.351  # chi-square median, five degrees of freedom
 #: Statistics: log mean word length, log symbol share, upper-case share, repeated-line share, repeated-word share.
 FLOOR = (0.08, 0.15, 0.03, 0.20, 0.15)
@@ -100,12 +103,13 @@ def _vector() -> list:
 def _pooled(rows: DataFrame) -> DataFrame:
     """Add ``pool``: the group whose estimate judges a row; null where too few rows are left for any."""
     groups = rows.groupBy("lang", "source").agg(F.count("*").alias("m"))
-    small = F.col("m") < LEAST
-    of_lang = groups.where(small).groupBy("lang").agg(F.sum("m").alias("m_lang"))
+    few = F.col("m") < LEAST
+    of_lang = groups.where(few).groupBy("lang").agg(F.sum("m").alias("m_lang"))
     rest = of_lang.where(F.col("m_lang") < LEAST).agg(F.coalesce(F.sum("m_lang"), F.lit(0)).alias("m_rest"))
     named = groups.join(of_lang, "lang", "left").crossJoin(F.broadcast(rest))  # one row
-    pool = F.when(~small, F.to_json(F.array("lang", "source"))).when(F.col("m_lang") >= LEAST, F.to_json(F.array("lang"))).when(F.col("m_rest") >= LEAST, F.lit("[]"))
-    return rows.join(named.select("lang", "source", pool.alias("pool")), ["lang", "source"])
+    pool = F.when(~few, F.to_json(F.array("lang", "source"))).when(F.col("m_lang") >= LEAST, F.to_json(F.array("lang"))).when(F.col("m_rest") >= LEAST, F.lit("[]"))
+    pools = written(named.select("lang", "source", pool.alias("pool")), "pools")
+    return rows.join(small(pools, GROUPS), ["lang", "source"])
 
 
 def _inverses(moments: DataFrame) -> DataFrame:
@@ -126,7 +130,7 @@ def _inverses(moments: DataFrame) -> DataFrame:
 
 def _distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """Add d2, the squared Mahalanobis distance of x under the row's estimate."""
-    joined = rows.join(estimates, ["pool", "start"])
+    joined = rows.join(small(estimates, GROUPS), ["pool", "start"])
     gap = [F.col("x")[i] - F.col("centre")[i] for i in range(_P)]
     d2 = sum((gap[i] * gap[j] * F.col("inverse")[_P * i + j] for i in range(_P) for j in range(_P)), F.lit(0.0))
     return joined.select(*rows.columns, d2.alias("d2"))
@@ -146,7 +150,7 @@ def judged(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     fit = written(fit.where("pool is not null"), "fit")
 
     robust = fit.groupBy("pool").agg(*(F.percentile_approx(F.col("x")[i], 0.5, 1000).alias(f"m{i}") for i in range(_P)))
-    spread = fit.join(robust, "pool").groupBy("pool").agg(*(F.first(f"m{i}").alias(f"m{i}") for i in range(_P)), *(F.percentile_approx(F.abs(F.col("x")[i] - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i in range(_P)))
+    spread = fit.join(small(written(robust, "medians"), GROUPS), "pool").groupBy("pool").agg(*(F.first(f"m{i}").alias(f"m{i}") for i in range(_P)), *(F.percentile_approx(F.abs(F.col("x")[i] - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i in range(_P)))
     diagonal = lambda scale: F.array(*(1 / F.greatest(scale(i) * scale(i), F.lit(FLOOR[i] ** 2)) if i == j else F.lit(0.0) for i in range(_P) for j in range(_P)))
     centre = F.array(*(F.col(f"m{i}") for i in range(_P)))
     starts = [spread.select("pool", F.lit(k).alias("start"), centre.alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("logdet")) for k, inverse in enumerate([diagonal(lambda i: F.col(f"s{i}") * 1.4826), diagonal(lambda i: F.lit(3 * FLOOR[i]))])]
@@ -155,17 +159,18 @@ def judged(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     for _ in range(STEPS):
         far = _distance(both, estimates)
         limit = far.groupBy("pool", "start").agg(F.percentile_approx("d2", SUPPORT, 1000).alias("limit"))
-        near = far.join(limit, ["pool", "start"]).where("d2 <= limit")
+        near = far.join(small(written(limit, "limits"), GROUPS), ["pool", "start"]).where("d2 <= limit")
         moments = near.groupBy("pool", "start").agg(F.array(*(F.avg(F.col("x")[i]) for i in range(_P))).alias("mean"), F.array(*(F.avg(F.col("x")[i] * F.col("x")[j]) for i in range(_P) for j in range(_P))).alias("square"))
         estimates = written(_inverses(moments), "estimates")
     best = estimates.groupBy("pool").agg(F.min_by(F.struct("start", "centre", "inverse"), F.struct("logdet", "start")).alias("b")).select("pool", "b.*")
+    best = written(best, "best")
     median = _distance(both, best).groupBy("pool").agg(F.percentile_approx("d2", 0.5, 1000).alias("median"))
     final = best.join(median, "pool").select("pool", "start", "centre", "inverse", F.greatest(F.lit(1.0), F.col("median") / _MEDIAN).alias("scale"))
     final = written(final, "estimates")
 
     names = written(fit.select("lang", "source", "pool").distinct(), "pools")
-    named = rows.withColumn("base_failed", failed).withColumn("x", F.array(*_vector())).join(names, ["lang", "source"], "left")
-    joined = named.join(final, "pool", "left")
+    named = rows.withColumn("base_failed", failed).withColumn("x", F.array(*_vector())).join(small(names, GROUPS), ["lang", "source"], "left")
+    joined = named.join(small(final, GROUPS), "pool", "left")
     gap = [F.col("x")[i] - F.col("centre")[i] for i in range(_P)]
     d2 = sum((gap[i] * gap[j] * F.col("inverse")[_P * i + j] for i in range(_P) for j in range(_P)), F.lit(0.0)) / F.col("scale")
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance2") <= cutoff, F.lit(True))
