@@ -121,12 +121,33 @@ def _runs(flags: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin, end - begin + 1
 
 
+def _first_places(h1, h2, key, tie, start) -> tuple[np.ndarray, np.ndarray]:
+    """Among windows by their hashes: (the earliest of each, all later ones); repeats of the same place are in neither."""
+    order = np.lexsort((start, tie, key, h2, h1))
+    same = np.zeros(len(order), bool)
+    same[1:] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
+    head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    moved = (key[order] != key[head]) | (tie[order] != tie[head]) | (start[order] != start[head])
+    return order[~same], order[same & moved]
+
+
 def _super_kmers(rows: DataFrame, window: int, seed: int) -> DataFrame:
-    """Rows (minimiser, key, tie, start, packed) of wanted minimisers; hot ones give a row of (w1, w2) for each window."""
+    """Rows (h, key, tie, start, packed) of wanted minimisers.
+
+    Hot minimisers give instead a row of (h, w2) hashes for each window that is the first of its kind in the task's
+    batch, and (start, n) of the runs of windows that are not: those start earlier in the same batch, and need not travel.
+    """
+
+    names = ["h", "w2", "key", "tie", "start", "n", "packed"]
+
+    def batch_of(h, w2, key, tie, start, n, packed):
+        size = len(h)
+        hashes = lambda a: pa.array(a.view(np.int64)) if a is not None else pa.nulls(size, pa.int64())
+        return pa.RecordBatch.from_arrays([hashes(h), hashes(w2), pa.array(key), pa.array(tie), pa.array(start), pa.array(n) if n is not None else pa.nulls(size, pa.int64()), pa.array(packed, pa.binary()) if packed is not None else pa.nulls(size, pa.binary())], names=names)
 
     def run(batches):
         for batch in batches:
-            lo = 0
+            lo, singles = 0, []
             for chunk in chunks(batch.column(2)):
                 w = Windows(chunk, window, seed)
                 text_of = np.repeat(np.arange(chunk.n), np.diff(w.seed_first))
@@ -145,31 +166,30 @@ def _super_kmers(rows: DataFrame, window: int, seed: int) -> DataFrame:
                 place = begin - w.seed_first[text]
                 word = place + w.first[text]
                 packed = [chunk.data[a:b].tobytes() for a, b in zip(w.start[word], w.end[word + length + window - 2], strict=True)]
+                yield batch_of(w.least[begin], None, keys[text], ties[text], place, None, packed)
                 single = np.flatnonzero(hot)
                 if len(single):
-                    text1 = text_of[single]
-                    start1 = single - w.seed_first[text1]
+                    text = text_of[single]
+                    start = single - w.seed_first[text]
                     w1, w_first = ngrams(w.words, w.first, window)
                     w2, _ = ngrams(w.words ^ np.uint64(0x2545F4914F6CDD1D), w.first, window)
-                    at1 = w_first[text1] + start1
-                else:
-                    text1 = start1 = at1 = np.zeros(0, np.int64)
-                    w1 = w2 = np.zeros(0, np.uint64)
-                none = len(single)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([w.least[begin], w1[at1]]).view(np.int64)),
-                        pa.array(np.concatenate([np.zeros(len(begin), np.uint64), w2[at1]]).view(np.int64), mask=np.arange(len(begin) + none) < len(begin)),
-                        pa.array(np.concatenate([keys[text], keys[text1]])),
-                        pa.array(np.concatenate([ties[text], ties[text1]])),
-                        pa.array(np.concatenate([place, start1])),
-                        pa.array(packed + [None] * none, pa.binary()),
-                    ],
-                    names=["h", "w2", "key", "tie", "start", "packed"],
-                )
+                    at = w_first[text] + start
+                    singles.append((w1[at], w2[at], keys[text], ties[text], start))
                 lo += chunk.n
-
-    return rows.select("key", "tie", "text", "seeds", "hot").mapInArrow(run, "h long, w2 long, key long, tie long, start long, packed binary")
+            if singles:
+                columns = [np.concatenate(c) for c in zip(*singles, strict=True)]
+                first, later = _first_places(*columns)
+                h1, h2, key, tie, start = (c[first] for c in columns)
+                yield batch_of(h1, h2, key, tie, start, None, None)
+                _, _, key, tie, start = (c[later] for c in columns)
+                order = np.lexsort((start, tie, key))
+                key, tie, start = key[order], tie[order], start[order]
+                breaks = np.ones(len(start), bool)
+                breaks[1:] = (key[1:] != key[:-1]) | (tie[1:] != tie[:-1]) | (start[1:] != start[:-1] + 1)
+                begin, length = _runs(np.ones(len(start), bool), breaks)
+                yield batch_of(np.zeros(len(begin), np.uint64), None, key[begin], tie[begin], start[begin], length, None)
+
+    return rows.select("key", "tie", "text", "seeds", "hot").mapInArrow(run, "h long, w2 long, key long, tie long, start long, n long, packed binary")
 
 
 def _bucket_marks(sent: DataFrame, window: int) -> DataFrame:
@@ -257,10 +277,11 @@ def remove_repeated_windows(documents: DataFrame, window: int = WINDOW, seed: in
     buckets = sent.where("packed is not null")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     marks = _bucket_marks(buckets.repartition(parts, "h").sortWithinPartitions("h"), window)
-    single = sent.where("packed is null").select(F.col("h").alias("w1"), "w2", "key", "tie", "start")
+    near = sent.where("n is not null").select("key", "tie", "start", "n")
+    single = sent.where("w2 is not null").select(F.col("h").alias("w1"), "w2", "key", "tie", "start")
     heads = single.groupBy("w1", "w2").agg(F.min(F.struct("key", "tie", "start")).alias("head"), F.count("*").alias("m")).where("m > 1").select("w1", "w2", "head")
     later_single = single.join(heads, ["w1", "w2"]).where("key <> head.key or tie <> head.tie or start <> head.start").select("key", "tie", "start", F.lit(1).cast("long").alias("n"))
-    all_marks = marks.unionByName(later_single).groupBy("key", "tie").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
+    all_marks = marks.unionByName(near).unionByName(later_single).groupBy("key", "tie").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
     verdicts = written(all_marks.unionByName(later.select("key", "tie", F.lit(None).cast("array<struct<start:bigint,n:bigint>>").alias("marks"))).withColumn("marked", F.lit(True)), "marks")
 
     def cut(batches):
