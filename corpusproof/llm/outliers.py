@@ -6,8 +6,10 @@ the quantile of the squared Mahalanobis distances, then mean and covariance of t
 starts are carried along and the one with the smaller determinant is kept.  A text whose squared distance exceeds
 ``CUTOFF`` is rejected.
 
-Scatter has a floor (``FLOOR``, standard deviations in transformed units), so a group in which most texts share a value
-does not reject a text for a small departure from it; distances are scaled down, never up, to the chi-square median.
+Scatter has a floor: measured in units of ``FLOOR`` (standard deviations of the transformed statistics), none of its
+eigenvalues is below 1, so a group in which most texts share a value does not reject a text for a small departure from
+it, and scatter above the floor counts as it is.  At the floor each statistic can reject a text by itself; distances are
+scaled down, never up, to the chi-square median.
 Groups of fewer than ``LEAST`` rows are pooled by language, and these pools, when still small, with each other; a last
 pool that is too small rejects nothing.
 """
@@ -28,13 +30,13 @@ from corpusproof.llm.textbytes import chunks, ngrams
 SUPPORT = 0.75
 STEPS = 3
 LEAST = 60
-#: Squared distance beyond which a text is rejected: the 0.99999 quantile of chi-square with five degrees of freedom.
-CUTOFF = 30.9
+#: Squared distance beyond which a text is rejected: the 0.999 quantile of chi-square with five degrees of freedom.
+CUTOFF = 20.515
 #: Groups up to which their estimates are broadcast (about 300 bytes each), so that a large group stays spread over tasks.
 GROUPS = 20_000
 _MEDIAN = 4.351  # chi-square median, five degrees of freedom
 #: Statistics: log mean word length, log symbol share, upper-case share, repeated-line share, repeated-word share.
-FLOOR = (0.08, 0.15, 0.03, 0.20, 0.15)
+FLOOR = (0.08, 0.15, 0.03, 0.12, 0.12)
 _P = len(FLOOR)
 _SYMBOLS = np.zeros(256, np.int32)
 _SYMBOLS[np.frombuffer(b"#*$%&|<>", np.uint8)] = 1
@@ -112,6 +114,13 @@ def _pooled(rows: DataFrame) -> DataFrame:
     return rows.join(small(pools, GROUPS), ["lang", "source"])
 
 
+def _floored(cov: np.ndarray) -> np.ndarray:
+    """``cov`` with eigenvalues of at least 1 in units of ``FLOOR``."""
+    unit = np.outer(FLOOR, FLOOR)
+    values, vectors = np.linalg.eigh((cov + cov.T) / 2 / unit)
+    return (vectors * np.maximum(values, 1.0)) @ vectors.T * unit
+
+
 def _inverses(moments: DataFrame) -> DataFrame:
     """From (pool, start, mean, square) the centre, inverse scatter and log determinant of each."""
 
@@ -120,8 +129,7 @@ def _inverses(moments: DataFrame) -> DataFrame:
             rows = []
             for pool, start, mean, square in zip(frame["pool"], frame["start"], frame["mean"], frame["square"], strict=True):
                 mean = np.array(mean, float)
-                cov = np.array(square, float).reshape(_P, _P) - np.outer(mean, mean)
-                cov = (cov + cov.T) / 2 + np.diag(np.square(FLOOR))
+                cov = _floored(np.array(square, float).reshape(_P, _P) - np.outer(mean, mean))
                 rows.append((pool, start, mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
             yield pd.DataFrame(rows, columns=["pool", "start", "centre", "inverse", "logdet"])
 

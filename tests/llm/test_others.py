@@ -93,6 +93,28 @@ def test_statistics_and_verdicts(spark, awkward, nothing):
     assert judged(nothing).count() == 0
 
 
+def test_each_statistic_rejects_alone(spark):
+    """No other text of the group has symbols, upper case or repetition, so scatter is at its floor there."""
+    draw = np.random.RandomState(2)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    lines = lambda n: [" ".join(draw.choice(vocabulary, 6)) for _ in range(n)]
+    rows = [(k, "\n".join(lines(20))) for k in range(300)]
+    repeated = lines(4)
+    planted = {
+        "long words": " ".join(w * 2 for w in draw.choice(vocabulary, 120)),
+        "symbols": "\n".join(x + " #" for x in lines(20)),
+        "upper case": "\n".join(x.title() for x in lines(20)),
+        "lines": "\n".join([*lines(20), *["bal dem"] * 20]),
+        "words": " ".join(" ".join(x) for x in [lines(11), repeated, lines(1), repeated, lines(1)]),
+        "a third of lines and words": "\n".join([*lines(14), *repeated[:3], *repeated[:3]]),
+    }
+    table = spark.createDataFrame(rows + [(1000 + k, t) for k, t in enumerate(planted.values())], "doc_id long, text string")
+    got = {r.doc_id: r for r in judged(table).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[k].kept for k in range(300))
+    assert [name for k, name in enumerate(planted) if got[1000 + k].kept] == []
+
+
 # ---- URLs ----
 
 
