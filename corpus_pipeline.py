@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusproof.llm.decontaminate import without_contamination
-from corpusproof.llm.jaccard_join import jaccard_components
+from corpusproof.llm.jaccard_join import one_of_each
 from corpusproof.llm.line_crf import quality_scores
 from corpusproof.llm.mixing import label_domains, mixed
 from corpusproof.llm.queries import TARGETS
@@ -26,10 +26,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates (three-word shingles, 0.9)."""
-    groups = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    """One row of each group of near duplicates (three-word shingles, 0.9), told apart by doc_id and text."""
+    return one_of_each(docs)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

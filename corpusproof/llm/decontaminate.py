@@ -57,6 +57,11 @@ def contaminations(documents: DataFrame, benchmark: DataFrame, similarity: float
     match nothing.  Rows that repeat a doc_id with the same text give their windows once.  Null ids: a document keeps
     its null, an item without an id is passed over.  Other columns are ignored; empty tables give no rows.
     """
+    return _contaminations(documents, benchmark, similarity, radius).drop("key", "tie")
+
+
+def _contaminations(documents: DataFrame, benchmark: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """``contaminations`` with key and tie of the row that a window is in."""
     items = written(benchmark_items(benchmark), "items")
     shingle_rows = items.select("item_id", "size", F.posexplode("shingles").alias("at", "s"))
     weights = written(shingle_rows.groupBy("s").agg((1.0 / F.countDistinct("item_id")).alias("weight")), "weights")
@@ -92,10 +97,12 @@ def contaminations(documents: DataFrame, benchmark: DataFrame, similarity: float
     score = F.col("shared") / (F.col("window_mass") + F.col("item_mass") - F.col("shared"))
     linked = both.join(window_mass, of_window).join(item_mass, "item_id").withColumn("similarity", score).where(F.col("similarity") >= similarity - 1e-9)
     doc_id = F.when(F.col("key") != -(2**63), F.col("key")).alias("doc_id")
-    return linked.select(doc_id, "item_id", F.greatest("start", F.lit(0)).alias("start"), F.col("size").alias("n_words"), F.round("similarity", 6).alias("similarity"), "distance")
+    return linked.select("key", "tie", doc_id, "item_id", F.greatest("start", F.lit(0)).alias("start"), F.col("size").alias("n_words"), F.round("similarity", 6).alias("similarity"), "distance")
 
 
 def without_contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` in which no window links with an item, all columns kept."""
-    hits = contaminations(documents, benchmark).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_hit")).distinct()
-    return documents.join(hits, F.coalesce(documents["doc_id"].cast("long"), F.lit(-(2**63))) == F.col("_hit"), "left_anti")
+    """The rows of ``documents`` in which no window links with an item, all columns kept; each row is judged by its own text."""
+    hits = _contaminations(documents, benchmark, SIMILARITY, RADIUS).select(F.col("key").alias("_key"), F.col("tie").alias("_tie")).distinct()
+    key = F.coalesce(documents["doc_id"].cast("long"), F.lit(-(2**63)))
+    tie = F.xxhash64(F.coalesce(documents["text"].cast("string"), F.lit("")))
+    return documents.join(hits, (key == F.col("_key")) & (tie == F.col("_tie")), "left_anti")

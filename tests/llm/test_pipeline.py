@@ -7,6 +7,25 @@ import corpus_pipeline
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+def test_stages_tell_rows_apart_by_id_and_text(spark, tmp_path):
+    text = lambda name, n=40: " ".join(f"{name}{k}" for k in range(n))
+    spark.createDataFrame([(1, text("item"))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [
+        (None, text("a")), (None, text("a")), (None, text("a") + " more"),  # one stays
+        (None, text("b")), (5, text("b") + " more"),  # that with an id stays
+        (6, text("c")), (7, text("c")), (7, text("d")),  # 7 is a copy of 6 once, its other text stays
+        (8, text("e")), (8, text("e")),
+        (None, text("item")), (9, text("item")), (9, text("f")), (None, None),
+    ]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id or 0, (r.text or " ").split(" ")[0]) for r in kept.collect()))
+    assert found == sorted([(0, "a0"), (5, "b0"), (6, "c0"), (7, "d0"), (8, "e0"), (9, "item0"), (9, "f0"), (0, "")])
+    clean = corpus_pipeline.no_benchmark(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns and clean.count() == len(rows) - 2
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_stages_keep_the_columns_and_whole_results(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
