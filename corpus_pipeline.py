@@ -26,8 +26,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates (three-word shingles, 0.9), told apart by doc_id and text."""
-    return one_of_each(docs)
+    """One row of each group of near duplicates (five-word shingles, 0.8), told apart by doc_id and text."""
+    return one_of_each(docs, k=5, percent=80)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,20 @@ def test_stages_tell_rows_apart_by_id_and_text(spark, tmp_path):
     assert clean.columns == docs.columns and clean.count() == len(rows) - 2
 
 
+def test_near_duplicates_at_five_words_and_eight_tenths(spark):
+    rows = []
+    for k in range(10):
+        own = [f"t{k}x{j}" for j in range(100)]
+        # 15 percent of new words at the end; then one word changed in 50
+        rows += [(10 * k, " ".join(own)), (10 * k + 1, " ".join(own + [f"new{k}x{j}" for j in range(15)]))]
+        rows += [(10 * k + 2, " ".join(w.upper() + "s" if j in (25, 75) else w for j, w in enumerate(own)))]
+        # too far: a third of new words
+        rows += [(10 * k + 3, " ".join(own + [f"far{k}x{j}" for j in range(34)]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert sorted(r.doc_id % 10 for r in kept.collect()) == [0] * 10 + [3] * 10
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_stages_keep_the_columns_and_whole_results(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
