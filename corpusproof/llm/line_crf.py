@@ -5,8 +5,8 @@ and of the lines before and after it; a 2 x 2 table scores neighbouring labels.
 odds, since there are two labels) give each line's marginal, and a document's quality is the mean of the marginals
 weighted by the lines' lengths in bytes.
 
-The model is fitted on the driver from a bounded sample of labelled documents, every line of which takes the label of
-its document.  Texts are scored whole, inside Arrow batches.
+The model is fitted in one task from a bounded sample of labelled documents, every line of which takes the label of
+its document; only its weights come to the driver.  Texts are scored whole, inside Arrow batches.
 """
 
 from __future__ import annotations
@@ -15,13 +15,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusproof.llm.textbytes import Chunk, chunks
 
 #: Upper bound of the labelled documents that the model is fitted on.
 SAMPLE = 4000
+#: Upper bound of their texts' characters in all; a longer text than what is left of it is passed over.
+SAMPLE_CHARS = 24_000_000
 _SHARES = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7])
 _SIZES = np.array([1, 3, 6, 12, 25, 50, 100])
 _LENGTHS = np.array([2.0, 3.0, 4.0, 5.0, 6.5, 8.0, 11.0])
@@ -164,12 +166,26 @@ def fit(texts: pa.Array, labels: np.ndarray, rounds: int = 120, rate: float = 0.
     return LineCrf(state[:-5], state[-5:-1].reshape(2, 2), float(state[-1]))
 
 
-def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[pa.Array, np.ndarray]:
-    """Texts and labels of at most ``sample`` labelled documents, those whose doc_id has the smallest hash."""
+def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(text, quality) of at most ``sample`` labelled documents of ``chars`` characters, those whose doc_id has the smallest hash."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).toArrow()
-    return rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string()), rows["quality"].to_numpy()
+    rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = rows.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "text", "quality").limit(sample)
+    upto = Window.orderBy("h", "doc_id", "text", "quality").rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
+    return rows.withColumn("upto", F.sum(F.length(F.coalesce("text", F.lit("")))).over(upto)).where(F.col("upto") <= chars).select("text", "quality")
+
+
+def fitted(sample: DataFrame) -> LineCrf:
+    """``fit`` in one task over ``sample(text, quality)``."""
+
+    def run(batches):
+        rows = pa.Table.from_batches(list(batches), pa.schema([("text", pa.string()), ("quality", pa.int32())]))
+        model = fit(rows["text"].combine_chunks() if rows.num_rows else pa.array([], pa.string()), rows["quality"].to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tolist()]), pa.array([model.trans.ravel().tolist()]), pa.array([model.begin])], names=["weights", "trans", "begin"])
+
+    found = sample.coalesce(1).mapInArrow(run, "weights array<double>, trans array<double>, begin double").first()
+    return LineCrf(np.array(found["weights"]), np.array(found["trans"]).reshape(2, 2), found["begin"]) if found else fit(pa.array([], pa.string()), np.zeros(0))
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -179,7 +195,7 @@ def quality_scores(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE
     passed over.  Null and empty texts are scored as one empty line.  Without labels of both kinds every score is the
     constant share of label 1.  Repeated rows are scored alike; an empty table gives no rows.
     """
-    model = fit(*labelled_sample(documents, labels, sample))
+    model = fitted(labelled_sample(documents, labels, sample))
     keep = [c for c in documents.columns if c != "quality_score"]
     schema = documents.select(keep).schema.add("quality_score", "double")
 

@@ -29,6 +29,22 @@ def row_key(documents: DataFrame) -> DataFrame:
     return documents.withColumns({"key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "tie": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows; beyond, Spark joins it by a shuffle.  ``df`` is a written table."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def hidden(documents: DataFrame) -> DataFrame:
+    """``documents`` with its columns renamed ``own0``, ``own1``, ... and with the columns of ``row_key``: no own name can clash."""
+    doc_id, text = (f"own{documents.columns.index(c)}" for c in ("doc_id", "text"))
+    renamed = documents.toDF(*(f"own{k}" for k in range(len(documents.columns))))
+    return row_key(renamed.withColumns({"doc_id": F.col(doc_id), "text": F.col(text)})).drop("doc_id", "text")
+
+
+def shown(rows: DataFrame, documents: DataFrame) -> DataFrame:
+    """The columns of ``documents`` again, from rows of ``hidden(documents)``."""
+    return rows.select(*(F.col(f"own{k}").alias(c) for k, c in enumerate(documents.columns)))
+
+
+def small(df: DataFrame, rows: int, size: int = 64 << 20) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows in at most ``size`` bytes; beyond, Spark joins it by a shuffle.
+
+    ``df`` is a written table, or a few columns of one, so that Spark knows the size of its files.
+    """
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if known <= size and df.limit(rows + 1).count() <= rows else df

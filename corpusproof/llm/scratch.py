@@ -1,16 +1,24 @@
 """Where intermediate tables live, and how lineage is cut.
 
 Intermediate results go to the folder that the session names in ``spark.checkpoint.dir``, which every executor of a
-cluster shares.  Only where that setting is absent (tests, a laptop) a folder under ``/tmp`` takes its place.
+cluster shares.  Only where that setting is absent and the master is ``local`` (tests, a laptop) a folder under ``/tmp``
+takes its place; on a cluster its absence is an error.
+
+Intermediate tables stay until the session's work is read from them.  A caller that has stored its result can have
+those made on the way removed: ``with removed(spark): written(...)``.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[list[str]] = []
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -21,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = spark.conf.get("corpusproof.local.dir", None)
         if not named:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             named = "file://" + tempfile.mkdtemp(prefix="corpusproof-", dir="/tmp")
             spark.conf.set("corpusproof.local.dir", named)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -30,7 +40,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder."""
-    return f"{shared_dir(spark)}/corpusproof/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/corpusproof/{name}-{uuid.uuid4().hex[:12]}"
+    for made in _made:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def removed(spark: SparkSession, but: str = "") -> Iterator[None]:
+    """Remove the folders that are made inside the block, at its end, but for those whose name begins with ``but``."""
+    made: list[str] = []
+    _made.append(made)
+    try:
+        yield
+    finally:
+        _made.remove(made)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in made:
+            if not (but and path.rsplit("/", 1)[1].startswith(but)):
+                at = jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(conf).delete(at, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusproof.llm.licenses import SENTENCES, license_matches
 from corpusproof.llm.log_bilinear import lm_scores
-from corpusproof.llm.mixing import document_rates, mixed
+from corpusproof.llm.mixing import document_rates, fit_rates, mixed
 from corpusproof.llm.outliers import judged
 from corpusproof.llm.queries import HOST_RULES
 from corpusproof.llm.url_rules import judge_urls
@@ -179,6 +179,11 @@ def test_totals_meet_targets(spark, two_domains, awkward, nothing):
     assert abs(share - 0.5) < 0.05 and (rated.rate >= 0).all()
     assert abs((rated.n_words * rated.rate).sum() / rated.n_words.sum() - 1) < 0.02
     copies = mixed(docs, labels, {"sea": 0.5, "hill": 0.5}).groupBy("doc_id").count().toPandas().set_index("doc_id")["count"]
+    for targets in ({"sea": 0.2, "hill": 0.8}, {"sea": 9, "hill": 1}):  # a domain may have to grow several times
+        fit = fit_rates(docs, labels, targets)
+        assert max(map(abs, fit.gaps().values())) <= 1e-3, fit
+    missed = fit_rates(docs, labels, {"sea": 0.5, "lake": 0.5})
+    assert missed.domains == ["hill", "sea"] and missed.wanted[0] == 0  # a domain without labels is not in the mix
     both = rated.set_index("doc_id").rate
     assert all(abs(copies.get(d, 0) - r) < 1 for d, r in both.items())
     odd = document_rates(awkward, labels, {"sea": 1.0})

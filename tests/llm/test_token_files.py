@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusproof.llm.token_files import TextEncoder, decode_ranks, encode_ranks, write_token_files
+from corpusproof.llm.token_files import TextEncoder, TokenFiles, _Shards, decode_ranks, encode_ranks, id_table, write_token_files
 
 public = pytest.importorskip("public_tokenizers")
 
@@ -50,6 +50,29 @@ def test_files_give_every_document_back(spark, awkward, nothing, own):
     for r in got:
         assert r.start == start and r.n_tokens == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
         start += r.n_tokens
-    counts = np.bincount([i for _, ids in rows for i in ids], minlength=len(files.id_of))
-    assert (np.diff(counts[files.id_of]) <= 0).all()
+    id_of = id_table(files.folder)
+    counts = np.bincount([i for _, ids in rows for i in ids], minlength=len(id_of))
+    assert (np.diff(counts[id_of]) <= 0).all()
+    again = TokenFiles(spark, files.folder).read(with_ids=True).collect()  # by the folder alone
+    assert sorted(map(str, again)) == sorted(map(str, got))
     assert write_token_files(nothing, public.path("word_bpe_49k.json")).read().count() == 0
+
+
+def test_added_tokens_get_the_ids_of_the_library(own):
+    texts = ["a<|endoftext|>b", "<|EndOfText|> <|endof text|>", "x <|startoftext|><|endoftext|>", "plain", "<|", None]
+    ((ids, first),) = own.encode(pa.array(texts, pa.string()))
+    want = [own.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)] == want
+    assert 49407 in want[0] and 49407 not in want[1] and want[2][1] == 49406
+
+
+def test_a_hot_key_is_dealt_out_by_its_texts_in_order():
+    draw = np.random.RandomState(3)
+    key = np.where(draw.random_sample(20_000) < 0.4, 7, draw.randint(-50, 50, 20_000))
+    tie = draw.randint(-(2**63), 2**63 - 1, 20_000, np.int64)
+    cuts = np.quantile(key, [k / 20 for k in range(1, 20)], method="inverted_cdf").astype(int).tolist()
+    shard = _Shards(cuts).of(key, tie)
+    order = np.lexsort((tie, key))
+    assert (np.diff(shard[order]) >= 0).all()
+    assert np.bincount(shard, minlength=20).max() < 2.5 * 1000
+    assert (_Shards([]).of(key, tie) == 0).all()
