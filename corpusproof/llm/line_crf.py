@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusproof.llm.native import bounded_sample
 from corpusproof.llm.textbytes import Chunk, chunks
 
 #: Upper bound of the labelled documents that the model is fitted on.
@@ -171,9 +172,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")
-    rows = rows.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "text", "quality").limit(sample)
-    upto = Window.orderBy("h", "doc_id", "text", "quality").rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
-    return rows.withColumn("upto", F.sum(F.length(F.coalesce("text", F.lit("")))).over(upto)).where(F.col("upto") <= chars).select("text", "quality")
+    return bounded_sample(rows.withColumn("h", F.xxhash64("doc_id")), ["h", "doc_id", "text", "quality"], sample, chars).select("text", "quality")
 
 
 def fitted(sample: DataFrame) -> LineCrf:

@@ -1,20 +1,22 @@
 """LM scoring: a log-bilinear neural model, trained in numpy with noise-contrastive estimation.
 
-The model predicts the next token's unit from the units of the three tokens before it: the ``HEAD`` most frequent words
-are units of their own, every other word belongs to one of ``GROUPS`` units by its shape (closing punctuation, accents,
-last letter), and the end of a text is a unit.  The prediction vector is the sum of the context units' vectors, each
-weighted componentwise by its place; the score of a unit is its inner product with the unit's output vector plus a
-bias.  Scores of all units come from one matrix product for each batch of tokens, so probabilities are normalised:
+The model predicts the next token's unit from the units of the three tokens before it.  Every word that occurs at least
+``OFTEN`` times in training, up to the ``HEAD`` most frequent ones, is a unit of its own; every other word belongs to one
+of ``GROUPS`` units by its shape (closing punctuation, accents, last letter), and the end of a text is a unit.  Units in
+order of their counts are cut into classes of like size.  The prediction vector is the sum of the context units' vectors,
+each weighted componentwise by its place; the score of a class, and of a unit in its class, is an inner product with
+this vector plus a bias.  Scores of all classes, and of all units of a token's class, come from matrix products over
+batches of tokens, so probabilities are normalised:
 
-    p(word | context) = p(unit | context) * (c + 1) / (sum of (c + 1) over the known words of the unit, + 1 for unknown)
+    p(word | context) = p(class | context) * p(unit | class, context) * (c + 1) / (sum of (c + 1) over the known words of the unit, + 1 for unknown)
 
-where c is the word's training count and the second factor is 1 for head words and the end.  Words never seen in
-training share the one unknown word of their unit.
+where c is the word's training count and the last factor is 1 for units of one word and the end.  Words never seen in
+training share the one unknown word of their unit.  Both levels are trained with noise from their training counts.
 
 Counting covers all training texts: each task merges its own counts before the shuffle.  Training covers all training
-texts too: from a start fitted on a bounded sample every partition trains on its own texts, and parameters are averaged
-by tokens with a grouped sum.  Counts of the ``FREQUENT`` most frequent words are broadcast; all other words of a text
-meet their counts in a join.
+texts too: from a start fitted in one task on a bounded sample every partition trains on its own texts, and parameters
+are averaged by tokens with a grouped sum.  Counts of the ``FREQUENT`` most frequent words are broadcast; all other words
+of a text meet their counts in a join.
 """
 
 from __future__ import annotations
@@ -24,27 +26,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusproof.llm.native import bounded_sample
 from corpusproof.llm.scratch import written
 from corpusproof.llm.textbytes import Chunk, chunks
 
-HEAD = 350
+#: Words with vectors of their own, at most, and the count that a word needs for them.
+HEAD = 16_000
+OFTEN = 50
 CONTEXT = 3
 WIDTH = 16
-NOISE = 64
-BATCH = 8192
+#: Noise drawn for the classes of a batch, and for the units of each class.
+NOISE, UNIT_NOISE = 64, 12
+BATCH = 16_384
 #: Words whose counts every task gets, at most; 16 bytes each.
 FREQUENT = 300_000
-#: Texts of the driver's sample, at most.
-SAMPLE = 1500
+#: Texts, and their characters, of the sample that the start is fitted on, at most.
+SAMPLE, SAMPLE_CHARS = 1500, 8_000_000
 _PLAIN = 26 + 1 + 16  # last letter, anything else, accents
 _MARKS = b".,!&*%$#|"
 _MARKED = 17  # no accent, accents
 GROUPS = _PLAIN + len(_MARKS) * _MARKED
-END = HEAD + GROUPS
-UNITS = END + 1
 _MARK_OF = np.zeros(256, np.int64)
 for _k, _c in enumerate(_MARKS):
     _MARK_OF[_c] = _k + 1
@@ -99,74 +103,148 @@ def word_counts(texts: DataFrame, hold: int = 400_000) -> DataFrame:
 
 @dataclass
 class LogBilinear:
-    """context: vectors of the units as context (one more: before a text), place: weights by distance, out, bias."""
+    """context: vectors of the units as context (one more: before a text), place: weights by distance, class_out and class_bias
+    of the classes, out and bias of the units (unit u is number u % size of class u // size; places without a unit are never likely)."""
 
     context: np.ndarray
     place: np.ndarray
+    class_out: np.ndarray
+    class_bias: np.ndarray
     out: np.ndarray
     bias: np.ndarray
 
     @classmethod
     def start(cls, unit_counts: np.ndarray, seed: int = 7) -> LogBilinear:
-        """Small random vectors and the unigram's log probabilities."""
+        """Small random vectors and the log probabilities of single units."""
         draw = np.random.RandomState(seed)
-        share = (unit_counts + 0.5) / (unit_counts + 0.5).sum()
-        return cls(draw.normal(0, 0.1, (UNITS + 1, WIDTH)).astype(np.float32), np.ones((CONTEXT, WIDTH), np.float32), draw.normal(0, 0.1, (UNITS, WIDTH)).astype(np.float32), np.log(share).astype(np.float32))
+        size, classes = shape_of(len(unit_counts))
+        filled = size * classes
+        mass = np.zeros(filled)
+        mass[: len(unit_counts)] = unit_counts + 0.5
+        whole = mass.reshape(classes, size).sum(1)
+        with np.errstate(divide="ignore"):
+            bias = np.maximum(np.log(mass / np.repeat(whole, size)), -1e4)
+        small = lambda *n: draw.normal(0, 0.1, n).astype(np.float32)
+        return cls(small(len(unit_counts) + 1, WIDTH), np.ones((CONTEXT, WIDTH), np.float32), small(classes, WIDTH), np.log(whole / whole.sum()).astype(np.float32), small(filled, WIDTH), bias.astype(np.float32))
 
     def arrays(self) -> list[np.ndarray]:
-        return [self.context, self.place, self.out, self.bias[:, None]]
+        return [self.context, self.place, self.class_out, self.class_bias[:, None], self.out, self.bias[:, None]]
+
+    @classmethod
+    def of(cls, arrays: list[np.ndarray]) -> LogBilinear:
+        flat = lambda a: np.ascontiguousarray(a[:, 0])
+        return cls(arrays[0], arrays[1], arrays[2], flat(arrays[3]), arrays[4], flat(arrays[5]))
 
     def predict(self, contexts: np.ndarray) -> np.ndarray:
         return sum(self.context[contexts[:, j]] * self.place[j] for j in range(CONTEXT))
 
     def log_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
-        """Normalised natural-log probabilities; one matrix product for each batch."""
-        out = np.empty(len(units), np.float64)
-        table = np.ascontiguousarray(self.out.T)
-        for k in range(0, len(units), 2048):
-            scores = self.predict(contexts[k : k + 2048]) @ table
-            scores += self.bias
-            np.minimum(scores, 80, out=scores)
-            own = scores[np.arange(len(scores)), units[k : k + 2048]]
-            np.exp(scores, out=scores)
-            out[k : k + 2048] = own - np.log(scores.sum(1))
-        return out
+        """Normalised natural-log probabilities, by matrix products over batches."""
+        result = np.empty(len(units), np.float64)
+        size = len(self.out) // len(self.class_out)
+        for k in range(0, len(units), 1 << 16):
+            own = units[k : k + (1 << 16)]
+            q = self.predict(contexts[k : k + (1 << 16)])
+            first, order, edges = by_class(own // size, len(self.class_out))
+            log_p = np.empty(len(own), np.float64)
+            for lo in range(0, len(own), 4096):
+                log_p[lo : lo + 4096] = _own_log_share(q[lo : lo + 4096], self.class_out, self.class_bias, first[lo : lo + 4096])
+            inside, q = np.empty(len(own), np.float64), q[order]
+            slot = (own % size)[order]
+            for c in np.flatnonzero(np.diff(edges)):
+                a, b = edges[c], edges[c + 1]
+                inside[a:b] = _own_log_share(q[a:b], self.out[c * size : (c + 1) * size], self.bias[c * size : (c + 1) * size], slot[a:b])
+            log_p[order] += inside
+            result[k : k + (1 << 16)] = log_p
+        return result
+
+
+def _own_log_share(q: np.ndarray, out: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log softmax of q @ out + bias at each row's own column."""
+    scores = q @ out.T
+    scores += bias
+    np.minimum(scores, 80, out=scores)
+    at = scores[np.arange(len(scores)), own].astype(np.float64)
+    np.exp(scores, out=scores)
+    return at - np.log(scores.sum(1))
+
+
+def shape_of(units: int) -> tuple[int, int]:
+    """(units of a class, classes)."""
+    size = max(1, int(np.ceil(units**0.5)))
+    return size, -(-units // size)
+
+
+def by_class(of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class of each token, order by class, where each class begins in that order)."""
+    order = np.argsort(of.astype(np.uint16), kind="stable")
+    return of, order, np.searchsorted(of[order], np.arange(classes + 1))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Trainer:
-    """Noise-contrastive estimation with AdaGrad; the same noise units serve a whole batch."""
+    """Noise-contrastive estimation with AdaGrad, of classes and of units in their class; the same noise serves a whole batch."""
 
     def __init__(self, model: LogBilinear, unit_counts: np.ndarray, seed: int = 11, rate: float = 0.08):
-        self.model = LogBilinear(*(a.copy() for a in (model.context, model.place, model.out, model.bias)))
-        share = (unit_counts + 0.5) / (unit_counts + 0.5).sum()
-        self.cumulative, self.log_noise = np.cumsum(share), np.log(share * NOISE).astype(np.float32)
+        self.model = LogBilinear.of([a.copy() for a in model.arrays()])
+        self.classes = len(model.class_out)
+        self.size = len(model.out) // self.classes
+        mass = np.zeros(len(model.out))
+        mass[: len(unit_counts)] = unit_counts + 0.5
+        whole = mass.reshape(self.classes, self.size).sum(1)
+        self.class_cumulative, self.log_class_noise = np.cumsum(whole / whole.sum()), np.log(whole / whole.sum() * NOISE).astype(np.float32)
+        inside = np.cumsum((mass.reshape(self.classes, self.size) / whole[:, None]), 1)
+        self.cumulative = (inside + np.arange(self.classes)[:, None]).ravel()  # of class c: from c to c + 1
+        self.log_noise = np.log(np.maximum(mass / np.repeat(whole, self.size), 1e-9) * UNIT_NOISE).astype(np.float32)
         self.draw, self.rate = np.random.RandomState(seed), rate
         self.sums = [np.full_like(a, 1.0) for a in self.model.arrays()]
         self.tokens = 0
 
     def step(self, contexts: np.ndarray, units: np.ndarray) -> None:
-        m, n = self.model, len(units)
-        noise = np.minimum(np.searchsorted(self.cumulative, self.draw.random_sample(NOISE)), UNITS - 1)
+        m = self.model
+        of, order, edges = by_class(units // self.size, self.classes)
+        contexts, units, of = contexts[order], units[order], of[order]
         rows = [m.context[contexts[:, j]] for j in range(CONTEXT)]
         q = sum(r * m.place[j] for j, r in enumerate(rows))
-        out, noise_out = m.out[units], m.out[noise]
-        right = 1 / (1 + np.exp(-np.clip((q * out).sum(1) + m.bias[units] - self.log_noise[units], -30, 30)))
-        wrong = 1 / (1 + np.exp(-np.clip(q @ noise_out.T + m.bias[noise] - self.log_noise[noise], -30, 30)))
-        g = (right - 1).astype(np.float32)
-        wrong = wrong.astype(np.float32)
-        gq = g[:, None] * out + wrong @ noise_out
-        d_context, d_out, d_bias = np.zeros_like(m.context), np.zeros_like(m.out), np.zeros_like(m.bias)
-        d_place = np.stack([(gq * r).sum(0) for r in rows])
+        grads = [np.zeros_like(a) for a in m.arrays()]
+        d_context, d_place, d_class, d_class_bias, d_out, d_bias = grads
+
+        noise = np.minimum(np.searchsorted(self.class_cumulative, self.draw.random_sample(NOISE)), self.classes - 1)
+        own, others = m.class_out[of], m.class_out[noise]
+        g = (_sigmoid((q * own).sum(1) + m.class_bias[of] - self.log_class_noise[of]) - 1).astype(np.float32)
+        wrong = _sigmoid(q @ others.T + m.class_bias[noise] - self.log_class_noise[noise]).astype(np.float32)
+        gq = g[:, None] * own + wrong @ others
+        filled = np.flatnonzero(np.diff(edges))
+        d_class[filled] += np.add.reduceat(g[:, None] * q, edges[filled])
+        d_class_bias[:, 0] += np.bincount(of, g, self.classes)
+        np.add.at(d_class, noise, wrong.T @ q)
+        np.add.at(d_class_bias[:, 0], noise, wrong.sum(0))
+
+        own = m.out[units]
+        g = (_sigmoid((q * own).sum(1) + m.bias[units] - self.log_noise[units]) - 1).astype(np.float32)
+        gq += g[:, None] * own
+        _scatter(d_out, units, g[:, None] * q)
+        d_bias[:, 0] += np.bincount(units, g, len(d_bias))
+        drawn = np.searchsorted(self.cumulative, np.arange(self.classes)[:, None] + self.draw.random_sample((self.classes, UNIT_NOISE)))
+        drawn = np.minimum(drawn, np.arange(1, self.classes + 1)[:, None] * self.size - 1)
+        for c in filled:
+            a, b, noise = edges[c], edges[c + 1], drawn[c]
+            others = m.out[noise]
+            wrong = _sigmoid(q[a:b] @ others.T + (m.bias[noise] - self.log_noise[noise])).astype(np.float32)
+            gq[a:b] += wrong @ others
+            np.add.at(d_out, noise, wrong.T @ q[a:b])
+            np.add.at(d_bias[:, 0], noise, wrong.sum(0))
+
+        d_place += np.stack([(gq * r).sum(0) for r in rows])
         for j in range(CONTEXT):
             _scatter(d_context, contexts[:, j], gq * m.place[j])
-        _scatter(d_out, units, g[:, None] * q)
-        np.add.at(d_out, noise, wrong.T @ q)
-        d_bias += np.bincount(units, g, UNITS).astype(np.float32)
-        np.add.at(d_bias, noise, wrong.sum(0))
-        for a, s, d in zip(m.arrays(), self.sums, (d_context, d_place, d_out, d_bias[:, None]), strict=True):
+        for a, s, d in zip(m.arrays(), self.sums, grads, strict=True):
             s += d * d
             a -= self.rate * d / np.sqrt(s)
-        self.tokens += n
+        self.tokens += len(units)
 
     def run(self, contexts: np.ndarray, units: np.ndarray) -> None:
         for k in range(0, len(units), BATCH):
@@ -183,74 +261,89 @@ def _scatter(into: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
 
 @dataclass
 class Vocabulary:
-    """Head words' hashes (sorted) with their units, and frequent words' hashes (sorted) with their counts."""
-
-    head: np.ndarray
-    head_unit: np.ndarray
-    frequent: np.ndarray
-    frequent_count: np.ndarray
+    """Words' hashes (sorted) with their counts and units (-1: that of their shape), the units of shapes and of the end,
+    and by unit its count and, for shapes, the sum of (c + 1) over its known words and 1 for unknown ones (for others 1)."""
+
+    words: np.ndarray
+    count: np.ndarray
+    unit: np.ndarray
+    group_unit: np.ndarray
+    end: int
     unit_counts: np.ndarray
-    unit_mass: np.ndarray  # of each unit: sum of (c + 1) over its known tail words, and 1 for unknown ones
+    unit_mass: np.ndarray
+
+    def head(self) -> Vocabulary:
+        """Only the words that are units."""
+        own = self.unit >= 0
+        return Vocabulary(self.words[own], self.count[own], self.unit[own], self.group_unit, self.end, self.unit_counts, self.unit_mass)
 
     def units(self, texts: pa.Array) -> Iterator[tuple]:
-        """For each chunk: words' hashes, text_first, and (units, contexts, token_first) with an end after each text."""
+        """For each chunk: words' hashes, their place in ``words`` (-1: none), text_first, and (units, contexts, token_first) with an end after each text."""
         for chunk in chunks(texts):
             low = chunk.lowered()
             start, end, first = low.words()
             words = low.hashes(start, end)
-            unit = HEAD + shapes(low, start, end)
-            if len(self.head):
-                at = np.minimum(np.searchsorted(self.head, words), len(self.head) - 1)
-                unit = np.where(self.head[at] == words, self.head_unit[at], unit)
+            unit = self.group_unit[shapes(low, start, end)]
+            at = np.full(len(words), -1)
+            if len(self.words):
+                near = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+                at = np.where(self.words[near] == words, near, -1)
+                own = np.where(at >= 0, self.unit[near], -1)
+                unit = np.where(own >= 0, own, unit)
             text = np.repeat(np.arange(chunk.n), np.diff(first))
-            tokens = np.full(len(words) + chunk.n, END, np.int64)
+            tokens = np.full(len(words) + chunk.n, self.end, np.int64)
             tokens[np.arange(len(words)) + text] = unit
             token_first = first + np.arange(chunk.n + 1)
-            contexts = np.full((len(tokens), CONTEXT), UNITS, np.int64)
+            contexts = np.full((len(tokens), CONTEXT), len(self.unit_counts), np.int64)
             place = np.arange(len(tokens)) - np.repeat(token_first[:-1], np.diff(token_first))
             for j in range(CONTEXT):
                 contexts[j + 1 :, j] = tokens[: len(tokens) - j - 1]
-                contexts[place <= j, j] = UNITS
-            yield words, first, tokens, contexts, token_first
+                contexts[place <= j, j] = len(self.unit_counts)
+            yield words, at, first, tokens, contexts, token_first
 
 
-def _vocabulary(counts: DataFrame, n_texts: int) -> tuple[Vocabulary, int, int]:
+def _vocabulary(counts: DataFrame, n_texts: int, most: int = HEAD, often: int = OFTEN) -> tuple[Vocabulary, int, int]:
     """The vocabulary, N (tokens with ends) and V (distinct tokens with the end) from the written word counts."""
-    spark_rows = counts.orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
-    h, c = spark_rows["h"].to_numpy().view(np.uint64), spark_rows["c"].to_numpy()
-    shape = spark_rows["shape"].to_numpy()
-    order = np.argsort(h)
-    head = np.argsort(h[:HEAD])
+    frequent = counts.orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
+    h, c, shape = frequent["h"].to_numpy().view(np.uint64), frequent["c"].to_numpy(), frequent["shape"].to_numpy()
     groups = counts.groupBy("shape").agg(F.sum("c").alias("c"), F.count("*").alias("v")).toArrow()  # a row for each group
-    tokens, mass = np.zeros(UNITS), np.zeros(UNITS)
-    at = HEAD + groups["shape"].to_numpy()
+    n_head = min(most, int((c >= often).sum()))
+    tokens, mass = np.zeros(n_head + GROUPS + 1), np.ones(n_head + GROUPS + 1)
+    at = n_head + groups["shape"].to_numpy()
     tokens[at] = groups["c"].to_numpy()
-    mass[at] = groups["c"].to_numpy() + groups["v"].to_numpy()
-    np.subtract.at(tokens, HEAD + shape[:HEAD], c[:HEAD])
-    np.subtract.at(mass, HEAD + shape[:HEAD], c[:HEAD] + 1)
-    tokens[: len(h[:HEAD])] = c[:HEAD]
-    tokens[END] = n_texts
+    mass[at] += groups["c"].to_numpy() + groups["v"].to_numpy()
+    np.subtract.at(tokens, n_head + shape[:n_head], c[:n_head])
+    np.subtract.at(mass, n_head + shape[:n_head], c[:n_head] + 1)
+    tokens[:n_head] = c[:n_head]
+    tokens[-1] = n_texts
+    ranked = np.argsort(-tokens, kind="stable")
+    unit_of = np.empty(len(tokens), np.int64)
+    unit_of[ranked] = np.arange(len(tokens))
+    unit = np.full(len(h), -1)
+    unit[:n_head] = unit_of[:n_head]
+    order = np.argsort(h)
     n = int(groups["c"].to_numpy().sum()) + n_texts
     v = int(groups["v"].to_numpy().sum()) + (n_texts > 0)
-    return Vocabulary(h[:HEAD][head], head, h[order], c[order], tokens, mass + 1), n, v
+    return Vocabulary(h[order], c[order], unit[order], unit_of[n_head:-1], int(unit_of[-1]), tokens[ranked], mass[ranked]), n, v
 
 
-def _averaged(texts: DataFrame, start: LogBilinear, words: Vocabulary) -> LogBilinear:
+def _averaged(texts: DataFrame, start: LogBilinear, words: Vocabulary, rounds: int = 1) -> LogBilinear:
     """Every partition trains from the same start; the mean of their parameters by tokens, from a grouped sum."""
-    small = Vocabulary(words.head, words.head_unit, words.head[:0], words.frequent_count[:0], words.unit_counts, words.unit_mass)
+    head = words.head()
 
     def run(batches):
-        trainer = Trainer(start, small.unit_counts)
-        for batch in batches:
-            for _, _, tokens, contexts, _ in small.units(batch.column(0)):
-                trainer.run(contexts, tokens)
+        trainer = Trainer(start, head.unit_counts)
+        held = list(batches) if rounds > 1 else batches
+        for _ in range(rounds):
+            for batch in held:
+                for _, _, _, tokens, contexts, _ in head.units(batch.column(0)):
+                    trainer.run(contexts, tokens)
         if trainer.tokens:
-            kind, row, value = [], [], []
             for k, a in enumerate(trainer.model.arrays()):
-                kind += [k] * len(a)
-                row += range(len(a))
-                value += (np.pad(a, ((0, 0), (0, WIDTH - a.shape[1]))).astype(np.float64) * trainer.tokens).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(row, pa.int32()), pa.array([float(trainer.tokens)] * len(row)), pa.array(value, pa.list_(pa.float64()))], names=["kind", "row", "weight", "value"])
+                value = np.zeros((len(a), WIDTH), np.float64)
+                value[:, : a.shape[1]] = a.astype(np.float64) * trainer.tokens
+                rows = pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1, dtype=np.int32) * WIDTH), pa.array(value.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), k, np.int32)), pa.array(np.arange(len(a), dtype=np.int32)), pa.array(np.full(len(a), float(trainer.tokens))), rows], names=["kind", "row", "weight", "value"])
 
     sums = texts.select("text").mapInArrow(run, "kind int, row int, weight double, value array<double>").groupBy("kind", "row").agg(F.sum("weight").alias("weight"), *(F.sum(F.col("value")[i]).alias(f"v{i}") for i in range(WIDTH)))
     rows = sums.toArrow()  # a row for each parameter vector
@@ -261,10 +354,10 @@ def _averaged(texts: DataFrame, start: LogBilinear, words: Vocabulary) -> LogBil
     kind, row = rows["kind"].to_numpy(), rows["row"].to_numpy()
     for k, a in enumerate(arrays):
         a[row[kind == k]] = values[kind == k][:, : a.shape[1]]
-    return LogBilinear(arrays[0], arrays[1], arrays[2], np.ascontiguousarray(arrays[3][:, 0]))
+    return LogBilinear.of(arrays)
 
 
-def lm_scores(documents: DataFrame, training) -> DataFrame:
+def lm_scores(documents: DataFrame, training: Column, often: int = OFTEN) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of ``documents(doc_id, text)``.
 
     ``training`` is the condition, on columns of ``documents``, of the rows that are learnt from.  Scores are log10
@@ -276,13 +369,10 @@ def lm_scores(documents: DataFrame, training) -> DataFrame:
     learn = documents.where(training).select(text)
     counts = written(word_counts(learn), "words")
     n_texts = learn.select(F.lit(1)).count()
-    words, n, v = _vocabulary(counts, n_texts)
-    sample = documents.where(training).orderBy(F.xxhash64("doc_id"), "doc_id").select(text).limit(SAMPLE).toArrow()["text"]
-    trainer = Trainer(LogBilinear.start(words.unit_counts), words.unit_counts)
-    for _ in range(3):
-        for _, _, tokens, contexts, _ in words.units(sample):
-            trainer.run(contexts, tokens)
-    model = _averaged(learn, trainer.model, words)
+    words, n, v = _vocabulary(counts, n_texts, often=often)
+    sample = bounded_sample(documents.where(training).select(F.xxhash64("doc_id").alias("h"), "doc_id", text), ["h", "doc_id", "text"], SAMPLE, SAMPLE_CHARS)
+    model = _averaged(sample.coalesce(1), LogBilinear.start(words.unit_counts), words, rounds=3)
+    model = _averaged(learn, model, words)
     shared = documents.sparkSession.sparkContext.broadcast((words, model))
 
     def run(batches):
@@ -291,20 +381,18 @@ def lm_scores(documents: DataFrame, training) -> DataFrame:
         words, model = shared.value
         number = TaskContext.get().partitionId() << 40
         log_mass = np.log(words.unit_mass)
-        log_mass[:HEAD] = log_mass[END] = 0
+        grouped = np.zeros(len(log_mass), bool)
+        grouped[words.group_unit] = True
+        log_counts = np.log(words.count + 1.0)
         for batch in batches:
             lo = 0
-            for hashes, first, tokens, contexts, token_first in words.units(batch.column(1)):
+            for hashes, at, first, tokens, contexts, token_first in words.units(batch.column(1)):
                 k = len(first) - 1
                 logs = np.concatenate([[0], np.cumsum(model.log_probabilities(contexts, tokens) - log_mass[tokens])])
                 unit = np.delete(tokens, token_first[1:] - 1)
-                if len(words.frequent):
-                    at = np.minimum(np.searchsorted(words.frequent, hashes), len(words.frequent) - 1)
-                    found = words.frequent[at] == hashes
-                    log_count = np.where(found, np.log(words.frequent_count[at] + 1.0), 0)
-                else:
-                    found, log_count = np.zeros(len(hashes), bool), np.zeros(len(hashes))
-                tail = np.concatenate([[0], np.cumsum(log_count * (unit >= HEAD))])
+                found = at >= 0
+                log_count = np.where(found, log_counts[at], 0) if len(log_counts) else np.zeros(len(hashes))
+                tail = np.concatenate([[0], np.cumsum(log_count * grouped[unit])])
                 whole = np.concatenate([[0], np.cumsum(log_count)])
                 known = np.concatenate([[0], np.cumsum(found)])
                 span = lambda s, f: s[f[1:]] - s[f[:-1]]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BLANK = " \t\n\x0b\f\r"
@@ -48,3 +48,9 @@ def small(df: DataFrame, rows: int, size: int = 64 << 20) -> DataFrame:
     """
     known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(df) if known <= size and df.limit(rows + 1).count() <= rows else df
+
+
+def bounded_sample(rows: DataFrame, order: list[str], n: int, chars: int) -> DataFrame:
+    """The first ``n`` rows of ``rows`` in this order whose texts have at most ``chars`` characters in all."""
+    upto = F.sum(F.length(F.coalesce("text", F.lit("")))).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))  # over n rows
+    return rows.orderBy(*order).limit(n).withColumn("upto", upto).where(F.col("upto") <= chars).drop("upto")
