@@ -241,6 +241,15 @@ def visible_text(html: Column) -> Column:
     return F.regexp_replace(plain, "<[^>]*>", " ")
 
 
+def escaped_cdata(html: Column) -> Column:
+    """Raw HTML in which the content of each CDATA section is ordinary escaped text, so that code in it is no markup."""
+    pieces = F.split(text_of(html), "<!\\[CDATA\\[")
+    escape = lambda t: F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    closed = lambda p: F.concat(escape(F.substring_index(p, "]]>", 1)), F.regexp_replace(p, "(?s)^.*?\\]\\]>", ""))
+    after = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), lambda p: F.when(p.contains("]]>"), closed(p)).otherwise(F.concat(F.lit("<![CDATA["), p)))
+    return F.when(text_of(html).contains("<![CDATA["), F.concat(F.get(pieces, F.lit(0)), F.array_join(after, ""))).otherwise(text_of(html))
+
+
 def tag_counts(html: Column, tag: str) -> tuple[Column, Column]:
     """(opening, closing) tags; self-closed ones are not counted as open."""
     plain = text_of(html)

@@ -84,10 +84,14 @@ def quotes_of(items: DataFrame) -> DataFrame:
     return items.select("source", F.explode("entries").alias("e")).select("source", F.col("e.name").alias("name"), F.explode("e.evidence").alias("v")).select("source", "name", "v.where", "v.quote")
 
 
+def duplicates(rows: DataFrame) -> DataFrame:
+    """(source, type, name, n) of normalised names that ``rows(source, type, name)`` have twice for one source and type."""
+    return rows.select("source", "type", quote_form(F.col("name")).alias("name")).groupBy("source", "type", "name").agg(F.count("*").alias("n")).where("n > 1")
+
+
 def duplicate_names(items: DataFrame) -> DataFrame:
-    """(source, type, name, n) of normalised names that a source has twice under one type."""
-    rows = items.select("source", F.explode("entries").alias("e")).select("source", "e.type", quote_form(F.col("e.name")).alias("name"))
-    return rows.groupBy("source", "type", "name").agg(F.count("*").alias("n")).where("n > 1")
+    """``duplicates`` among the entries of ``items(source, entries)``."""
+    return duplicates(items.select("source", F.explode("entries").alias("e")).select("source", "e.type", "e.name"))
 
 
 def sample_checks(checks: DataFrame, known: DataFrame, sizes: DataFrame, name: str, least: int, modified: DataFrame | None = None) -> DataFrame:

@@ -111,6 +111,29 @@ def chapter_ledger(old: DataFrame, areas: DataFrame, sizes: DataFrame) -> DataFr
 # ---- chapters ----
 
 
+def outside_fenced_lines(lines: DataFrame, doc: str = "area") -> DataFrame:
+    """(doc, line, text) of the lines outside fenced blocks, fences left out too.
+
+    A fence of three or more back ticks or tildes opens a block, and the next fence of the same character closes it; other
+    fences in between belong to the block.  A block that is not closed runs to the end.  Only a document's fence lines
+    are brought together.
+    """
+    mark = F.regexp_extract("text", "^\\s*(```|~~~)", 1)
+    state = "struct<mark:string,since:bigint,spans:array<struct<lo:bigint,hi:bigint>>>"
+    none = F.struct(F.lit("").alias("mark"), F.lit(0).cast("long").alias("since"), F.array().cast("array<struct<lo:bigint,hi:bigint>>").alias("spans")).cast(state)
+
+    def met(now: Column, x: Column) -> Column:
+        closed = F.struct(F.lit("").alias("mark"), F.lit(0).cast("long").alias("since"), F.concat(now["spans"], F.array(F.struct(now["since"].alias("lo"), x["line"].alias("hi")))).alias("spans")).cast(state)
+        opened = F.struct(x["mark"].alias("mark"), x["line"].alias("since"), now["spans"].alias("spans")).cast(state)
+        return F.when(now["mark"] == "", opened).when(now["mark"] == x["mark"], closed).otherwise(now)
+
+    fences = lines.where(mark != "").groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col("line").cast("long").alias("line"), mark.alias("mark")))).alias("f"))
+    end = F.aggregate("f", none, met)
+    spans = fences.select(doc, end.alias("e")).select(doc, F.when(F.col("e.mark") != "", F.concat("e.spans", F.array(F.struct(F.col("e.since").alias("lo"), F.lit(2**62).alias("hi"))))).otherwise(F.col("e.spans")).alias("_spans"))
+    inside = F.exists("_spans", lambda s: F.col("line").between(s["lo"], s["hi"]))
+    return lines.join(spans, doc, "left").where(~F.coalesce(inside, F.lit(False))).select(doc, "line", "text")
+
+
 def chapter_blocks(lines: DataFrame, doc: str = "area") -> DataFrame:
     """(area, section, subhead, block_no, block) from ``lines(area, line, text)``.
 
@@ -119,11 +142,7 @@ def chapter_blocks(lines: DataFrame, doc: str = "area") -> DataFrame:
     again goes on; sub-headings end with their section.
     """
     order = Window.partitionBy(doc).orderBy("line")
-    fence = F.col("text").rlike("^\\s*(```|~~~)")
-    mark = F.regexp_extract("text", "^\\s*(```|~~~)", 1)
-    # a fence opens or closes by its character alone
-    rows = lines.select(doc, "line", "text", fence.alias("_f"), F.sum(fence.cast("int")).over(order).alias("_n"), mark.alias("_m"))
-    rows = rows.where(~F.col("_f") & (F.col("_n") % 2 == 0))
+    rows = outside_fenced_lines(lines, doc)
     head, sub = F.col("text").rlike("^## +\\S"), F.col("text").rlike("^###+ +\\S")
     table = F.trim("text").startswith("|")
     line = F.col("text").rlike("^\\s*\\|?[\\s:|-]*-{3,}[\\s:|-]*$") & F.col("text").contains("|")

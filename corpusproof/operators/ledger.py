@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from corpusproof.functions.text import squeeze, text_of
+from corpusproof.sources.shared import checkpointed
 from corpusproof.sources.tables import strings
 
 REQUIRED = ("status", "attempts", "notes")
@@ -309,3 +310,16 @@ def top_values(rows: DataFrame, value: str, n: int) -> DataFrame:
 def ordered_within(rows: DataFrame, group: Sequence[str], order: Sequence) -> DataFrame:
     """Add ``place``, 1 for the first row of each group."""
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+
+
+def numbered(rows: DataFrame, order: Sequence[Column], name: str = "place") -> DataFrame:
+    """Add ``name``: the place of each row in the order of all rows, from 1.
+
+    Rows are cut into ranges of the order, numbered inside each range, and moved on by the counts of the ranges before it,
+    so no task sees all rows.  Rows that are equal in the order are numbered in any order.
+    """
+    ranged = checkpointed(rows.withColumns({f"_o{k}": c for k, c in enumerate(order)}).repartitionByRange(*(F.col(f"_o{k}") for k in range(len(order)))).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each range
+    before = counts.select("_range", (F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*(f"_o{k}" for k in range(len(order)))))
+    return ranged.withColumn("_inside", inside).join(F.broadcast(before), "_range").select(*rows.columns, (F.col("_before") + F.col("_inside")).alias(name))

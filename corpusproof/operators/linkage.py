@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusproof.functions.text import field_citation, node_id, text_of, token_parts, word_count
 from corpusproof.operators.checks import check, none_left, union_all
 from corpusproof.operators.repos import suffix_of, unresolved_citations
+from corpusproof.sources.shared import checkpointed
 from corpusproof.sources.tables import walk_order
 
 SHORTEST = 5
@@ -44,8 +45,10 @@ TRIGGERS = [
     ("k8s_cron", False, "^\\s*schedule:\\s*['\"]?[\\d*/,-]+\\s"),
     ("kafka_consumer", True, "@KafkaListener|KafkaConsumer\\(|\\.subscribe\\(\\s*\\[?['\"]"),
 ]
+# fixed values: suffixes of files that can hold triggers
 TRIGGER_SUFFIXES = ["yml", "yaml", "groovy", "py", "tf", "json", "sh", "java", "kt", "ts", "js", "go", "cs", ""]
 RESOLUTIONS = ["internal", "external", "unresolved"]
+# fixed values: kinds of edges
 EDGE_KINDS = ["imports", "calls_api", "triggers", "triggered_by", "reads_data", "writes_data", "uses_image", "uses_workflow", "deploys", "config", "submodule", "publishes_to", "subscribes_to", "other"]
 CONFIDENCE = ["high", "medium", "low"]
 
@@ -79,36 +82,54 @@ def searchable(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     return judged.where("reason is null").drop("reason"), judged.where("reason is not null").select("identifier", "target", "reason")
 
 
-def producers(facts: DataFrame) -> DataFrame:
-    """(repo, kind, id, producers) of everything consumed: who else produces it, ids compared without case."""
-    used = facts.select("repo", F.explode("consumes").alias("c")).select("repo", "c.kind", F.col("c.id").alias("id"))
-    made = facts.select(F.col("repo").alias("producer"), F.explode("produces").alias("p")).select("producer", F.lower("p.id").alias("_id"), F.col("p.kind").alias("made_kind"))
-    found = used.withColumn("_id", F.lower("id")).join(made, "_id").where("producer <> repo").groupBy("repo", "kind", "id").agg(F.sort_array(F.collect_set(F.struct("producer", "made_kind"))).alias("producers"))
+def producers_of(used: DataFrame, made: DataFrame) -> DataFrame:
+    """(repo, kind, id, producers) of everything in ``used(repo, kind, id)``: who else makes it in ``made(repo, kind, id)``, ids compared without case."""
+    makers = made.select(F.col("repo").alias("producer"), F.lower("id").alias("_id"), F.col("kind").alias("made_kind"))
+    found = used.withColumn("_id", F.lower("id")).join(makers, "_id").where("producer <> repo").groupBy("repo", "kind", "id").agg(F.sort_array(F.collect_set(F.struct("producer", "made_kind"))).alias("producers"))
     return used.distinct().join(found, ["repo", "kind", "id"], "left").withColumn("producers", F.coalesce("producers", F.array().cast("array<struct<producer:string,made_kind:string>>")))
 
 
-def mention_rows(lines: DataFrame, ids: DataFrame) -> DataFrame:
-    """(repo, target, identifier, path, line, text): lines of a repository with a token that names another one.
+def producers(facts: DataFrame) -> DataFrame:
+    """``producers_of`` what the facts say is consumed and produced."""
+    return producers_of(*(facts.select("repo", F.explode(side).alias("x")).select("repo", "x.kind", "x.id") for side in ("consumes", "produces")))
+
+
+def mention_rows(lines: DataFrame, ids: DataFrame, longest: int | None = LONGEST_LINE) -> DataFrame:
+    """(repo, target, identifier, path, line): lines of a repository with a token that names another one.
 
-    Lines beyond 2000 characters are passed over.  Tokens that are no identifier end in the join.
+    Lines beyond ``longest`` characters are passed over; None takes all.  Tokens that are no identifier end in the join,
+    which needs no shuffle of the lines where the identifiers are few (Spark decides by their size).
     """
-    tokens = lines.where(F.length("text") <= LONGEST_LINE).select("repo", "path", "line", F.substring("text", 1, 200).alias("text"), F.explode(token_parts(F.col("text"))).alias("identifier"))
-    return tokens.join(ids.select("identifier", "target").distinct(), "identifier").where("target <> repo").select("repo", "target", "identifier", "path", "line", "text")
+    short = lines.where(F.length("text") <= longest) if longest else lines
+    tokens = short.select("repo", "path", "line", F.explode(token_parts(F.col("text"))).alias("identifier"))
+    return tokens.join(ids.select("identifier", "target").distinct(), "identifier").where("target <> repo").select("repo", "target", "identifier", "path", "line")
+
+
+BY = ["repo", "target", "identifier"]
+
 
+def mention_counts(rows: DataFrame) -> DataFrame:
+    """(repo, target, identifier, n) of ``mention_rows``."""
+    return rows.groupBy(*BY).agg(F.count("*").alias("n"))
 
-def mentions(lines: DataFrame, ids: DataFrame, samples: int = SAMPLES) -> DataFrame:
-    """(repo, target, identifier, n, samples): how many lines mention it, and the first few in walk order.
 
-    Files are reduced before repositories, so an identifier on every line of a large repository is no hot group.
+def mention_samples(rows: DataFrame, lines: DataFrame, samples: int = SAMPLES) -> DataFrame:
+    """(repo, target, identifier, samples): the first few of ``mention_rows`` in walk order, with their text.
+
+    Ranks are limited in each task before rows meet, so an identifier on every line of a repository is no hot group; only
+    lines that are shown have their text looked up.
     """
-    rows = mention_rows(lines, ids)
-    by = ["repo", "target", "identifier"]
-    per_file = rows.groupBy(*by, "path").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(F.struct("line", "text"))), 1, samples).alias("first"))
-    ranked = per_file.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(walk_order(F.col("path")))))
-    totals = per_file.groupBy(*by).agg(F.sum("n").alias("n"))
-    first = ranked.where(F.col("_k") <= samples).select(*by, "_k", "path", F.explode("first").alias("s")).groupBy(*by).agg(F.slice(F.array_sort(F.collect_list(F.struct("_k", F.col("s.line").alias("line"), "path", F.col("s.text").alias("text")))), 1, samples).alias("_s"))
-    shown = F.transform("_s", lambda x: F.struct(x["path"].alias("path"), x["line"].alias("line"), x["text"].alias("text")))
-    return totals.join(first, by).select(*by, "n", shown.alias("samples"))
+    order = Window.partitionBy(*BY).orderBy(walk_order(F.col("path")), "line")
+    first = rows.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= samples)
+    shown = first.join(lines.select("repo", "path", "line", F.substring("text", 1, 200).alias("text")), ["repo", "path", "line"])
+    ranked = F.array_sort(F.collect_list(F.struct("_k", "path", "line", "text")))
+    return shown.groupBy(*BY).agg(F.transform(ranked, lambda x: F.struct(x["path"].alias("path"), x["line"].alias("line"), x["text"].alias("text"))).alias("samples"))
+
+
+def mentions(lines: DataFrame, ids: DataFrame, samples: int = SAMPLES, longest: int | None = LONGEST_LINE) -> DataFrame:
+    """(repo, target, identifier, n, samples): how many lines mention it, and the first few in walk order."""
+    rows = checkpointed(mention_rows(lines, ids, longest))
+    return mention_counts(rows).join(mention_samples(rows, lines, samples), BY)
 
 
 def candidate_totals(repos: DataFrame, facts: DataFrame, mention_table: DataFrame, hits: DataFrame) -> DataFrame:
@@ -123,7 +144,10 @@ def candidate_totals(repos: DataFrame, facts: DataFrame, mention_table: DataFram
 
 
 def link_problems(links: DataFrame, repos: DataFrame) -> DataFrame:
-    """(repo, problems) of ``links(repo, consumes, edges, mentions_reviewed, pipelines, trigger_hits_dismissed)``."""
+    """(repo, problems) of every repository, from ``links(repo, consumes, edges, mentions_reviewed, pipelines, trigger_hits_dismissed)``.
+
+    A repository without links has that as its only problem; links of an unknown repository are passed over.
+    """
     none = F.array().cast("array<string>")
     said = lambda rows, test, text: F.coalesce(F.transform(F.filter(rows, test), text), none)
     problems = F.concat(
@@ -135,7 +159,8 @@ def link_problems(links: DataFrame, repos: DataFrame) -> DataFrame:
         said("pipelines", lambda p: (F.size(F.coalesce(p["triggers"], F.array())) <= 0) & (word_count(p["searched"]) < 4), lambda p: F.concat(F.lit("pipeline "), text_of(p["name"]), F.lit(": no trigger"))),
         said("trigger_hits_dismissed", lambda t: t["line"].isNull(), lambda t: F.concat(F.lit("dismissed line in "), text_of(t["path"]))),
     )
-    shape = links.select("repo", problems.alias("problems"))
+    every = repos.select("repo").join(links.withColumn("_there", F.lit(True)), "repo", "left")
+    shape = every.select("repo", F.when(F.col("_there").isNull(), F.array(F.lit("links are absent"))).otherwise(problems).alias("problems"))
     targets = links.select("repo", F.explode(F.concat(F.coalesce(F.transform(F.filter("consumes", lambda c: c["resolution"] == "internal"), lambda c: c["to_repo"]), none), F.coalesce(F.transform("edges", lambda e: e["to_repo"]), none))).alias("target"))
     known = repos.select(F.col("repo").alias("target"))
     strange = targets.join(known, "target", "left_anti").union(targets.where("target = repo").select("target", "repo")).groupBy("repo").agg(F.sort_array(F.collect_set(F.concat(F.lit("target "), text_of(F.col("target"))))).alias("more"))
@@ -250,7 +275,12 @@ def edge_summary(edges: DataFrame) -> DataFrame:
     return pairs.withColumn("diagram", F.concat(node_id(F.col("from_repo")), F.lit(" -->|"), "kinds", F.lit("| "), node_id(F.col("to_repo"))))
 
 
+def unresolved_of(used: DataFrame) -> DataFrame:
+    """(repo, n, ids) of rows of ``used(repo, kind, id, resolution)`` that are unresolved."""
+    rows = used.where("resolution = 'unresolved'")
+    return rows.groupBy("repo").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "kind", "id"))), "; ").alias("ids"))
+
+
 def unresolved(links: DataFrame) -> DataFrame:
-    """(repo, n, ids) of consumed things that are unresolved."""
-    rows = links.select("repo", F.explode("consumes").alias("c")).where("c.resolution = 'unresolved'")
-    return rows.groupBy("repo").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set(F.concat_ws(" ", "c.kind", "c.id"))), "; ").alias("ids"))
+    """``unresolved_of`` what the links say is consumed."""
+    return unresolved_of(links.select("repo", F.explode("consumes").alias("c")).select("repo", "c.kind", "c.id", "c.resolution"))

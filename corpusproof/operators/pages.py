@@ -10,6 +10,7 @@ from corpusproof.functions.helpers import ascii_folded, bodyless_macros, convert
 from corpusproof.functions.text import (
     attachment_url,
     build_front_matter,
+    escaped_cdata,
     front_matter,
     leftover_markup,
     markdown_links,
@@ -145,8 +146,8 @@ def word_coverage(source: DataFrame, derived: DataFrame, key: str = "page_id") -
 
 
 def raw_structure(html: Column) -> Column:
-    """struct of headings, tables, code, images and links in raw HTML that have to show up in Markdown."""
-    plain = text_of(html)
+    """struct of headings, tables, code, images and links in raw HTML that have to show up in Markdown; markup inside CDATA is text."""
+    plain = escaped_cdata(html)
     n = lambda pattern: F.regexp_count(plain, F.lit(pattern))
     headings = n("(?is)<h([1-6])\\b[^>]*>(?=(?:(?!</h\\1\\s*>).)*?(?:>|^)?[^<\\s]|(?:(?!</h\\1\\s*>).)*?<(?:img|ac:image))(?:(?!</h\\1\\s*>).)+</h\\1\\s*>")
     tables = n("(?i)<table\\b")
@@ -166,10 +167,10 @@ def markdown_structure(outside: Column, blocks: Column) -> Column:
 
 
 def unbalanced_tags(html: Column, tags: tuple[str, ...] = BALANCED_TAGS) -> Column:
-    """Names and counts of tags that are opened and closed a different number of times."""
-    parts = []
+    """Names and counts of tags that are opened and closed a different number of times; markup inside CDATA is text."""
+    parts, plain = [], escaped_cdata(html)
     for tag in tags:
-        opened, closed = tag_counts(html, tag)
+        opened, closed = tag_counts(plain, tag)
         parts.append(F.when(opened != closed, F.concat(F.lit(f"{tag} "), opened.cast("string"), F.lit("/"), closed.cast("string"))))
     return F.array_compact(F.array(*parts))
 
@@ -245,35 +246,49 @@ def compare_bodies(stored: DataFrame, fetched: DataFrame) -> DataFrame:
 # ---- the tree ----
 
 
-def ancestors(rows: DataFrame, key: str = "page_id", parent: str = "parent_id", most_depth: int = 64) -> DataFrame:
-    """(key, ancestor, distance) with each row as its own ancestor at distance 0, by doubling joins over parent links.
+def _jumped(rows: DataFrame, key: str, parent: str, carried: dict[str, Column], grow) -> DataFrame:
+    """``carried`` of each row, combined over its branch or its way up by jumps of doubling length.
 
-    A row whose parent is not a key is a root.  A round doubles the distance covered, so a tree of depth d takes log2(d)
-    rounds.  Rows in a parent cycle have no end and are cut off beyond ``most_depth``.
+    After k rounds ``up`` is the ancestor 2 ** k links above, and the carried columns cover 2 ** k links.  A round is one
+    or two joins of as many rows as the tree has, so a tree of depth d takes log2(d) rounds of any depth.  A row whose
+    parent is not a key is a root.  Rows whose way up still has not ended after as many links as there are rows lead
+    into a parent cycle; they keep a non-null ``up``.
     """
-    edges = rows.select(F.col(key).alias("node"), F.col(parent).alias("anc")).where("anc is not null")
-    reach = checkpointed(edges.join(rows.select(F.col(key).alias("anc")), "anc", "left_semi").select("node", "anc", F.lit(1).alias("dist")))
-    covered = 1
-    while covered < most_depth:
-        far = reach.where(F.col("dist") == covered).select("node", F.col("anc").alias("via"))
-        more = far.join(reach.select(F.col("node").alias("via"), "anc", "dist"), "via").select("node", "anc", (F.col("dist") + covered).alias("dist"))
-        more = checkpointed(more)
-        if more.isEmpty():
-            break
-        reach, covered = checkpointed(reach.unionByName(more)), 2 * covered
-    own = rows.select(F.col(key).alias("node"), F.col(key).alias("anc"), F.lit(0).alias("dist"))
-    return own.unionByName(reach).select(F.col("node").alias(key), F.col("anc").alias("ancestor"), F.col("dist").alias("distance"))
+    known = rows.select(F.col(key).alias("up")).distinct()
+    linked = rows.select(F.col(key).alias("node"), F.col(parent).alias("up"), *(c.alias(n) for n, c in carried.items()))
+    state = checkpointed(linked.join(known.withColumn("_known", F.lit(True)), "up", "left").select("node", F.when(F.col("_known"), F.col("up")).alias("up"), *carried))
+    total, covered = state.count(), 1
+    while covered < total and not state.where("up is not null").isEmpty():
+        state, covered = checkpointed(grow(state)), 2 * covered
+    return state
 
 
 def subtree_totals(rows: DataFrame, key: str = "page_id", parent: str = "parent_id", words: str = "n_words") -> DataFrame:
-    """(key, pages, words) of the branch under each row, itself included."""
-    closure = ancestors(rows, key, parent)
-    return closure.join(rows.select(key, words), key).groupBy(F.col("ancestor").alias(key)).agg(F.count("*").alias("pages"), F.sum(words).alias("words"))
+    """(key, pages, words) of the branch under each row, itself included.  Rows in a parent cycle have no totals (null); those below one have."""
+
+    def grow(state: DataFrame) -> DataFrame:
+        below = state.where("up is not null").groupBy(F.col("up").alias("node")).agg(F.sum("pages").alias("_pages"), F.sum("words").alias("_words"))
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("_up"))
+        zero = F.lit(0).cast("long")
+        return state.join(below, "node", "left").join(above, "up", "left").select("node", F.col("_up").alias("up"), (F.col("pages") + F.coalesce("_pages", zero)).alias("pages"), (F.col("words") + F.coalesce("_words", zero)).alias("words"))
+
+    state = _jumped(rows, key, parent, {"pages": F.lit(1).cast("long"), "words": F.col(words).cast("long")}, grow)
+    # where the ways up of endless rows now end are all rows of the cycles
+    cyclic = state.where("up is not null").select(F.col("up").alias("node")).distinct().withColumn("_cyclic", F.lit(True))
+    marked = state.join(cyclic, "node", "left")
+    return marked.select(F.col("node").alias(key), *(F.when(F.col("_cyclic").isNull(), F.col(c)).alias(c) for c in ("pages", "words")))
 
 
 def tree_listing(rows: DataFrame, key: str = "page_id", parent: str = "parent_id", order: str = "row_no") -> DataFrame:
-    """(key, depth, path): pre-order of the tree; path is the array of orders from the root down, and sorts the listing."""
-    closure = ancestors(rows, key, parent)
-    above = closure.join(rows.select(F.col(key).alias("ancestor"), F.col(order).alias("_o")), "ancestor")
-    path = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("distance")).alias("d"), "_o"))), lambda x: x["_o"])
-    return above.groupBy(key).agg(F.max("distance").alias("depth"), path.alias("path")).orderBy("path")
+    """(key, depth, path): pre-order of the tree; path is the array of orders from the root down, and sorts the listing.
+
+    Rows that lead into a parent cycle have no place in the tree: depth and path are null, and they come first.
+    """
+
+    def grow(state: DataFrame) -> DataFrame:
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"))
+        return state.join(above, "up", "left").select("node", F.col("_up").alias("up"), F.when(F.col("_path").isNotNull(), F.concat("_path", "path")).otherwise(F.col("path")).alias("path"))
+
+    state = _jumped(rows, key, parent, {"path": F.array(order)}, grow)
+    path = F.when(F.col("up").isNull(), F.col("path"))
+    return state.select(F.col("node").alias(key), (F.size(path) - 1).alias("depth"), path.alias("path")).withColumn("depth", F.when(F.col("path").isNotNull(), F.col("depth"))).orderBy("path")

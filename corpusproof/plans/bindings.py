@@ -61,17 +61,17 @@ LINES = """doc_lines AS (SELECT source AS repo, CAST(doc_id AS VARCHAR) AS path,
 
 
 def made_and_used(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(produces(repo, part), consumes(repo, part)): nations as repositories, parts as identifiers."""
+    """(produces(repo, part), consumes(repo, part)): nations as repositories, parts as identifiers; items with odd numbers are made by the supplier's nation, others used by the customer's."""
     item, orders, customer, supplier, nation = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "nation"))
-    made = item.where("l_linenumber = 1").join(supplier, item["l_suppkey"] == supplier["s_suppkey"]).join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("repo"), F.col("l_partkey").cast("string").alias("part")).distinct()
-    used = item.where("l_linenumber = 2").join(orders, item["l_orderkey"] == orders["o_orderkey"]).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("repo"), F.col("l_partkey").cast("string").alias("part")).distinct()
+    made = item.where("l_linenumber % 2 = 1").join(supplier, item["l_suppkey"] == supplier["s_suppkey"]).join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("repo"), F.col("l_partkey").cast("string").alias("part")).distinct()
+    used = item.where("l_linenumber % 2 = 0").join(orders, item["l_orderkey"] == orders["o_orderkey"]).join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("repo"), F.col("l_partkey").cast("string").alias("part")).distinct()
     return made, used
 
 
 MADE_USED = """made AS (SELECT DISTINCT n_name AS repo, CAST(l_partkey AS VARCHAR) AS part FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
- JOIN nation ON s_nationkey = n_nationkey WHERE l_linenumber = 1),
+ JOIN nation ON s_nationkey = n_nationkey WHERE l_linenumber % 2 = 1),
 used AS (SELECT DISTINCT n_name AS repo, CAST(l_partkey AS VARCHAR) AS part FROM lineitem JOIN orders ON l_orderkey = o_orderkey
- JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_linenumber = 2)"""
+ JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE l_linenumber % 2 = 0)"""
 
 
 def chapter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusproof.functions import helpers, text
@@ -29,24 +26,13 @@ from corpusproof.plans.bindings import (
     ticket_refs,
 )
 from corpusproof.plans.bindings import ledger as ledger_rows
+from corpusproof.plans.registry import ORACLES, QUERIES, query
 from corpusproof.sources.tables import rendered
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 NOW = "2024-05-06 07:08:00"
 HTML_TAGS = ("table", "tr", "td", "th", "ul", "ol", "li", "p", "div", "pre")
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 # ---- ledger ----
 
 
@@ -139,9 +125,11 @@ def page_duplicate_titles(spark, sf):
     return pages.duplicate_keys(page_ledger(spark, sf), "title")
 
 
-@query(f"WITH {PAGES} SELECT page_id, 'title' AS field FROM page_rows WHERE trim(title) = '' UNION ALL SELECT page_id, 'space_key' FROM page_rows WHERE trim(space_key) = ''")
+@query(f"WITH {PAGES} SELECT page_id, 'title' AS field FROM page_rows WHERE page_id % 11 = 3 OR trim(title) = '' UNION ALL SELECT page_id, 'space_key' FROM page_rows WHERE page_id % 7 = 2 OR trim(space_key) = ''")
 def page_blank_fields(spark, sf):
-    return pages.blank_fields(page_ledger(spark, sf), "page_id", ["title", "space_key"])
+    """Some titles are blank, some spaces are null."""
+    rows = page_ledger(spark, sf).withColumns({"title": F.when(F.col("page_id") % 11 == 3, "  ").otherwise(F.col("title")), "space_key": F.when(F.col("page_id") % 7 != 2, F.col("space_key"))})
+    return pages.blank_fields(rows, "page_id", ["title", "space_key"])
 
 
 @query(f"""WITH {PAGES}, k AS (SELECT * FROM page_rows WHERE page_id % 6 <> 0 OR page_id = 0)
@@ -232,11 +220,6 @@ def page_conversion(spark, sf):
     return made.select("page_id", "body", "placeholders", F.array_join("warnings", "; ").alias("warnings"))
 
 
-@query()
-def page_file_names(spark, sf):
-    return pages.with_file_name(page_ledger(spark, sf)).select("page_id", "md_name")
-
-
 @query()
 def page_checks(spark, sf):
     """Conversion of every page, then all checks of it against its source."""
@@ -272,11 +255,16 @@ def text_secrets(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.explode(text.secrets_in(F.col("text"))).alias("label"))
 
 
-@query("""SELECT doc_id, len(regexp_replace(text, '(?i)\\b(password|passwd|secret|api[_-]?key|token)\\b\\s*[:=]\\s*[''"][^''"\\s<\\[{$]{8,}[''"]', '[REDACTED]', 'g')) AS n FROM documents
-WHERE regexp_matches(text, '(?i)\\b(password|passwd|secret|api[_-]?key|token)\\b\\s*[:=]\\s*[''"][^''"\\s<\\[{$]{8,}[''"]')""")
+_REDACTED = "text"
+for _pattern in ("\\bAKIA[0-9A-Z]{16}\\b", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "\\bgh[pousr]_[A-Za-z0-9]{36,}\\b", "\\bxox[baprs]-[A-Za-z0-9-]{10,}\\b", "\\bATATT[A-Za-z0-9_\\-=]{20,}\\b", "\\bBearer\\s+[A-Za-z0-9_\\-.=]{30,}\\b", "(?i)\\b(password|passwd|secret|api[_-]?key|token)\\b\\s*[:=]\\s*[''\"][^''\"\\s<\\[{$]{8,}[''\"]"):
+    _REDACTED = f"regexp_replace({_REDACTED}, '{_pattern}', '[REDACTED]', 'g')"
+
+
+@query(f"SELECT doc_id, md5({_REDACTED}) AS redacted, {_REDACTED} <> text AS changed FROM documents WHERE text IS NOT NULL")
 def text_redacted(spark, sf):
-    docs = table(spark, sf, "documents").where(F.array_contains(text.secrets_in(F.col("text")), "password assignment"))
-    return docs.select("doc_id", F.length(text.redacted(F.col("text"))).cast("long").alias("n"))
+    """Every text with all seven kinds of secrets replaced."""
+    docs = table(spark, sf, "documents").where("text is not null").withColumn("r", text.redacted(F.col("text")))
+    return docs.select("doc_id", F.md5("r").alias("redacted"), (F.col("r") != F.col("text")).alias("changed"))
 
 
 # ---- evidence ----
@@ -285,11 +273,10 @@ def text_redacted(spark, sf):
 def _claims(spark, sf):
     items, docs = table(spark, sf, "benchmark"), table(spark, sf, "documents")
     n = docs.agg(F.count("*").alias("n"))
-    quote = F.array_join(F.slice(F.split("text", " "), 1, 12), " ")
-    return items.crossJoin(F.broadcast(n)).select("item_id", quote.alias("quote"), F.explode(F.sequence(F.lit(0), F.lit(49))).alias("k"), "n").select("item_id", "quote", ((F.col("item_id") * 37 + F.col("k") * 211) % F.col("n")).cast("string").alias("source")).withColumn("where", F.lit("(top)"))
+    return items.crossJoin(F.broadcast(n)).select("item_id", F.col("text").alias("quote"), F.explode(F.sequence(F.lit(0), F.lit(49))).alias("k"), "n").select("item_id", "quote", ((F.col("item_id") * 37 + F.col("k") * 211) % F.col("n")).cast("string").alias("source")).withColumn("where", F.lit("(top)"))
 
 
-@query(f"""WITH c AS (SELECT item_id, array_to_string(string_split(text, ' ')[1:12], ' ') AS quote, (item_id * 37 + k * 211) % (SELECT count(*) FROM documents) AS doc_id FROM benchmark, range(50) AS r(k)),
+@query(f"""WITH c AS (SELECT item_id, text AS quote, (item_id * 37 + k * 211) % (SELECT count(*) FROM documents) AS doc_id FROM benchmark, range(50) AS r(k)),
 n AS (SELECT doc_id, {norm_sql("text")} AS form FROM documents)
 SELECT item_id, CAST(doc_id AS VARCHAR) AS source, contains(form, {norm_sql("quote")}) AS found FROM c JOIN n USING (doc_id)""")
 def evidence_in_pages(spark, sf):
@@ -298,7 +285,7 @@ def evidence_in_pages(spark, sf):
     return entries.page_evidence(_claims(spark, sf), docs).select("item_id", "source", "found")
 
 
-@query(f"""WITH {LINES}, q AS (SELECT repo, path, line AS spot, greatest(1, line + CASE CAST(path AS BIGINT) % 3 WHEN 0 THEN 0 WHEN 1 THEN -1 ELSE 40 END) AS cited, array_to_string(string_split(text, ' ')[1:6], ' ') AS quote FROM doc_lines WHERE line % 4 = 2 AND len(string_split(text, ' ')) >= 6),
+@query(f"""WITH {LINES}, q AS (SELECT repo, path, line AS spot, greatest(1, line + CASE CAST(path AS BIGINT) % 3 WHEN 0 THEN 0 WHEN 1 THEN -1 ELSE 40 END) AS cited, array_to_string(string_split(text, ' ')[1:6], ' ') AS quote FROM doc_lines WHERE len(string_split(text, ' ')) >= 6),
 n AS (SELECT path AS p, max(line) AS last FROM doc_lines GROUP BY 1)
 SELECT path, spot, cited <= last AS found FROM q JOIN n ON p = path""")
 def evidence_places(spark, sf):
@@ -306,12 +293,12 @@ def evidence_places(spark, sf):
     lines = document_lines(spark, sf)
     stats = repos.file_stats(table(spark, sf, "documents").select(F.col("source").alias("repo"), F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content")))
     shift = F.when(F.col("path").cast("long") % 3 == 0, 0).when(F.col("path").cast("long") % 3 == 1, -1).otherwise(40)
-    cites = lines.where((F.col("line") % 4 == 2) & (F.size(F.split("text", " ")) >= 6)).select("repo", "path", F.col("line").alias("spot"), F.greatest(F.lit(1), F.col("line") + shift).alias("lo")).withColumn("hi", F.col("lo"))
+    cites = lines.where(F.size(F.split("text", " ")) >= 6).select("repo", "path", F.col("line").alias("spot"), F.greatest(F.lit(1), F.col("line") + shift).alias("lo")).withColumn("hi", F.col("lo"))
     bad = repos.unresolved_citations(cites, stats).select("path", "spot", F.lit(True).alias("bad"))
     return cites.join(bad, ["path", "spot"], "left").select("path", "spot", F.col("bad").isNull().alias("found"))
 
 
-@query(f"""WITH {LINES}, q AS (SELECT repo, path, greatest(1, line + CASE CAST(path AS BIGINT) % 3 WHEN 0 THEN 0 WHEN 1 THEN -1 ELSE 40 END) AS cited, array_to_string(string_split(text, ' ')[1:6], ' ') AS quote FROM doc_lines WHERE line % 40 = 2 AND len(string_split(text, ' ')) >= 6),
+@query(f"""WITH {LINES}, q AS (SELECT repo, path, greatest(1, line + CASE CAST(path AS BIGINT) % 3 WHEN 0 THEN 0 WHEN 1 THEN -1 ELSE 40 END) AS cited, array_to_string(string_split(text, ' ')[1:6], ' ') AS quote FROM doc_lines WHERE len(string_split(text, ' ')) >= 6),
 w AS (SELECT q.repo, q.path, cited, quote, bool_or(l.line = cited) AS here, {norm_sql("string_agg(l.text, chr(10) ORDER BY l.line)")} AS around FROM q JOIN doc_lines l ON l.repo = q.repo AND l.path = q.path AND l.line BETWEEN cited - 20 AND cited + 20 GROUP BY 1, 2, 3, 4),
 f AS (SELECT repo, path, {norm_sql("string_agg(text, chr(10) ORDER BY line)")} AS body FROM doc_lines GROUP BY 1, 2)
 SELECT DISTINCT q.path, q.cited, q.quote, CASE WHEN NOT coalesce(here, false) THEN 'no such place' WHEN contains(around, {norm_sql("q.quote")}) AND {norm_sql("q.quote")} <> '' THEN 'ok' WHEN contains(body, {norm_sql("q.quote")}) AND {norm_sql("q.quote")} <> '' THEN 'not near' ELSE 'not found' END AS result
@@ -320,7 +307,7 @@ def evidence_near_lines(spark, sf):
     """Quotes of six words, cited at, before or far behind their line."""
     lines = document_lines(spark, sf)
     shift = F.when(F.col("path").cast("long") % 3 == 0, 0).when(F.col("path").cast("long") % 3 == 1, -1).otherwise(40)
-    rows = lines.where((F.col("line") % 40 == 2) & (F.size(F.split("text", " ")) >= 6)).select("repo", "path", F.greatest(F.lit(1), F.col("line") + shift).alias("cited"), F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("quote"))
+    rows = lines.where(F.size(F.split("text", " ")) >= 6).select("repo", "path", F.greatest(F.lit(1), F.col("line") + shift).alias("cited"), F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("quote"))
     files = lines.select(F.concat_ws("/", "repo", "path").alias("path"), F.lit("all").alias("repo"), "line", "text")
     quotes = rows.select(F.lit("all").alias("source"), F.concat_ws(":", F.concat_ws("/", "repo", "path"), F.col("cited").cast("string")).alias("where"), "quote").distinct()
     found = entries.line_evidence(quotes, files)
@@ -333,10 +320,8 @@ def evidence_near_lines(spark, sf):
 @query(f"""WITH {MADE_USED} SELECT u.repo, u.part, count(m.repo) AS n, coalesce(string_agg(m.repo, ',' ORDER BY m.repo), '') AS makers FROM used u LEFT JOIN made m ON m.part = u.part AND m.repo <> u.repo GROUP BY 1, 2""")
 def link_producers(spark, sf):
     made, used = made_and_used(spark, sf)
-    kind = F.lit("table").alias("kind")
-    a = made.groupBy("repo").agg(F.collect_list(F.struct(kind, F.col("part").alias("id"))).alias("produces"))
-    b = used.groupBy("repo").agg(F.collect_list(F.struct(kind, F.col("part").alias("id"))).alias("consumes"))
-    found = linkage.producers(a.join(b, "repo", "full_outer"))
+    rows = lambda df: df.select("repo", F.lit("table").alias("kind"), F.col("part").alias("id"))
+    found = linkage.producers_of(rows(used), rows(made))
     return found.select("repo", F.col("id").alias("part"), F.size("producers").cast("long").alias("n"), F.array_join(F.transform("producers", lambda p: p["producer"]), ",").alias("makers"))
 
 
@@ -355,30 +340,34 @@ _TOKENS = f"""tok AS (SELECT repo, path, line, unnest(list_distinct(list_transfo
 SELECT repo, target, identifier, count(*) AS n FROM hits GROUP BY 1, 2, 3""")
 def link_mentions(spark, sf):
     """No token of these texts has a slash inside, so tokens are their own parts."""
-    return linkage.mentions(document_lines(spark, sf), _identifiers(spark, sf)).select("repo", "target", "identifier", "n")
+    return linkage.mention_counts(linkage.mention_rows(document_lines(spark, sf), _identifiers(spark, sf)))
 
 
 @query(f"""WITH {LINES}, {_IDS}, {_TOKENS}, hits AS (SELECT DISTINCT repo, target, identifier, path, line FROM tok JOIN ids USING (identifier) WHERE target <> repo),
 k AS (SELECT *, row_number() OVER (PARTITION BY repo, target, identifier ORDER BY path, line) AS place FROM hits)
 SELECT repo, target, identifier, string_agg(path || ':' || CAST(line AS VARCHAR), ' ' ORDER BY place) AS samples FROM k WHERE place <= 3 GROUP BY 1, 2, 3""")
 def link_mention_samples(spark, sf):
-    rows = linkage.mentions(document_lines(spark, sf), _identifiers(spark, sf))
+    lines = document_lines(spark, sf)
+    rows = linkage.mention_samples(linkage.mention_rows(lines, _identifiers(spark, sf)), lines)
     return rows.select("repo", "target", "identifier", F.array_join(F.transform("samples", lambda s: F.concat_ws(":", s["path"], s["line"].cast("string"))), " ").alias("samples"))
 
 
-@query(f"""WITH {LINES}, h AS (SELECT repo, path, line, row_number() OVER (PARTITION BY repo ORDER BY path, line) AS k FROM doc_lines WHERE length(text) <= 2000 AND regexp_matches(text, '(?i)\\bwebhook|schedule(_interval)?\\s*='))
-SELECT repo, path, line FROM h WHERE k <= 300""")
+@query(f"""WITH {LINES}, h AS (SELECT repo, path, line, CASE WHEN line % 9 = 4 THEN 'webhook' ELSE 'gha_schedule' END AS label, line % 9 = 4 AS "cross", row_number() OVER (PARTITION BY repo ORDER BY path, line) AS k FROM doc_lines WHERE length(text) <= 1900 AND line % 9 IN (4, 7))
+SELECT repo, path, line, label, "cross" FROM h WHERE k <= 300""")
 def link_trigger_hits(spark, sf):
-    return linkage.trigger_hits(document_lines(spark, sf)).select("repo", "path", "line")
+    """Every line as it is, but some short ones begin with a schedule or end with a webhook."""
+    lines = document_lines(spark, sf)
+    said = F.when(F.length("text") > 1900, F.col("text")).when(F.col("line") % 9 == 4, F.concat("text", F.lit(" calls a WebHook"))).when(F.col("line") % 9 == 7, F.concat(F.lit(" - cron: '0 1 * * *' "), F.col("text"))).otherwise(F.col("text"))
+    return linkage.trigger_hits(lines.withColumn("text", said)).select("repo", "path", "line", "label", "cross")
 
 
-@query(f"""WITH {LINES} SELECT repo, path, line FROM doc_lines WHERE line % 3 = 1 AND NOT (CAST(path AS BIGINT) % 2 = 0 AND (line BETWEEN 1 AND 5 OR line BETWEEN 10 AND 2000))""")
+@query(f"""WITH {LINES} SELECT repo, path, line FROM doc_lines WHERE NOT (CAST(path AS BIGINT) % 2 = 0 AND (line BETWEEN 1 AND 5 OR line BETWEEN 10 AND 2000))""")
 def link_uncited_lines(spark, sf):
-    """Every third line, unless its file is cited there: short ranges and one of 1991 lines."""
+    """Lines that are cited nowhere: files are cited in a short range and in one of 1991 lines."""
     lines = document_lines(spark, sf)
     files = table(spark, sf, "documents").where("doc_id % 2 = 0").select(F.col("source").alias("cited_repo"), F.col("doc_id").cast("string").alias("path"))
     cites = files.select("*", F.lit(1).cast("long").alias("lo"), F.lit(5).cast("long").alias("hi")).union(files.select("*", F.lit(10).cast("long"), F.lit(2000).cast("long")))
-    return linkage.uncited_lines(lines.where("line % 3 = 1").select("repo", "path", "line"), cites)
+    return linkage.uncited_lines(lines.select("repo", "path", "line"), cites)
 
 
 _EDGES = f"""{MADE_USED}, e AS (SELECT u.repo AS from_repo, m.repo AS to_repo, u.part AS identifier, 'reads' AS kind, 0 AS origin, CAST(u.part AS BIGINT) AS seq FROM used u JOIN made m ON m.part = u.part AND m.repo <> u.repo
@@ -405,25 +394,26 @@ def graph_nodes(spark, sf):
     return nodes.select("repo", "out_degree", "in_degree")
 
 
-@query(f"WITH {_EDGES}, s AS (SELECT * FROM edges WHERE identifier LIKE '%7' AND from_repo < 'I') SELECT n_name AS repo FROM nation WHERE n_name NOT IN (SELECT from_repo FROM s) AND n_name NOT IN (SELECT to_repo FROM s WHERE to_repo < 'M')")
+@query(f"WITH {_EDGES}, s AS (SELECT * FROM edges WHERE from_repo < 'NATION_17' AND to_repo < 'NATION_17') SELECT n_name AS repo FROM nation WHERE n_name NOT IN (SELECT from_repo FROM s) AND n_name NOT IN (SELECT to_repo FROM s)")
 def graph_isolated(spark, sf):
-    """The graph of the identifiers that end in 7, cut off at some names so that nodes are left alone."""
-    some = _edges(spark, sf).where("identifier like '%7' and from_repo < 'I'")
-    ends = some.select("from_repo", F.when(F.col("to_repo") < "M", F.col("to_repo")).alias("to_repo"))
-    return linkage.isolated(table(spark, sf, "nation").select(F.col("n_name").alias("repo")), ends)
+    """The graph of the edges among the first names: the other nodes are left alone."""
+    some = _edges(spark, sf).where("from_repo < 'NATION_17' and to_repo < 'NATION_17'")
+    return linkage.isolated(table(spark, sf, "nation").select(F.col("n_name").alias("repo")), some)
 
 
-@query(f"WITH {_EDGES} SELECT from_repo, to_repo, string_agg(DISTINCT string_split(kind, ':')[1], ', ' ORDER BY string_split(kind, ':')[1]) AS kinds FROM edges GROUP BY 1, 2")
+@query(f"WITH {_EDGES}, p AS (SELECT from_repo, to_repo, string_agg(DISTINCT string_split(kind, ':')[1], ', ' ORDER BY string_split(kind, ':')[1]) AS kinds FROM edges GROUP BY 1, 2) SELECT *, from_repo || ' -->|' || kinds || '| ' || to_repo AS diagram FROM p")
 def graph_edge_summary(spark, sf):
-    return linkage.edge_summary(_edges(spark, sf)).select("from_repo", "to_repo", "kinds")
+    return linkage.edge_summary(_edges(spark, sf))
 
 
-@query(f"WITH {MADE_USED} SELECT repo, count(*) AS n FROM used WHERE part NOT IN (SELECT part FROM made) GROUP BY 1")
+@query(f"WITH {MADE_USED} SELECT repo, count(*) AS n FROM used WHERE part NOT IN (SELECT part FROM made WHERE part NOT LIKE '%5') GROUP BY 1")
 def graph_unresolved(spark, sf):
+    """Nobody is said to make the parts that end in 5."""
     made, used = made_and_used(spark, sf)
+    made = made.where("part not like '%5'")
     solved = made.select("part").distinct().withColumn("hit", F.lit(True))
-    rows = used.join(solved, "part", "left").groupBy("repo").agg(F.collect_list(F.struct(F.lit("table").alias("kind"), F.col("part").alias("id"), F.when(F.col("hit"), "internal").otherwise("unresolved").alias("resolution"))).alias("consumes"))
-    return linkage.unresolved(rows).select("repo", "n")
+    rows = used.join(solved, "part", "left").select("repo", F.lit("table").alias("kind"), F.col("part").alias("id"), F.when(F.col("hit"), "internal").otherwise("unresolved").alias("resolution"))
+    return linkage.unresolved_of(rows).select("repo", "n")
 
 
 @query("""WITH f AS (SELECT lang AS repo, CAST(doc_id AS VARCHAR) || '.' || source AS path, n_chars FROM documents), c AS (SELECT repo, string_split(path, '.')[2] AS extension, count(*) AS n FROM f GROUP BY 1, 2),
@@ -441,14 +431,10 @@ def scan_sizes(spark, sf):
 # ---- entries ----
 
 
-def _items(spark, sf):
-    rows = entry_rows(spark, sf)
-    return rows.groupBy("source").agg(F.collect_list(F.struct("type", "name", "statement", "basis")).alias("entries"), F.count("*").alias("_n"))
-
-
-@query(f"WITH {ENTRIES} SELECT source, type, norm AS name, count(*) AS n FROM entries GROUP BY 1, 2, 3 HAVING count(*) > 1")
+@query(f"WITH {ENTRIES} SELECT source, 'rule' AS type, substring(norm, 1, 1) AS name, count(*) AS n FROM entries GROUP BY 1, 3 HAVING count(*) > 1")
 def entry_duplicates(spark, sf):
-    return entries.duplicate_names(_items(spark, sf))
+    """Entries of one type by the first letter of their names."""
+    return entries.duplicates(entry_rows(spark, sf).select("source", F.lit("rule").alias("type"), F.substring("norm", 1, 1).alias("name")))
 
 
 @query(f"WITH {ENTRIES} SELECT type, count(*) AS n, count(DISTINCT source) AS sources FROM entries GROUP BY 1")
@@ -503,14 +489,14 @@ def ticket_locations(spark, sf):
     return tickets.source_tickets(tickets.references(["PAY"], lines=ticket_refs(spark, sf)))
 
 
-@query("""WITH s AS (SELECT user_id, lead(user_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS nxt FROM events), l AS (SELECT DISTINCT user_id, nxt FROM s WHERE nxt IS NOT NULL AND nxt <> user_id AND user_id % 2 = 0),
+@query("""WITH s AS (SELECT user_id, lead(user_id) OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts, event_id) AS nxt FROM events), l AS (SELECT DISTINCT user_id, nxt FROM s WHERE nxt IS NOT NULL AND nxt <> user_id AND user_id % 2 = 0),
 x AS (SELECT 'PAY-' || CAST(nxt AS VARCHAR) AS key, min('PAY-' || CAST(user_id AS VARCHAR)) AS linker FROM l WHERE nxt % 2 = 1 GROUP BY 1) SELECT key, '1' AS depth, 'linked from ' || linker AS first_reference FROM x""")
 def ticket_linked(spark, sf):
-    """Users as tickets, linked to whoever comes next in their kind of event; even ones are in the ledger."""
+    """Users as tickets, linked to whoever comes next in their kind of event in the same hour; even ones are in the ledger."""
     from pyspark.sql import Window
 
     events = table(spark, sf, "events")
-    nxt = F.lead("user_id").over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
+    nxt = F.lead("user_id").over(Window.partitionBy("event_type", F.date_trunc("hour", "ts")).orderBy("ts", "event_id"))
     links = events.select("user_id", nxt.alias("next")).where("next is not null and next <> user_id").distinct()
     name = lambda c: F.concat(F.lit("PAY-"), F.col(c).cast("string"))
     rows = links.groupBy("user_id").agg(F.collect_list(F.struct(F.lit("relates").alias("type"), name("next").alias("key"))).alias("links"))
@@ -519,12 +505,10 @@ def ticket_linked(spark, sf):
     return tickets.linked_rows(known, state)
 
 
-@query("""SELECT DISTINCT 'PAY-' || CAST(user_id AS VARCHAR) AS key, CAST(row_number() OVER (ORDER BY user_id) AS INT) AS place FROM (SELECT DISTINCT user_id FROM events)""")
+@query("""SELECT 'PAY-' || CAST(user_id AS VARCHAR) AS key, row_number() OVER (ORDER BY user_id) AS place FROM (SELECT DISTINCT user_id FROM events)""")
 def ticket_key_order(spark, sf):
-    from pyspark.sql import Window
-
     keys = table(spark, sf, "events").select(F.concat(F.lit("PAY-"), F.col("user_id").cast("string")).alias("key")).distinct()
-    return keys.withColumn("place", F.row_number().over(Window.orderBy(*ledger.numeric_key_order(F.col("key")))))
+    return ledger.numbered(keys, ledger.numeric_key_order(F.col("key")))
 
 
 # ---- handbook ----
@@ -617,3 +601,8 @@ def document_sections(spark, sf):
 SELECT area, 'Part ' || CAST(part AS VARCHAR) AS section, CAST(row_number() OVER (PARTITION BY area ORDER BY turn) AS INT) AS block_no, block FROM b""")
 def chapter_blocks(spark, sf):
     return handbook.chapter_blocks(_as_chapters(spark, sf)).select("area", "section", "block_no", "block")
+
+
+from corpusproof.plans import columns, workspaces  # noqa: E402  register their queries
+
+__all__ = ["ORACLES", "QUERIES", "columns", "workspaces"]

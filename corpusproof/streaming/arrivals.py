@@ -8,26 +8,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusproof.operators.ledger import MOST_ATTEMPTS, appended_note
 
-def watch_bodies(spark: SparkSession, bodies: str, schema: str, results: str, checkpoint: str, judge: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    """Check every body that arrives as Parquet in ``bodies`` and keep (key, version, ok, failing, batch) in ``results``.
 
-    ``judge`` makes (key, ok, failing) of a batch.  Each batch writes its own folder ``results/batch=N``, so a batch that
-    is delivered again writes the same rows again and adds none.
+def watch_bodies(spark: SparkSession, bodies: str, schema: str, results: str, checkpoint: str, judge: Callable[[DataFrame], DataFrame], ledger: str | None = None) -> StreamingQuery:
+    """Check every body that arrives as Parquet in ``bodies`` and keep (key, version, ok, failing) of each in ``results``.
+
+    ``judge`` makes (key, ok, failing) of rows with one version of each page.  Versions are compared as numbers, and only
+    the newest version of a page in a batch is judged.  Each batch writes its own folder ``results/batch=N``, so a batch
+    that is delivered again writes the same rows again and adds none.  With ``ledger``, the folder of a ledger with key,
+    status, attempts and notes, every batch also writes the ledger as it then stands to ``ledger/upto=N``, from the
+    one before it and the results so far.
     """
 
     def save(batch: DataFrame, number: int) -> None:
-        versions = batch.groupBy(F.col("page_id").cast("string").alias("key")).agg(F.max("version").alias("version"))
-        judge(batch).join(versions, "key").select("key", "version", "ok", "failing").write.mode("overwrite").parquet(f"{results}/batch={number}")
+        key = F.col("page_id").cast("string")
+        newest = batch.groupBy("page_id").agg(F.max(F.col("version").try_cast("bigint")).alias("_newest"))
+        rows = batch.join(newest, "page_id").where(F.col("version").try_cast("bigint").eqNullSafe(F.col("_newest"))).drop("_newest").dropDuplicates(["page_id"])
+        versions = rows.select(key.alias("key"), "version")
+        judge(rows).join(versions, "key").select("key", "version", "ok", "failing").write.mode("overwrite").parquet(f"{results}/batch={number}")
+        if ledger:
+            so_far = batch.sparkSession.read.parquet(results).where(F.col("batch") <= number)
+            start = batch.sparkSession.read.parquet(f"{ledger}/upto=-1")
+            updated(start, so_far).write.mode("overwrite").parquet(f"{ledger}/upto={number}")
 
     stream = spark.readStream.schema(schema).parquet(bodies)
     return stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def attempts_of(results: DataFrame) -> DataFrame:
-    """(key, version, ok, failing, attempts): the last result of each key, attempts counting each failed version once.
+    """(key, version, ok, failing, attempts): the result of each key's newest version, attempts counting each failed version once.
+
+    A body version that is delivered again in another batch is the same attempt; an older version that comes late changes
+    only the count.
+    """
+    versions = results.groupBy("key", "version").agg(F.max_by(F.struct("ok", "failing"), "batch").alias("r"))
+    return versions.groupBy("key").agg(F.max_by(F.struct("version", "r"), F.col("version").try_cast("bigint")).alias("x"), F.count_if(~F.col("r.ok")).alias("attempts")).select("key", "x.version", "x.r.ok", "x.r.failing", "attempts")
+
+
+def updated(start: DataFrame, results: DataFrame, most: int = MOST_ATTEMPTS) -> DataFrame:
+    """The ledger ``start`` after all ``results``: passed keys are verified, failed ones have their attempts added and, from ``most`` on, need a human.
 
-    A body version that is delivered again in another batch is the same attempt.
+    It depends on ``start`` and the results alone, so it is the same however often a batch is delivered.
     """
-    versions = results.groupBy("key", "version").agg(F.max_by(F.struct("ok", "failing"), "batch").alias("r"), F.max("batch").alias("batch"))
-    return versions.groupBy("key").agg(F.max_by(F.struct("version", "r"), "batch").alias("x"), F.count_if(~F.col("r.ok")).alias("attempts")).select("key", "x.version", "x.r.ok", "x.r.failing", "attempts")
+    seen = attempts_of(results).select("key", F.col("ok").alias("_ok"), F.col("failing").alias("_failing"), F.col("attempts").alias("_tries"))
+    joined = start.join(seen, "key", "left")
+    tries = F.coalesce(F.col("attempts").try_cast("bigint"), F.lit(0)) + F.coalesce("_tries", F.lit(0))
+    status = F.when(F.col("_ok"), "verified").when(tries >= most, "needs_human").when(F.col("_ok").isNotNull(), "failed").otherwise(F.col("status"))
+    notes = F.when(~F.coalesce("_ok", F.lit(True)), appended_note(F.col("notes"), F.col("_failing"))).otherwise(F.col("notes"))
+    return joined.withColumns({"status": status, "attempts": tries.cast("string"), "notes": notes}).select(*start.columns)

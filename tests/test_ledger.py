@@ -87,3 +87,11 @@ def test_files_become_lines(spark, tmp_path):
     (tmp_path / "r1" / "z.png").write_bytes(b"\x00")
     got = tables.file_lines(tables.read_files(spark, str(tmp_path)))
     assert sorted(map(tuple, got.collect())) == [("r1", "src/a.py", 1, "one"), ("r1", "src/a.py", 2, "two"), ("r1", "src/a.py", 3, "")]
+
+
+def test_numbering_without_one_task_for_all(spark):
+    rows = spark.range(0, 1000).selectExpr("concat('PAY-', cast(id * 7919 % 10007 + 1 as string)) as key").repartition(5)
+    got = {r.key: r.place for r in ledger.numbered(rows, ledger.numeric_key_order(F.col("key"))).collect()}
+    want = sorted(got, key=lambda k: int(k.split("-")[1]))
+    assert [got[k] for k in want] == list(range(1, 1001))
+    assert ledger.numbered(rows.limit(0), [F.col("key")]).count() == 0
