@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusproof.llm.licenses import SENTENCES, license_matches
+from corpusproof.llm.licenses import RULES, license_matches
 from corpusproof.llm.log_bilinear import lm_scores
 from corpusproof.llm.mixing import document_rates, fit_rates, mixed
 from corpusproof.llm.outliers import judged
@@ -144,11 +144,14 @@ def test_hosts_paths_rules_and_mined_rules(spark):
 # ---- licenses ----
 
 
+def notice(name, n=0):
+    return [text for license, text in RULES if license == name][n]
+
+
 def test_rules_need_their_sentences_in_order(spark, awkward, nothing):
-    s = {k: v[0].upper() + v[1:] for k, v in SENTENCES.items()}
-    mit = [s["mit-grant"] + ":", s["mit-notice"] + ".", s["mit-as-is"] + ".", s["mit-liability"] + "."]
+    mit = [" ".join(p.split()) for p in re.split(r"(?<=[.:])\s+", notice("mit", 2)) if p]
     docs = [
-        (1, "Some text.\nReleased under the MIT License.\nMore. All rights reserved."),
+        (1, "Some text.\nReleased under the MIT License.\nMore. All rights\nreserved."),
         (2, "Intro\n\n" + " ".join(mit).replace(" the ", "\nthe ", 3)),
         (3, "\n".join([mit[1], mit[0], mit[2], mit[3]])),
         (4, "\n".join([mit[0], "One.", "Two.", mit[1], mit[2], mit[3]])),
@@ -157,8 +160,37 @@ def test_rules_need_their_sentences_in_order(spark, awkward, nothing):
         (7, "This is no licensed thing."),
     ]
     got = license_matches(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert sorted((r.doc_id, r.license, r.times) for r in got) == [(1, "all-rights-reserved", 1), (1, "mit", 1), (2, "mit", 1), (4, "mit", 1), (6, "cc-by-nc-4.0", 2)]
+    assert sorted((r.doc_id, r.license, r.times) for r in got if r.license != "mit-0") == [(1, "all-rights-reserved", 1), (1, "mit", 1), (2, "mit", 1), (4, "mit", 1), (6, "cc-by-nc-4.0", 2)]
     assert license_matches(awkward).count() == 0 and license_matches(nothing).count() == 0
+    own = license_matches(spark.createDataFrame([(1, "Do what you like. But be kind to it."), (2, "But be kind to it. Do what you like.")], "doc_id long, text string"), [("kind", "Do what you like. But be kind to it.")])
+    assert [(r.doc_id, r.license, r.rule) for r in own.collect()] == [(1, "kind", 0)]
+
+
+def test_standard_notices_in_comments_and_wrapped(spark):
+    import textwrap
+
+    docs, want = [], {}
+    for k, (name, text) in enumerate(RULES):
+        parts = [textwrap.wrap(" ".join(p.split()), 70) for p in text.split("\n\n")]
+        lines = [line for p in parts for line in [*p, ""]]
+        leader = ["# ", " * ", "// ", ""][k % 4]
+        head = f"{leader}Copyright (c) 2020 Some One\n{leader.rstrip()}\n"
+        docs.append((k, "code before\n\n" + head + "\n".join((leader + line).rstrip() for line in lines) + "\ncode after"))
+        want[k] = name
+    got = {}
+    for r in license_matches(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert {k: v for k, v in want.items() if v not in got.get(k, ())} == {}
+    # and nothing but notices that are part of it, or word for word the same
+    allowed = {"mit": {"mit-0"}, "bsd-3-clause": {"bsd-2-clause"}}
+    assert {k: got[k] - {want[k]} - allowed.get(want[k], set()) for k in got if got[k] - {want[k]} - allowed.get(want[k], set())} == {}
+
+
+def test_every_notice_sentence_has_a_sign(spark):
+    from corpusproof.llm.licenses import SIGNS, sentences_of
+
+    texts = spark.createDataFrame([(t,) for _, t in RULES], "text string").select(sentences_of(F.col("text"), False).alias("s")).collect()
+    assert all(any(any(sign in s for sign in SIGNS) for s in r.s) for r in texts)
 
 
 # ---- mixing ----
