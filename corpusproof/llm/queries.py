@@ -13,7 +13,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusproof.llm.jaccard_join import jaccard_components
 
-    return jaccard_components(_table(spark, sf_dir, "documents"))
+    found = jaccard_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "copies")
 
 
 def held_out(doc_id: str, parts: int, part: int):
@@ -105,4 +106,22 @@ QUERIES = {
     "op9_repeated_windows": op9_repeated_windows,
     "op10_simhash_windows": op10_simhash_windows,
 }
-ORACLES: dict[str, str] = {}
+_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# every pair of documents that share a shingle is compared
+_OP7 = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END)) AS own FROM w),
+g AS (SELECT doc_id, len(own) AS n, unnest(own) AS h FROM s),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id WHERE r.root < e.b),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY 1)
+SELECT s.doc_id, CAST(len(own) AS BIGINT) AS n_shingles, component_id, CASE WHEN len(own) = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY own) END AS class_id,
+ CASE WHEN len(own) = 0 THEN 1 ELSE count(*) OVER (PARTITION BY own) END AS copies FROM s JOIN c USING (doc_id)"""
+# every window is compared with all windows that start earlier
+_OP9 = f"""WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents), p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+v AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS run FROM p WHERE i + 19 <= len(ws)),
+d AS (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1 AS again FROM v),
+k AS (SELECT p.doc_id, p.i, ws[p.i] AS word, coalesce(bool_or(again) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone FROM p LEFT JOIN d USING (doc_id, i)),
+t AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM k GROUP BY 1)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM documents LEFT JOIN t USING (doc_id)"""
+ORACLES: dict[str, str] = {"op7_jaccard_join": _OP7, "op9_repeated_windows": _OP9}
