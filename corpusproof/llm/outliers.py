@@ -3,7 +3,8 @@
 Each text gives a vector of transformed statistics.  For every language and source the minimum-covariance-determinant
 estimate of centre and scatter is found by concentration steps, each of which is two grouped aggregations over all rows:
 the quantile of the squared Mahalanobis distances, then mean and covariance of the rows within it.  Two deterministic
-starts are carried along and the one with the smaller determinant is kept.  A text whose squared distance exceeds
+starts are carried along until no determinant falls by more than ``SETTLED``, and the one with the smaller determinant
+is kept.  A text whose squared distance exceeds
 ``CUTOFF`` is rejected.
 
 Scatter has a floor: measured in units of ``FLOOR`` (standard deviations of the transformed statistics), none of its
@@ -28,7 +29,8 @@ from corpusproof.llm.textbytes import chunks, ngrams
 
 #: Share of a group that the estimate is taken from.
 SUPPORT = 0.75
-STEPS = 3
+#: Fall of a log determinant below which a concentration step changes nothing more.
+SETTLED = 1e-3
 LEAST = 60
 #: Squared distance beyond which a text is rejected: the 0.999 quantile of chi-square with five degrees of freedom.
 CUTOFF = 20.515
@@ -164,12 +166,16 @@ def judged(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     starts = [spread.select("pool", F.lit(k).alias("start"), centre.alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("logdet")) for k, inverse in enumerate([diagonal(lambda i: F.col(f"s{i}") * 1.4826), diagonal(lambda i: F.lit(3 * FLOOR[i]))])]
     estimates = written(starts[0].unionByName(starts[1]), "estimates")
     both = fit.select("pool", "x", F.explode(F.array(F.lit(0), F.lit(1))).alias("start"))  # one row for each start
-    for _ in range(STEPS):
+    moving, first = True, True
+    while moving:
         far = _distance(both, estimates)
         limit = far.groupBy("pool", "start").agg(F.percentile_approx("d2", SUPPORT, 1000).alias("limit"))
         near = far.join(small(written(limit, "limits"), GROUPS), ["pool", "start"]).where("d2 <= limit")
         moments = near.groupBy("pool", "start").agg(F.array(*(F.avg(F.col("x")[i]) for i in range(_P))).alias("mean"), F.array(*(F.avg(F.col("x")[i] * F.col("x")[j]) for i in range(_P) for j in range(_P))).alias("square"))
-        estimates = written(_inverses(moments), "estimates")
+        before, estimates = estimates.select("pool", "start", F.col("logdet").alias("before")), written(_inverses(moments), "estimates")
+        # a row for each group and start
+        moving = first or estimates.join(before, ["pool", "start"]).where(F.col("before") - F.col("logdet") > SETTLED).limit(1).count() > 0
+        first = False
     best = estimates.groupBy("pool").agg(F.min_by(F.struct("start", "centre", "inverse"), F.struct("logdet", "start")).alias("b")).select("pool", "b.*")
     best = written(best, "best")
     median = _distance(both, best).groupBy("pool").agg(F.percentile_approx("d2", 0.5, 1000).alias("median"))

@@ -47,8 +47,8 @@ def new_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def removed(spark: SparkSession, but: str = "") -> Iterator[None]:
-    """Remove the folders that are made inside the block, at its end, but for those whose name begins with ``but``."""
+def removed(spark: SparkSession, but: tuple[str, ...] = ()) -> Iterator[None]:
+    """Remove the folders that are made inside the block, at its end, but for those whose names begin with one of ``but``."""
     made: list[str] = []
     _made.append(made)
     try:
@@ -57,7 +57,7 @@ def removed(spark: SparkSession, but: str = "") -> Iterator[None]:
         _made.remove(made)
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in made:
-            if not (but and path.rsplit("/", 1)[1].startswith(but)):
+            if not path.rsplit("/", 1)[1].startswith(but):
                 at = jvm.org.apache.hadoop.fs.Path(path)
                 at.getFileSystem(conf).delete(at, True)
 

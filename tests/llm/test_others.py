@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -11,7 +12,7 @@ from corpusproof.llm.log_bilinear import lm_scores
 from corpusproof.llm.mixing import document_rates, fit_rates, mixed
 from corpusproof.llm.outliers import judged
 from corpusproof.llm.queries import HOST_RULES
-from corpusproof.llm.url_rules import judge_urls
+from corpusproof.llm.url_rules import judge_urls, mine_rules, url_tokens
 
 
 def words(text, lower=False):
@@ -141,6 +142,31 @@ def test_hosts_paths_rules_and_mined_rules(spark):
     assert judge_urls(pages, labelled.limit(0), HOST_RULES).where("mined is not null").count() == 0
 
 
+def test_mined_rules_against_enumerated_sets(spark):
+    import itertools
+
+    rng = random.Random(6)
+    hosts, paths = ["a.example.com", "b.example.org", "c.shop.io"], ["offer", "news", "win", "story"]
+    urls = []
+    for k in range(400):
+        host, path = rng.choice(hosts), rng.sample(paths, 2)
+        bad = ("win" in path and host.startswith("c.")) or "offer" in path
+        urls.append((f"http://{host}/{path[0]}/{path[1]}/{k}", bad if rng.random() < 0.9 else not bad))
+    tokens = spark.createDataFrame(urls, "url string, blocked boolean").select(url_tokens(F.col("url")).alias("t"), "blocked").collect()
+    baskets = [(frozenset(r.t), r.blocked) for r in tokens]
+    names, least, confidence = sorted(set().union(*(b for b, _ in baskets))), 8, 0.6
+    rules = {}
+    for size in range(1, 9):
+        for part in map(frozenset, itertools.combinations(names, size)):
+            have = [bad for b, bad in baskets if part <= b]
+            if sum(have) >= least and sum(have) / len(have) >= confidence:
+                rules[part] = (sum(have), sum(have) / len(have))
+    kept = {p: v for p, v in rules.items() if not any(q < p and rules[q][1] >= v[1] for q in rules)}
+    got = {frozenset(r.tokens): (r.n, r.confidence) for r in mine_rules(spark.createDataFrame(urls, "url string, blocked boolean"), 0.001, confidence, least).collect()}
+    assert got.keys() == kept.keys() and kept
+    assert all(got[p][0] == kept[p][0] and abs(got[p][1] - kept[p][1]) < 1e-9 for p in kept)
+
+
 # ---- licenses ----
 
 
