@@ -65,7 +65,7 @@ def line_evidence(quotes: DataFrame, lines: DataFrame, window: int = NEAR) -> Da
     """``quotes(source, where, quote)`` with result: ok, not near, not found, malformed or no such place.
 
     ``lines(repo, path, line, text)``.  A cited place is joined with the lines around it, by file and line; only quotes
-    that are not near look through their whole file.
+    that are not near look through their whole file, which is brought together and normalised once for all of them.
     """
     cited = quotes.withColumn("_q", F.xxhash64("source", "where", "quote")).withColumn("_c", field_citation(F.col("where"))).withColumns({"_path": F.col("_c.path"), "_line": F.col("_c.start")})
     places = cited.where("_c is not null").select("_q", "quote", F.col("source").alias("repo"), F.col("_path").alias("path"), F.col("_line").alias("cited")).distinct()
@@ -73,7 +73,10 @@ def line_evidence(quotes: DataFrame, lines: DataFrame, window: int = NEAR) -> Da
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n")
     form = quote_form(F.first("quote"))
     around = near.groupBy("_q").agg(F.bool_or(F.col("line") == F.col("cited")).alias("exists"), ((form != "") & quote_form(text).contains(form)).alias("near"))
-    far = places.join(around.where("exists and not near").select("_q"), "_q").join(lines, ["repo", "path"]).groupBy("_q").agg(((form != "") & quote_form(text).contains(form)).alias("in_file"))
+    left = places.join(around.where("exists and not near").select("_q"), "_q")
+    files = lines.join(left.select("repo", "path").distinct(), ["repo", "path"], "left_semi").groupBy("repo", "path").agg(quote_form(text).alias("_form"))
+    own = quote_form(F.col("quote"))
+    far = left.join(files, ["repo", "path"]).select("_q", ((own != "") & F.col("_form").contains(own)).alias("in_file"))
     joined = cited.join(around, "_q", "left").join(far, "_q", "left")
     result = F.when(F.col("_c").isNull(), "malformed").when(~F.coalesce("exists", F.lit(False)), "no such place").when(F.col("near"), "ok").when(F.col("in_file"), "not near").otherwise("not found")
     return joined.select(*quotes.columns, result.alias("result"))

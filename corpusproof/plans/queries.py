@@ -27,7 +27,6 @@ from corpusproof.plans.bindings import (
 )
 from corpusproof.plans.bindings import ledger as ledger_rows
 from corpusproof.plans.registry import ORACLES, QUERIES, query
-from corpusproof.sources.tables import rendered
 
 NOW = "2024-05-06 07:08:00"
 HTML_TAGS = ("table", "tr", "td", "th", "ul", "ol", "li", "p", "div", "pre")
@@ -464,11 +463,6 @@ def entry_disagreements(spark, sf):
     return entries.disagreements(rows.where("cast(source as int) < 4"), rows.where("cast(source as int) >= 4"))
 
 
-@query()
-def entry_catalogue(spark, sf):
-    return rendered(entries.catalogue_lines(entry_rows(spark, sf)))
-
-
 # ---- tickets ----
 
 
@@ -603,6 +597,6 @@ def chapter_blocks(spark, sf):
     return handbook.chapter_blocks(_as_chapters(spark, sf)).select("area", "section", "block_no", "block")
 
 
-from corpusproof.plans import columns, workspaces  # noqa: E402  register their queries
+from corpusproof.plans import columns, files, workspaces  # noqa: E402  register their queries
 
-__all__ = ["ORACLES", "QUERIES", "columns", "workspaces"]
+__all__ = ["ORACLES", "QUERIES", "columns", "files", "workspaces"]

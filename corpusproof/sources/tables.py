@@ -80,6 +80,12 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return named.where(eligible_file(F.col("path"), F.col("content"), F.col("size")))
 
 
+def read_bodies(spark: SparkSession, path: str, suffix: str = "html") -> DataFrame:
+    """(page_id, html, size) of the files ``<page_id>.<suffix>`` below ``path``, one whole body each."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{suffix}").load(path)
+    return raw.select(F.regexp_extract("path", f"([^/]*)\\.{suffix}$", 1).alias("page_id"), F.col("content").cast("string").alias("html"), F.col("length").alias("size"))
+
+
 def file_lines(files: DataFrame) -> DataFrame:
     """(repo, path, line, text): lines count from 1; a final line feed leaves one more, empty line."""
     return files.select("repo", "path", F.posexplode(F.split("content", "\\n")).alias("at", "text")).select("repo", "path", (F.col("at") + 1).cast("long").alias("line"), "text")

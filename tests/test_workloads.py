@@ -76,6 +76,13 @@ def test_sound_pages_pass(spark, wiki):
     assert [(r.page_id, r.depth) for r in pages.tree_listing(ledger).collect()] == [("1", 0), ("2", 1), ("3", 1)]
 
 
+def test_bodies_are_read_whole(spark, tmp_path):
+    (tmp_path / "S").mkdir()
+    (tmp_path / "S" / "12.html").write_text("<p>a\nb é</p>")
+    (tmp_path / "S" / "12.md").write_text("no")
+    assert [tuple(r) for r in tables.read_bodies(spark, str(tmp_path)).collect()] == [("12", "<p>a\nb é</p>", 12)]
+
+
 def test_markup_inside_cdata_is_text(spark):
     code = "<h2>Head</h2><pre><![CDATA[<h1>no</h1><table><a href='x'>]]></pre><![CDATA[ open & <b> ]]>"
     row = spark.createDataFrame([(code,)], "html string").select(pages.raw_structure(F.col("html")).alias("s"), pages.unbalanced_tags(F.col("html")).alias("u"), escaped_cdata(F.col("html")).alias("e")).first()
