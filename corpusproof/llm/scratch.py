@@ -55,11 +55,19 @@ def removed(spark: SparkSession, but: tuple[str, ...] = ()) -> Iterator[None]:
         yield
     finally:
         _made.remove(made)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in made:
             if not path.rsplit("/", 1)[1].startswith(but):
-                at = jvm.org.apache.hadoop.fs.Path(path)
-                at.getFileSystem(conf).delete(at, True)
+                _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove the table behind ``df``, which ``written`` has made and from which nothing is read any more."""
+    _delete(df.sparkSession, df._scratch_path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -75,4 +83,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch_path = path
+    return stored
