@@ -34,13 +34,13 @@ from corpusproof.llm.scratch import written
 from corpusproof.llm.textbytes import Chunk, chunks
 
 #: Words with vectors of their own, at most, and the count that a word needs for them.
-HEAD = 16_000
+HEAD = 6_000
 OFTEN = 50
 CONTEXT = 3
 WIDTH = 16
 #: Noise drawn for the classes of a batch, and for the units of each class.
-NOISE, UNIT_NOISE = 64, 12
-BATCH = 16_384
+NOISE, UNIT_NOISE = 24, 12
+BATCH = 32_768
 #: Words whose counts every task gets, at most; 16 bytes each.
 FREQUENT = 300_000
 #: Texts, and their characters, of the sample that the start is fitted on, at most.
@@ -141,30 +141,36 @@ class LogBilinear:
     def log_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
         """Normalised natural-log probabilities, by matrix products over batches."""
         result = np.empty(len(units), np.float64)
-        size = len(self.out) // len(self.class_out)
+        classes = len(self.class_out)
+        size = len(self.out) // classes
+        # a last row for the biases; contexts get a last 1
+        of_class = np.vstack([self.class_out.T, self.class_bias])
+        of_unit = np.concatenate([self.out.reshape(classes, size, -1).transpose(0, 2, 1), self.bias.reshape(classes, 1, size)], 1)
         for k in range(0, len(units), 1 << 16):
             own = units[k : k + (1 << 16)]
-            q = self.predict(contexts[k : k + (1 << 16)])
-            first, order, edges = by_class(own // size, len(self.class_out))
+            q = np.ones((len(own), WIDTH + 1), np.float32)
+            q[:, :WIDTH] = self.predict(contexts[k : k + (1 << 16)])
+            first, order, edges = by_class(own // size, classes)
             log_p = np.empty(len(own), np.float64)
-            for lo in range(0, len(own), 4096):
-                log_p[lo : lo + 4096] = _own_log_share(q[lo : lo + 4096], self.class_out, self.class_bias, first[lo : lo + 4096])
+            for lo in range(0, len(own), 2048):
+                log_p[lo : lo + 2048] = _own_log_share(q[lo : lo + 2048] @ of_class, first[lo : lo + 2048])
             inside, q = np.empty(len(own), np.float64), q[order]
             slot = (own % size)[order]
             for c in np.flatnonzero(np.diff(edges)):
                 a, b = edges[c], edges[c + 1]
-                inside[a:b] = _own_log_share(q[a:b], self.out[c * size : (c + 1) * size], self.bias[c * size : (c + 1) * size], slot[a:b])
+                inside[a:b] = _own_log_share(q[a:b] @ of_unit[c], slot[a:b])
             log_p[order] += inside
             result[k : k + (1 << 16)] = log_p
         return result
 
 
-def _own_log_share(q: np.ndarray, out: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Log softmax of q @ out + bias at each row's own column."""
-    scores = q @ out.T
-    scores += bias
-    np.minimum(scores, 80, out=scores)
+def _own_log_share(scores: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log softmax of each row at its own column; ``scores`` are used up."""
     at = scores[np.arange(len(scores)), own].astype(np.float64)
+    if scores.max(initial=0) > 80:  # exp would overflow
+        most = scores.max(1)
+        scores -= most[:, None]
+        at -= most
     np.exp(scores, out=scores)
     return at - np.log(scores.sum(1))
 
@@ -182,7 +188,12 @@ def by_class(of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """1 / (1 + exp(-x)), in the place of x."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Trainer:
@@ -230,13 +241,17 @@ class Trainer:
         d_bias[:, 0] += np.bincount(units, g, len(d_bias))
         drawn = np.searchsorted(self.cumulative, np.arange(self.classes)[:, None] + self.draw.random_sample((self.classes, UNIT_NOISE)))
         drawn = np.minimum(drawn, np.arange(1, self.classes + 1)[:, None] * self.size - 1)
+        others, shift = m.out[drawn], m.bias[drawn] - self.log_noise[drawn]
+        to_out, to_bias = np.zeros_like(others), np.zeros_like(shift)
         for c in filled:
-            a, b, noise = edges[c], edges[c + 1], drawn[c]
-            others = m.out[noise]
-            wrong = _sigmoid(q[a:b] @ others.T + (m.bias[noise] - self.log_noise[noise])).astype(np.float32)
-            gq[a:b] += wrong @ others
-            np.add.at(d_out, noise, wrong.T @ q[a:b])
-            np.add.at(d_bias[:, 0], noise, wrong.sum(0))
+            a, b = edges[c], edges[c + 1]
+            wrong = q[a:b] @ others[c].T
+            wrong += shift[c]
+            _sigmoid(wrong)
+            gq[a:b] += wrong @ others[c]
+            to_out[c], to_bias[c] = wrong.T @ q[a:b], wrong.sum(0)
+        np.add.at(d_out, drawn.ravel(), to_out.reshape(-1, WIDTH))
+        np.add.at(d_bias[:, 0], drawn.ravel(), to_bias.ravel())
 
         d_place += np.stack([(gq * r).sum(0) for r in rows])
         for j in range(CONTEXT):

@@ -166,16 +166,17 @@ def judged(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     starts = [spread.select("pool", F.lit(k).alias("start"), centre.alias("centre"), inverse.alias("inverse"), F.lit(0.0).alias("logdet")) for k, inverse in enumerate([diagonal(lambda i: F.col(f"s{i}") * 1.4826), diagonal(lambda i: F.lit(3 * FLOOR[i]))])]
     estimates = written(starts[0].unionByName(starts[1]), "estimates")
     both = fit.select("pool", "x", F.explode(F.array(F.lit(0), F.lit(1))).alias("start"))  # one row for each start
-    moving, first = True, True
+    estimates = estimates.withColumn("least", F.lit(float("inf")))
+    moving = True
     while moving:
         far = _distance(both, estimates)
         limit = far.groupBy("pool", "start").agg(F.percentile_approx("d2", SUPPORT, 1000).alias("limit"))
         near = far.join(small(written(limit, "limits"), GROUPS), ["pool", "start"]).where("d2 <= limit")
         moments = near.groupBy("pool", "start").agg(F.array(*(F.avg(F.col("x")[i]) for i in range(_P))).alias("mean"), F.array(*(F.avg(F.col("x")[i] * F.col("x")[j]) for i in range(_P) for j in range(_P))).alias("square"))
-        before, estimates = estimates.select("pool", "start", F.col("logdet").alias("before")), written(_inverses(moments), "estimates")
-        # a row for each group and start
-        moving = first or estimates.join(before, ["pool", "start"]).where(F.col("before") - F.col("logdet") > SETTLED).limit(1).count() > 0
-        first = False
+        # least only falls and has a bound, as scatter has, so the steps come to an end
+        before = estimates.select("pool", "start", F.col("least").alias("before"))
+        estimates = written(_inverses(moments).join(before, ["pool", "start"]).withColumn("least", F.least("before", "logdet")), "estimates")
+        moving = estimates.where(F.col("before") - F.col("logdet") > SETTLED).limit(1).count() > 0
     best = estimates.groupBy("pool").agg(F.min_by(F.struct("start", "centre", "inverse"), F.struct("logdet", "start")).alias("b")).select("pool", "b.*")
     best = written(best, "best")
     median = _distance(both, best).groupBy("pool").agg(F.percentile_approx("d2", 0.5, 1000).alias("median"))
