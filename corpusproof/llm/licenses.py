@@ -1,8 +1,8 @@
 """License scans by sentence rules: sentences become identifiers, sequences of identifiers are matched to license rules.
 
 A rule is the text of a notice.  Notices and documents go through the same expressions: comment leaders are dropped, the
-text is cut into sentences after ``. ! ?`` and white space before a capital letter or quote, and after a colon before a
-capitalised word with another behind it or a list number, a sentence is lower-cased,
+text is cut into sentences after ``. ! ?`` and white space unless a digit follows, and after a colon before a capitalised
+word with another behind it or a list number, a sentence is lower-cased,
 everything but letters and digits becomes one space, and copyright notices are reduced to one word.  Each distinct
 sentence of the notices has an identifier, and a rule is the sequence of its sentences' identifiers; sentences of fewer
 than ``SHORTEST`` words (list numbers, "and") are in no rule.  Documents are cut in two ways, at line ends as well, and
@@ -137,7 +137,7 @@ and to alter it and redistribute it freely, subject to the following restriction
 #: Words one of which stands in every sentence of the notices above.
 SIGNS = ("licens", "copyright", "permi", "software", "redistribut", "reserved", "cc0", "warrant", "program", "library", "liable", "eclipse", "mozilla")
 
-_END = "(?<=[.!?])\\s+(?=[\\p{Lu}\"“(])|(?<=:)\\s+(?=\\p{Lu}\\S*[ \\t]+\\p{L}|[0-9]+[.)]\\s)"
+_END = "(?<=[.!?])\\s+(?=[^\\s0-9])|(?<=:)\\s+(?=\\p{Lu}\\S*[ \\t]+\\p{L}|[0-9]+[.)]\\s)"
 
 
 def sentences_of(text: Column, line_ends: bool) -> Column:
