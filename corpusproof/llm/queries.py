@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage: op1 to op10, each over its whole table."""
+"""The registered queries of this subpackage: op1 to op13, each over its whole table."""
 
 from __future__ import annotations
 
@@ -94,6 +94,12 @@ def op10_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.spelling import variant_groups
+
+    return variant_groups(_table(spark, sf_dir, "documents")).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 QUERIES = {
     "op1_line_crf": op1_line_crf,
     "op2_log_bilinear": op2_log_bilinear,
@@ -105,6 +111,7 @@ QUERIES = {
     "op8_outliers": op8_outliers,
     "op9_repeated_windows": op9_repeated_windows,
     "op10_simhash_windows": op10_simhash_windows,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 _WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
