@@ -94,6 +94,14 @@ def op10_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from corpusproof.llm.packing import packed
+
+    return packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")).pieces(with_ids=False)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusproof.llm.spelling import variant_groups
 
@@ -111,6 +119,7 @@ QUERIES = {
     "op8_outliers": op8_outliers,
     "op9_repeated_windows": op9_repeated_windows,
     "op10_simhash_windows": op10_simhash_windows,
+    "op12_best_fit_packing": op12_best_fit_packing,
     "op13_spelling_variants": op13_spelling_variants,
 }
 _WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
