@@ -94,6 +94,12 @@ def op10_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusproof.llm.collocations import collocations
+
+    return collocations(_table(spark, sf_dir, "documents")).drop("cut")
+
+
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -119,6 +125,7 @@ QUERIES = {
     "op8_outliers": op8_outliers,
     "op9_repeated_windows": op9_repeated_windows,
     "op10_simhash_windows": op10_simhash_windows,
+    "op11_collocations": op11_collocations,
     "op12_best_fit_packing": op12_best_fit_packing,
     "op13_spelling_variants": op13_spelling_variants,
 }
@@ -140,4 +147,17 @@ d AS (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i)
 k AS (SELECT p.doc_id, p.i, ws[p.i] AS word, coalesce(bool_or(again) OVER (PARTITION BY p.doc_id ORDER BY p.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), false) AS gone FROM p LEFT JOIN d USING (doc_id, i)),
 t AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM k GROUP BY 1)
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM documents LEFT JOIN t USING (doc_id)"""
-ORACLES: dict[str, str] = {"op7_jaccard_join": _OP7, "op9_repeated_windows": _OP9}
+# every phrase is counted, frequent or not
+_OP11 = f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY 1),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM w, range(1, 6) t(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING a >= 100),
+i AS (SELECT f.lang, array_to_string(string_split(phrase, ' ')[s:s + m - 1], ' ') AS phrase, max(a) AS longer FROM f, range(2, 5) u(m), range(1, 5) t(s) WHERE m < k AND s + m - 1 <= k GROUP BY 1, 2),
+c AS (SELECT f.lang, f.phrase, f.a, n.n, x.a AS l, y.a AS r, (1000::HUGEINT * f.a * n.n) // (x.a::HUGEINT * y.a) AS score, j
+ FROM f JOIN n USING (lang) LEFT JOIN i ON i.lang = f.lang AND i.phrase = f.phrase JOIN range(1, 5) t(j) ON j < f.k
+ JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(string_split(f.phrase, ' ')[1:j], ' ') JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(string_split(f.phrase, ' ')[j + 1:f.k], ' ')
+ WHERE f.k >= 2 AND (longer IS NULL OR 100 * longer < 100 * f.a)),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM b QUALIFY rank <= 2000"""
+ORACLES: dict[str, str] = {"op11_collocations": _OP11, "op7_jaccard_join": _OP7, "op9_repeated_windows": _OP9}

@@ -55,9 +55,12 @@ class Chunk:
         """A copy with A-Z in lower case; other letters stay as they are."""
         return Chunk(_LOWER[self.data], self.at, self.first)
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, end, text_first): byte range of every word; words of text k are text_first[k]:text_first[k + 1]."""
-        word = _WORD[self.data]
+    def words(self, of: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, text_first): byte range of every word; words of text k are text_first[k]:text_first[k + 1].
+
+        ``of`` tells for each of the 256 bytes whether it belongs to a word.
+        """
+        word = of[self.data]
         n = len(word)
         if not n:
             none = np.zeros(0, np.int64)
