@@ -76,7 +76,7 @@ class _Texts:
                 at = at[known[at + 1] & self.linked[at + j - 2]]
             key = self.keys(at, j)
             if j <= len(maps):
-                spot = ((key >> np.uint64(2)) & np.uint64(BITS - 1)).astype(np.int64)
+                spot = ((key >> np.uint64(2)) & np.uint64(64 * len(maps[j - 1]) - 1)).astype(np.int64)
                 found = (maps[j - 1][spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) > 0
                 at, key = at[found], key[found]
             if j == k or upto and j > 1:
