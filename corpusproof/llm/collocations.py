@@ -17,6 +17,7 @@ The words of a phrase lie in one piece of a text.  Scores are ratios of exact de
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from corpusproof.llm.textbytes import chunks, mix
 
 SHARDS = 4
 #: Bits of the map of candidates that goes to every task.
-BITS = 1 << 26
+BITS = 1 << 25
 #: Bytes of text whose phrases a task combines at a time.
 HELD = 24 << 20
 
@@ -139,12 +140,13 @@ def _words(rows: DataFrame) -> DataFrame:
     return found.groupBy("lang_key", "phrase", "shard").agg(F.any_value("key").alias("key"), F.sum("n").alias("n"))
 
 
-def _mined(rows: DataFrame, maps: list[np.ndarray], k: int) -> DataFrame:
+def _mined(rows: DataFrame, maps: list[_Map], k: int) -> DataFrame:
     """(lang_key, shard, key, n): phrases of k words whose parts are candidates, counted by shard."""
 
     def run(batches):
+        known = [m.spread() for m in maps]
         for texts in _held(batches):
-            found = [(x, at, key) for x in texts for _, at, key in x.phrases(maps, k)]
+            found = [(x, at, key) for x in texts for _, at, key in x.phrases(known, k)]
             key, shard, lang = (np.concatenate(c) for c in zip(*((key, x.shard[at], x.lang[at]) for x, at, key in found), strict=True))
             # the shard takes the place of the last bits, which no map looks at
             own, one, n = np.unique((key & ~np.uint64(SHARDS - 1)) | shard.astype(np.uint64), return_index=True, return_counts=True)
@@ -154,13 +156,24 @@ def _mined(rows: DataFrame, maps: list[np.ndarray], k: int) -> DataFrame:
     return found.groupBy("lang_key", "shard", "key").agg(F.sum("n").alias("n"))
 
 
-def _map(keys: DataFrame) -> np.ndarray:
-    """A bitmap of hashes (all but their last two bits): ``BITS`` bits, whatever the number of rows."""
-    spot = F.shiftrightunsigned("key", 2).bitwiseAND(F.lit(BITS - 1))
-    rows = keys.select(spot.alias("spot")).groupBy(F.shiftright("spot", 6).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")).alias("bits")).toArrow()
-    out = np.zeros(BITS >> 6, np.uint64)
-    out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    return out
+@dataclass
+class _Map:
+    """A bitmap of hashes (all but their last two bits) of ``BITS`` bits, whatever their number; only words with a bit travel."""
+
+    at: np.ndarray
+    bits: np.ndarray
+    size: int
+
+    @staticmethod
+    def of(keys: DataFrame) -> _Map:
+        spot = F.shiftrightunsigned("key", 2).bitwiseAND(F.lit(BITS - 1))
+        rows = keys.select(spot.alias("spot")).groupBy(F.shiftright("spot", 6).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")).alias("bits")).toArrow()
+        return _Map(rows["at"].to_numpy(), rows["bits"].to_numpy(), BITS >> 6)
+
+    def spread(self) -> np.ndarray:
+        out = np.zeros(self.size, np.uint64)
+        out[self.at] = self.bits.view(np.uint64)
+        return out
 
 
 def _ranked(words: DataFrame, phrases: DataFrame, totals: DataFrame, top: int) -> DataFrame:
@@ -206,17 +219,18 @@ def collocations(documents: DataFrame, longest: int = 5, support: int = 100, top
     local = totals.select("lang_key", "shard", F.expr(f"({support} * own + n - 1) div n").alias("least"))
     unseen = local.groupBy("lang_key").agg(F.sum(F.col("least") - 1).alias("unseen"))
 
-    maps = [_map(words)]
+    maps = [_Map.of(words)]
     for k in range(2, longest + 1):
         frequent = _mined(rows, maps, k).join(local, ["lang_key", "shard"]).where("n >= least")
         reported = frequent.groupBy("lang_key", "key").agg(F.sum(F.col("n") - F.col("least") + 1).alias("over"))
-        maps.append(_map(reported.join(unseen, "lang_key").where(F.col("over") + F.col("unseen") >= support)))
-        if not maps[-1].any():
+        maps.append(_Map.of(reported.join(unseen, "lang_key").where(F.col("over") + F.col("unseen") >= support)))
+        if not len(maps[-1].at):
             break
 
     def count(batches):
+        known = [m.spread() for m in maps]
         for texts in _held(batches):
-            yield _counted(texts, [(t, j, at, key) for t, x in enumerate(texts) for j, at, key in x.phrases(maps, len(maps), upto=True)])
+            yield _counted(texts, [(t, j, at, key) for t, x in enumerate(texts) for j, at, key in x.phrases(known, len(known), upto=True)])
 
     counts = rows.mapInArrow(count, "lang_key long, key long, phrase string, n long").groupBy("lang_key", "phrase").agg(F.sum("n").alias("n"))
     phrases = written(counts.where(F.col("n") >= support), "phrases")
