@@ -31,7 +31,7 @@ SHARDS = 4
 #: Bits of the map of candidates that goes to every task.
 BITS = 1 << 25
 #: Bytes of text whose phrases a task combines at a time.
-HELD = 24 << 20
+HELD = 12 << 20
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -40,31 +40,35 @@ _WORD[[0x20, 0x09]] = False
 
 
 class _Texts:
-    """Words of a chunk of texts: hashes, whether the next word is in the same piece, and language of each."""
+    """Words of a chunk of texts: hashes, whether the next word is in the same piece, and the text of each.
 
-    def __init__(self, chunk, langs: np.ndarray, shards: np.ndarray):
+    With ``spell`` the words can be told as well.
+    """
+
+    def __init__(self, chunk, langs: np.ndarray, shards: np.ndarray, spell: bool):
         low = chunk.lowered()
         start, end, first = low.words(_WORD)
         self.hashes = low.hashes(start, end)
-        text = np.repeat(np.arange(chunk.n), np.diff(first))
-        self.lang, self.shard = langs[text], shards[text]
-        piece = np.cumsum(_PIECE_END[low.data])[start] if len(start) else start
+        self.langs, self.shards = langs, shards
+        self.text = np.repeat(np.arange(chunk.n, dtype=np.int32), np.diff(first))
+        piece = np.cumsum(_PIECE_END[low.data], dtype=np.int32)[start] if len(start) else start
         self.linked = np.zeros(len(start), bool)
-        self.linked[:-1] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
-        # words joined by one space each
-        word = _WORD[low.data]
-        kept = word.copy()
-        kept[1:] |= word[:-1]
-        place = np.cumsum(kept) - 1
-        self.stream = np.where(word, low.data, 32)[kept].astype(np.uint8)
-        self.start, self.end = (place[start], place[end - 1] + 1) if len(start) else (start, end)
+        self.linked[:-1] = (piece[1:] == piece[:-1]) & (self.text[1:] == self.text[:-1])
+        if spell:
+            # words joined by one space each
+            word = _WORD[low.data]
+            kept = word.copy()
+            kept[1:] |= word[:-1]
+            place = np.cumsum(kept, dtype=np.int32) - 1
+            self.stream = np.where(word, low.data, np.uint8(32))[kept]
+            self.start, self.end = (place[start], place[end - 1] + 1) if len(start) else (start, end)
 
     def keys(self, at: np.ndarray, k: int) -> np.ndarray:
         """Hashes of the phrases of k words that begin at the given words, of their language."""
         total = np.full(len(at), k, np.uint64)
         for j in range(k):
             total = (total ^ self.hashes[at + j]) * np.uint64(0x9DDFEA08EB382D69) + np.uint64(j + 1)
-        return mix(total ^ self.lang[at])
+        return mix(total ^ self.langs[self.text[at]])
 
     def phrases(self, maps: list[np.ndarray], k: int, upto: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(length, first words, hashes) of phrases of k words, or with ``upto`` of 2 to k, all of whose parts are in ``maps``."""
@@ -92,14 +96,14 @@ def _slices(stream: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(stream[spot])])
 
 
-def _held(batches) -> Iterator[list[_Texts]]:
+def _held(batches, spell: bool) -> Iterator[list[_Texts]]:
     """Texts of batches (lang_key, shard, text), about ``HELD`` bytes at a time."""
     texts, size = [], 0
     for batch in batches:
         langs, shards = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
         for chunk in chunks(batch.column(2)):
             own = slice(chunk.first, chunk.first + chunk.n)
-            texts.append(_Texts(chunk, langs[own], shards[own]))
+            texts.append(_Texts(chunk, langs[own], shards[own], spell))
             size += len(chunk.data)
             if size >= HELD:
                 yield texts
@@ -115,9 +119,9 @@ def _counted(texts: list[_Texts], found: list[tuple[int, int, np.ndarray, np.nda
     """(lang_key, key, phrase, n) of phrases found as (text, length, first words, hashes)."""
     moved = np.cumsum([0, *(len(t.stream) for t in texts)])
     key = np.concatenate([f[3] for f in found])
-    start = np.concatenate([texts[t].start[at] + moved[t] for t, _, at, _ in found])
-    end = np.concatenate([texts[t].end[at + k - 1] + moved[t] for t, k, at, _ in found])
-    lang = np.concatenate([texts[t].lang[at] for t, _, at, _ in found])
+    start = np.concatenate([texts[t].start[at] + np.int32(moved[t]) for t, _, at, _ in found])
+    end = np.concatenate([texts[t].end[at + k - 1] + np.int32(moved[t]) for t, k, at, _ in found])
+    lang = np.concatenate([texts[t].langs[texts[t].text[at]] for t, _, at, _ in found])
     key, one, n = np.unique(key, return_index=True, return_counts=True)
     stream = np.concatenate([t.stream for t in texts])
     return pa.RecordBatch.from_arrays([pa.array(lang[one].view(np.int64)), pa.array(key.view(np.int64)), _slices(stream, start[one], end[one]), pa.array(n)], names=_COUNTED)
@@ -127,12 +131,14 @@ def _words(rows: DataFrame) -> DataFrame:
     """(lang_key, phrase, key, shard, n): counts of words (shard null), and of all words of each shard (phrase null)."""
 
     def run(batches):
-        for texts in _held(batches):
+        for texts in _held(batches, True):
             every = [(t, 1, at := np.arange(len(x.hashes)), x.keys(at, 1)) for t, x in enumerate(texts)]
             words = _counted(texts, every)
             yield pa.RecordBatch.from_arrays([*words.columns, pa.nulls(len(words), pa.int32())], names=[*_COUNTED, "shard"])
-            pairs = np.concatenate([np.stack([x.lang.view(np.int64), x.shard.astype(np.int64)]) for x in texts], axis=1)
-            each, n = np.unique(pairs, axis=1, return_counts=True)
+            counts = [np.bincount(x.text, minlength=len(x.langs)) for x in texts]
+            pairs = np.concatenate([np.stack([x.langs.view(np.int64), x.shards.astype(np.int64)]) for x in texts], axis=1)
+            each, which = np.unique(pairs, axis=1, return_inverse=True)
+            n = np.bincount(which.ravel(), np.concatenate(counts)).astype(np.int64)
             none = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(each[0]), none, none.cast(pa.string()), pa.array(n), pa.array(each[1], pa.int32())], names=[*_COUNTED, "shard"])
 
@@ -145,12 +151,14 @@ def _mined(rows: DataFrame, maps: list[_Map], k: int) -> DataFrame:
 
     def run(batches):
         known = [m.spread() for m in maps]
-        for texts in _held(batches):
+        last = np.uint64(SHARDS - 1)
+        for texts in _held(batches, False):
             found = [(x, at, key) for x in texts for _, at, key in x.phrases(known, k)]
-            key, shard, lang = (np.concatenate(c) for c in zip(*((key, x.shard[at], x.lang[at]) for x, at, key in found), strict=True))
             # the shard takes the place of the last bits, which no map looks at
-            own, one, n = np.unique((key & ~np.uint64(SHARDS - 1)) | shard.astype(np.uint64), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(lang[one].view(np.int64)), pa.array(shard[one], pa.int32()), pa.array((own & ~np.uint64(SHARDS - 1)).view(np.int64)), pa.array(n)], names=["lang_key", "shard", "key", "n"])
+            own = np.concatenate([(key & ~last) | x.shards[x.text[at]].astype(np.uint64) for x, at, key in found])
+            lang = np.concatenate([x.langs[x.text[at]] for x, at, _ in found])
+            own, one, n = np.unique(own, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(lang[one].view(np.int64)), pa.array((own & last).astype(np.int32)), pa.array((own & ~last).view(np.int64)), pa.array(n)], names=["lang_key", "shard", "key", "n"])
 
     found = rows.mapInArrow(run, "lang_key long, shard int, key long, n long")
     return found.groupBy("lang_key", "shard", "key").agg(F.sum("n").alias("n"))
@@ -229,7 +237,7 @@ def collocations(documents: DataFrame, longest: int = 5, support: int = 100, top
 
     def count(batches):
         known = [m.spread() for m in maps]
-        for texts in _held(batches):
+        for texts in _held(batches, True):
             yield _counted(texts, [(t, j, at, key) for t, x in enumerate(texts) for j, at, key in x.phrases(known, len(known), upto=True)])
 
     counts = rows.mapInArrow(count, "lang_key long, key long, phrase string, n long").groupBy("lang_key", "phrase").agg(F.sum("n").alias("n"))
