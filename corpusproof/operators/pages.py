@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from corpusproof.functions.helpers import ascii_folded, bodyless_macros, converted_pages, outside_fences, unescape_entities
+from corpusproof.functions.helpers import ascii_folded, unescape_entities
+from corpusproof.functions.markdown import converted_pages
+from corpusproof.functions.markup import bodyless_macros, outside_fences
 from corpusproof.functions.text import (
     attachment_url,
     build_front_matter,

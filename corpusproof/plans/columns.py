@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusproof.functions import helpers, text
+from corpusproof.functions import helpers, markup, text
 from corpusproof.operators import pages
 from corpusproof.plans.bindings import PAGES, page_ledger, table
 from corpusproof.plans.registry import query
@@ -109,7 +109,7 @@ def text_demoted_headings(spark, sf):
 def text_outside_fences(spark, sf):
     """A block that holds other fences, two blocks of which one is quoted, and one that is not closed."""
     bodies = F.array(_say("{lang}", "\n````sql\n```\n~~~\n````x\n````\nafter"), _say("{lang}", "\n```\na\n```\n> ~~~~\n> b\n> ~~~~\nafter"), _say("{lang}", "\n~~~ js\n```\nafter"))
-    rows = table(spark, sf, "documents").select("doc_id", helpers.outside_fences(bodies[(F.col("doc_id") % 3).cast("int")]).alias("o"))
+    rows = table(spark, sf, "documents").select("doc_id", markup.outside_fences(bodies[(F.col("doc_id") % 3).cast("int")]).alias("o"))
     return rows.select("doc_id", "o.text", "o.blocks")
 
 
@@ -137,7 +137,7 @@ def page_bodyless_macros(spark, sf):
     code = '<ac:structured-macro ac:name="code"><ac:plain-text-body><![CDATA[<ac:macro ac:name="no"/>]]></ac:plain-text-body></ac:structured-macro>'
     kinds = [toc + status + code, toc + '<ac:macro ac:name="toc"></ac:macro>' + key(" "), '<ac:structured-macro><ac:parameter ac:name="a">b</ac:parameter></ac:structured-macro>' + toc + key("PAY-1"), code + key("PAY-2") + status]
     html = F.concat("html", F.array(*map(F.lit, kinds))[(F.col("page_id") % 4).cast("int")])
-    return helpers.bodyless_macros(rows.select("page_id", html.alias("html"))).select("page_id", "macro", "n")
+    return markup.bodyless_macros(rows.select("page_id", html.alias("html"))).select("page_id", "macro", "n")
 
 
 @query("""WITH n AS (SELECT page_id, page_id % 3 AS k FROM pages) SELECT 'toc' AS macro, count(*) AS n, count(*) AS pages FROM n WHERE k = 0 UNION ALL SELECT 'chart', 2 * count(*), count(*) FROM n WHERE k <= 1""")

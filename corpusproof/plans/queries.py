@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusproof.functions import helpers, text
+from corpusproof.functions import markdown, text
 from corpusproof.operators import entries, handbook, ledger, linkage, pages, repos, tickets
 from corpusproof.plans.bindings import (
     CHAPTERS,
@@ -215,7 +215,7 @@ def page_compare_bodies(spark, sf):
 
 @query()
 def page_conversion(spark, sf):
-    made = helpers.converted_pages(table(spark, sf, "pages"))
+    made = markdown.converted_pages(table(spark, sf, "pages"))
     return made.select("page_id", "body", "placeholders", F.array_join("warnings", "; ").alias("warnings"))
 
 

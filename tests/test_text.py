@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from corpusproof.functions import helpers, text
+from corpusproof.functions import helpers, markup, text
 
 
 def one(spark, expression, **values):
@@ -65,7 +65,7 @@ def test_slug_and_file_name(spark):
 
 def test_links_and_fences(spark):
     body = "# T\n[a](x.md) ![i](attachments/1/f.png)\n```\n[no](y.md)\n```\n[e](https://x) [o](outside://S/T) [z](#top)"
-    out = one(spark, helpers.outside_fences(F.col("t")), t=body)
+    out = one(spark, markup.outside_fences(F.col("t")), t=body)
     assert out["blocks"] == 1 and "y.md" not in out["text"]
     links = one(spark, text.markdown_links(F.col("t")), t=out["text"])
     assert [x["kind"] for x in links] == ["page", "attachment", "external", "outside", "other"]

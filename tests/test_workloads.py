@@ -5,7 +5,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from corpusproof.functions.helpers import bodyless_macros, html_to_markdown
+from corpusproof.functions.markdown import converted_pages
+from corpusproof.functions.markup import bodyless_macros
 from corpusproof.functions.text import escaped_cdata
 from corpusproof.operators import entries, handbook, linkage, pages, repos, tickets
 from corpusproof.sources import tables
@@ -36,8 +37,13 @@ RICH = """<h2>Flow &amp; rules</h2><p>Text with <strong>bold</strong>, <em>soft<
 <ac:link><ri:user ri:account-id="u7" /></ac:link> <ac:emoticon ac:name="smile" /></p>"""
 
 
-def test_converter():
-    body, placeholders, warnings = html_to_markdown(RICH)
+def converted(spark, html):
+    row = converted_pages(spark.createDataFrame([("1", html)], "page_id string, html string")).first()
+    return row.body, row.placeholders, row.warnings
+
+
+def test_converter(spark):
+    body, placeholders, warnings = converted(spark, RICH)
     for part in (
         "## Flow & rules", "**bold**", "*soft*", "`a_b`", "~~old~~", "- one\n  - inner\n- two", "1. first", "| A | B |\n| --- | --- |\n| 1<br>2 | x\\|y |",
         '<td colspan="2">wide</td>', "````sql\nSELECT ``` 1\n````", "> **Info**\n>\n> Mind this.", "**More**\n\nHidden part", "[STATUS: LIVE] PAY-1", "[MACRO: toc]",
@@ -45,8 +51,8 @@ def test_converter():
     ):
         assert part in body, part
     assert placeholders == 1 and warnings == []
-    assert html_to_markdown("<ac:strange>kept</ac:strange>")[::2] == ("kept", ["unknown tag ac:strange"])
-    assert html_to_markdown("<head><title>t</title></head><script>x</script>")[0] == ""
+    assert converted(spark, "<ac:strange>kept</ac:strange>")[::2] == ("kept", ["unknown tag ac:strange"])
+    assert converted(spark, "<head><title>t</title></head><script>x</script>")[0] == ""
 
 
 @pytest.fixture(scope="module")
@@ -78,9 +84,9 @@ def test_sound_pages_pass(spark, wiki):
 
 def test_bodies_are_read_whole(spark, tmp_path):
     (tmp_path / "S").mkdir()
-    (tmp_path / "S" / "12.html").write_text("<p>a\nb é</p>")
+    (tmp_path / "S" / "12.html").write_text("<p>a\nb é</p>", encoding="utf-8")
     (tmp_path / "S" / "12.md").write_text("no")
-    assert [tuple(r) for r in tables.read_bodies(spark, str(tmp_path)).collect()] == [("12", "<p>a\nb é</p>", 12)]
+    assert [tuple(r) for r in tables.read_bodies(spark, str(tmp_path)).collect()] == [("12", "<p>a\nb é</p>", 13)]
 
 
 def test_markup_inside_cdata_is_text(spark):
