@@ -31,7 +31,7 @@ SHARDS = 4
 #: Bits of the map of candidates that goes to every task.
 BITS = 1 << 25
 #: Bytes of text whose phrases a task combines at a time.
-HELD = 12 << 20
+HELD = 8 << 20
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -157,10 +157,12 @@ def _mined(rows: DataFrame, maps: list[_Map], k: int) -> DataFrame:
             # the shard takes the place of the last bits, which no map looks at
             own = np.concatenate([(key & ~last) | x.shards[x.text[at]].astype(np.uint64) for x, at, key in found])
             lang = np.concatenate([x.langs[x.text[at]] for x, at, _ in found])
+            del found, texts
             own, one, n = np.unique(own, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(lang[one].view(np.int64)), pa.array((own & last).astype(np.int32)), pa.array((own & ~last).view(np.int64)), pa.array(n)], names=["lang_key", "shard", "key", "n"])
 
-    found = rows.mapInArrow(run, "lang_key long, shard int, key long, n long")
+    # each task has combined what it holds; once more before the shuffle would only take memory
+    found = rows.mapInArrow(run, "lang_key long, shard int, key long, n long").repartition("key")
     return found.groupBy("lang_key", "shard", "key").agg(F.sum("n").alias("n"))
 
 
