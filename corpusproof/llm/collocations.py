@@ -31,7 +31,7 @@ SHARDS = 4
 #: Bits of the map of candidates that goes to every task.
 BITS = 1 << 25
 #: Bytes of text whose phrases a task combines at a time.
-HELD = 8 << 20
+HELD = 4 << 20
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -233,7 +233,8 @@ def collocations(documents: DataFrame, longest: int = 5, support: int = 100, top
     for k in range(2, longest + 1):
         frequent = _mined(rows, maps, k).join(local, ["lang_key", "shard"]).where("n >= least")
         reported = frequent.groupBy("lang_key", "key").agg(F.sum(F.col("n") - F.col("least") + 1).alias("over"))
-        maps.append(_Map.of(reported.join(unseen, "lang_key").where(F.col("over") + F.col("unseen") >= support)))
+        united = written(reported.join(unseen, "lang_key").where(F.col("over") + F.col("unseen") >= support).select("key"), "united")
+        maps.append(_Map.of(united))
         if not len(maps[-1].at):
             break
 
