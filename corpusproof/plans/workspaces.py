@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusproof.operators import entries, handbook, ledger, linkage, pages, repos, tickets
+from corpusproof.operators import bucketed, entries, handbook, ledger, linkage, pages, repos, tickets
 from corpusproof.plans.bindings import LEDGER, PAGES, SECOND, page_ledger, second_inventory, table
 from corpusproof.plans.bindings import ledger as ledger_rows
 from corpusproof.plans.columns import _say
@@ -510,22 +510,38 @@ def chapter_subheads(spark, sf):
 # ---- streaming ----
 
 
-@query("""SELECT CAST(page_id AS VARCHAR) AS key, CASE page_id % 4 WHEN 0 THEN 'verified' WHEN 1 THEN 'verified' WHEN 2 THEN 'needs_human' ELSE 'failed' END AS status, CAST(CASE page_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 2 END AS VARCHAR) AS attempts FROM pages""")
+@query("""SELECT CAST(page_id AS VARCHAR) AS key, CASE page_id % 4 WHEN 0 THEN 'verified' WHEN 1 THEN 'verified' WHEN 2 THEN 'needs_human' ELSE 'failed' END AS status, '2' AS attempts FROM pages WHERE page_id % 4 <> 2
+UNION ALL SELECT CAST(page_id AS VARCHAR), 'needs_human', '3' FROM pages WHERE page_id % 4 = 2""")
 def arrivals_ledger(spark, sf):
-    """Bodies of pages as they arrive in three micro-batches: a bad version 9 is delivered twice, version 10 comes next; the ledger is written after each batch."""
-    rows = table(spark, sf, "pages").select("page_id", (F.col("page_id") % 4).alias("k"))
+    """Bodies of pages, judged by their own words, as they arrive in four runs: version 9 twice, version 10 of some, and a late version 8 of others."""
+    rows = table(spark, sf, "pages").select("page_id", (F.col("page_id") % 4).alias("k"), "html")
     home = scratch_folder(spark, "arrivals")
     start = rows.select(F.col("page_id").cast("string").alias("key"), F.lit("pending").alias("status"), F.lit("1").alias("attempts"), F.lit("").alias("notes"))
-    start.write.parquet(f"{home}/ledger/upto=-1")
     schema = "page_id long, version string, html string"
-    good = lambda ok: F.when(ok, "good").otherwise("bad").alias("html")
-    first = rows.select("page_id", F.lit("9").alias("version"), good(F.col("k") == 0))
-    last = rows.where("k in (1, 2)").select("page_id", F.lit("10").alias("version"), good(F.col("k") == 1))
+    body = lambda ok: F.when(ok, F.col("html")).otherwise(F.regexp_replace("html", "(?i)</html>", "<ac:broken>")).alias("html")
+    first = rows.select("page_id", F.lit("9").alias("version"), body(F.col("k") == 0))
+    last = rows.where("k in (1, 2)").select("page_id", F.lit("10").alias("version"), body(F.col("k") == 1))
+    late = rows.where("k = 0").select("page_id", F.lit("8").alias("version"), body(F.lit(False)))
 
     def judge(batch):
-        return batch.select(F.col("page_id").cast("string").alias("key"), (F.col("html") == "good").alias("ok"), F.lit("C1").alias("failing"))
-
-    for part in (first, first, last):
-        part.coalesce(1).write.mode("append").parquet(f"{home}/bodies")
-        arrivals.watch_bodies(spark, f"{home}/bodies", schema, f"{home}/results", f"{home}/state", judge, f"{home}/ledger").awaitTermination()
-    return spark.read.parquet(f"{home}/ledger/upto=2").select("key", "status", "attempts")
+        return batch.select(F.col("page_id").cast("string").alias("key"), (~F.col("html").contains("<ac:broken>")).alias("ok"), F.lit("C1").alias("failing"))
+
+    for part in (first, first, last, late):
+        part.write.mode("append").parquet(f"{home}/bodies")
+        changes = arrivals.watch_bodies(spark, f"{home}/bodies", schema, home, judge)
+    return arrivals.updated(start, changes).select("key", "status", "attempts")
+
+
+@query(f"""WITH {LEDGER}, {SECOND} SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.key IS NULL THEN CASE WHEN b.space = 'fr' THEN 'done' ELSE 'pending' END WHEN a.space = 'fr' THEN 'done' ELSE a.status END AS status,
+ coalesce(a.attempts, '0') AS attempts, coalesce(b.version, a.version) AS version FROM ledger a FULL JOIN second b ON a.key = b.key""")
+def ledger_in_buckets(spark, sf):
+    """A second inventory merged into a bucketed ledger, then a field of one space's rows set in it."""
+    home = scratch_folder(spark, "ledger")
+    name = home.rsplit("/", 1)[1].replace("-", "_")
+    fields = ["key", "status", "attempts", "notes", "version", "space"]
+    held = bucketed.BucketedLedger.create(ledger_rows(spark, sf).select(*fields), name, home, "key")
+    second = second_inventory(spark, sf)
+    held.update(second, lambda part: ledger.merged(part, second, "key", update=True).drop("merge"))
+    french = held.rows().where("space = 'fr'").select("key")
+    held.update(french, lambda part: ledger.bulk_set(part, {"space": "fr"}, {"status": "done"}))
+    return held.rows().select("key", "status", "attempts", "version")

@@ -10,7 +10,6 @@ from corpusproof.functions.markup import bodyless_macros
 from corpusproof.functions.text import escaped_cdata
 from corpusproof.operators import entries, handbook, linkage, pages, repos, tickets
 from corpusproof.sources import tables
-from corpusproof.streaming.arrivals import attempts_of, updated, watch_bodies
 
 
 def failing(df):
@@ -350,20 +349,3 @@ def test_fences_close_by_their_own_kind(spark):
 
 
 # ---- streaming ----
-
-
-def test_redelivery_is_no_second_attempt(spark, tmp_path):
-    bodies = str(tmp_path / "bodies")
-    schema = "page_id string, version long, html string"
-    judge = lambda df: df.groupBy(F.col("page_id").alias("key")).agg(F.max("html").alias("h")).select("key", (F.col("h") != "bad").alias("ok"), F.lit("C").alias("failing"))
-    for part in ([("1", 1, "bad"), ("2", 1, "good")], [("1", 1, "bad")], [("1", 2, "good")]):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(bodies)
-        watch_bodies(spark, bodies, schema, str(tmp_path / "results"), str(tmp_path / "state"), judge).awaitTermination()
-    results = spark.read.parquet(str(tmp_path / "results"))
-    got = {r.key: (r.version, r.ok, r.attempts) for r in attempts_of(results).collect()}
-    assert got == {"1": (2, True, 1), "2": (1, True, 0)}
-    start = spark.createDataFrame([(k, "pending", "1", "old") for k in ("1", "2", "3")], "key string, status string, attempts string, notes string")
-    assert {r.key: (r.status, r.attempts) for r in updated(start, results).collect()} == {"1": ("verified", "2"), "2": ("verified", "1"), "3": ("pending", "1")}
-    # versions are numbers: 10 is newer than 9
-    told = spark.createDataFrame([("1", "10", True, "", 0), ("1", "9", False, "C", 1)], "key string, version string, ok boolean, failing string, batch int")
-    assert attempts_of(told).first().version == "10"
