@@ -32,6 +32,8 @@ SHARDS = 4
 BITS = 1 << 25
 #: Bytes of text whose phrases a task combines at a time.
 HELD = 4 << 20
+#: The same where phrases are told by their words, which are held as well.
+TOLD = 2 << 20
 
 _PIECE_END = np.zeros(256, bool)
 _PIECE_END[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -97,7 +99,7 @@ def _slices(stream: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def _held(batches, spell: bool) -> Iterator[list[_Texts]]:
-    """Texts of batches (lang_key, shard, text), about ``HELD`` bytes at a time."""
+    """Texts of batches (lang_key, shard, text), about ``HELD`` bytes at a time, or ``TOLD`` if words are told."""
     texts, size = [], 0
     for batch in batches:
         langs, shards = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
@@ -105,7 +107,7 @@ def _held(batches, spell: bool) -> Iterator[list[_Texts]]:
             own = slice(chunk.first, chunk.first + chunk.n)
             texts.append(_Texts(chunk, langs[own], shards[own], spell))
             size += len(chunk.data)
-            if size >= HELD:
+            if size >= (TOLD if spell else HELD):
                 yield texts
                 texts, size = [], 0
     if texts:
