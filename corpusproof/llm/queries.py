@@ -18,8 +18,8 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out(doc_id: str, parts: int, part: int):
-    """Whether crc32 of the doc_id as text, modulo ``parts``, is ``part``."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part
+    """Whether crc32 of the doc_id as text (null: an empty string), modulo ``parts``, is ``part``."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,13 +12,15 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: list[list[str]] = []
+#: Folders made inside each open block of ``removed``, by thread.
+_made = threading.local()
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -41,20 +43,20 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder."""
     path = f"{shared_dir(spark)}/corpusproof/{name}-{uuid.uuid4().hex[:12]}"
-    for made in _made:
+    for made in getattr(_made, "open", ()):
         made.append(path)
     return path
 
 
 @contextmanager
 def removed(spark: SparkSession, but: tuple[str, ...] = ()) -> Iterator[None]:
-    """Remove the folders that are made inside the block, at its end, but for those whose names begin with one of ``but``."""
+    """Remove the folders that this thread makes inside the block, at its end, but for those whose names begin with one of ``but``."""
     made: list[str] = []
-    _made.append(made)
+    _made.open = [*getattr(_made, "open", ()), made]
     try:
         yield
     finally:
-        _made.remove(made)
+        _made.open = [m for m in _made.open if m is not made]
         for path in made:
             if not path.rsplit("/", 1)[1].startswith(but):
                 _delete(spark, path)

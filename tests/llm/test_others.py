@@ -249,3 +249,30 @@ def test_totals_meet_targets(spark, two_domains, awkward, nothing):
     assert odd.columns[: len(awkward.columns)] == awkward.columns and odd.count() == awkward.count()
     assert document_rates(nothing, labels, {"sea": 1.0}).count() == 0
     assert document_rates(docs, labels.limit(0), {"sea": 1.0}).select("rate").distinct().count() == 1
+
+
+def test_a_null_id_counts_as_an_empty_string(spark):
+    from corpusproof.llm.queries import held_out
+
+    rows = spark.createDataFrame([(None,), (3,)], "doc_id long").select(held_out("doc_id", 5, 0).alias("a"), held_out("doc_id", 7, 2).alias("b")).collect()
+    assert tuple(rows[0]) == (True, False) and None not in rows[1]
+
+
+def test_removal_leaves_what_another_thread_makes(spark):
+    import os
+    import threading
+
+    from corpusproof.llm.components import connected_components
+    from corpusproof.llm.scratch import removed, written
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 6)], "a long, b long")
+    other = []
+    with removed(spark):
+        thread = threading.Thread(target=lambda: other.append(written(spark.range(3), "other")))
+        thread.start()
+        thread.join()
+        found = connected_components(edges)
+        assert {tuple(r) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (5, 5), (6, 5)}
+        own = found._scratch_path.removeprefix("file://")
+        assert os.path.isdir(own)
+    assert not os.path.exists(own) and other[0].count() == 3

@@ -44,12 +44,13 @@ def test_near_duplicates_at_five_words_and_eight_tenths(spark):
 def test_awkward_and_empty_tables(spark, awkward, nothing, tmp_path):
     spark.createDataFrame([(1, "none of these words is in any text"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(1, 1, 0), (3, 0, 0), (7, 1, 0), (9, 0, 1), (None, 1, 0), (20, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    clash = awkward.withColumnsRenamed({"n": "own0", "score": "mix"}).withColumn("rate", F.lit("r"))
+    clash = awkward.withColumnsRenamed({"n": "own0", "score": "mix"}).withColumns({"rate": F.lit("r"), "Quality_Score": F.lit("own")})
     for docs in (clash, nothing):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             kept = stage(spark, docs, str(tmp_path))
             assert kept.columns == docs.columns
             assert kept.count() == 0 or docs is clash
+            assert docs is nothing or {r.Quality_Score for r in kept.collect()} == {"own"}
     clash.write.parquet(f"{tmp_path}/documents.parquet")
     done = corpus_pipeline.run(spark, str(tmp_path))
     assert done.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and done.count() > 0
