@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusproof.llm.decontaminate import without_contamination
 from corpusproof.llm.jaccard_join import one_of_each
@@ -30,8 +31,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A null or empty text is scored as one empty line; repeated rows are scored alike and stay as often as they come.
     Without labels of both kinds all rows have one score, so that all stay or all go.
     """
-    scored = quality_scores(docs, _table(spark, sf_dir, "labels"))
-    return scored.where("quality_score >= 0.3").select(*docs.columns)
+    # an own column of the score's name waits under another
+    names = [f"own {c}" if c.lower() == "quality_score" else c for c in docs.columns]
+    scored = quality_scores(docs.toDF(*names), _table(spark, sf_dir, "labels"))
+    return scored.where("quality_score >= 0.3").select(*(F.col(f"`{n}`").alias(c) for n, c in zip(names, docs.columns, strict=True)))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
