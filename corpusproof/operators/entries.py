@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusproof.functions.text import field_citation, headings_in, quote_form, secrets_in, squeeze, text_of, word_count
@@ -61,23 +61,45 @@ def page_evidence(quotes: DataFrame, pages: DataFrame) -> DataFrame:
     return joined.withColumns({"found": F.coalesce((form != "") & F.col("form").contains(form), F.lit(False)), "placed": F.coalesce(placed, F.lit(False))}).select(*quotes.columns, "found", "placed")
 
 
+def line_blocks(forms: DataFrame, place: str, before: int, length: int, after: int) -> DataFrame:
+    """(repo, path, block, lines): overlapping blocks of ``forms(repo, path, <place>, form)``, each an array of (at, form) in order.
+
+    Block k holds the places from k * length - before up to (k + 1) * length + after, so a row is in few blocks, and a
+    place of block ``floor(place / length)`` has what is around it in that block.
+    """
+    at = F.col(place)
+    numbers = F.sequence(F.ceil((at - after + 1) / length).cast("long") - 1, F.floor((at + before) / length).cast("long"))
+    rows = forms.select("repo", "path", F.explode(numbers).alias("block"), F.struct(at.alias("at"), "form").alias("row"))
+    return rows.groupBy("repo", "path", "block").agg(F.sort_array(F.collect_list("row")).alias("lines"))
+
+
 def line_evidence(quotes: DataFrame, lines: DataFrame, window: int = NEAR) -> DataFrame:
     """``quotes(source, where, quote)`` with result: ok, not near, not found, malformed or no such place.
 
-    ``lines(repo, path, line, text)``.  A cited place is joined with the lines around it, by file and line; only quotes
-    that are not near look through their whole file, which is brought together and normalised once for all of them.
+    ``lines(repo, path, line, text)``.  Lines are normalised once, each on its own, and put into overlapping blocks; a
+    citation joins the one block that holds all lines around it.  Quotes that are not near are looked for in blocks of
+    their file's lines that are not blank: one of n words lies within n of those.  Only quotes of more words than a block
+    has lines look through their file in one piece.  A tag that is broken over two lines counts as text.
     """
     cited = quotes.withColumn("_q", F.xxhash64("source", "where", "quote")).withColumn("_c", field_citation(F.col("where"))).withColumns({"_path": F.col("_c.path"), "_line": F.col("_c.start")})
-    places = cited.where("_c is not null").select("_q", "quote", F.col("source").alias("repo"), F.col("_path").alias("path"), F.col("_line").alias("cited")).distinct()
-    near = places.select("*", F.explode(F.sequence(F.greatest(F.col("cited") - window, F.lit(1)), F.col("cited") + window)).alias("line")).join(lines, ["repo", "path", "line"])
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n")
-    form = quote_form(F.first("quote"))
-    around = near.groupBy("_q").agg(F.bool_or(F.col("line") == F.col("cited")).alias("exists"), ((form != "") & quote_form(text).contains(form)).alias("near"))
-    left = places.join(around.where("exists and not near").select("_q"), "_q")
-    files = lines.join(left.select("repo", "path").distinct(), ["repo", "path"], "left_semi").groupBy("repo", "path").agg(quote_form(text).alias("_form"))
-    own = quote_form(F.col("quote"))
-    far = left.join(files, ["repo", "path"]).select("_q", ((own != "") & F.col("_form").contains(own)).alias("in_file"))
-    joined = cited.join(around, "_q", "left").join(far, "_q", "left")
+    places = cited.where("_c is not null").select("_q", quote_form(F.col("quote")).alias("own"), F.col("source").alias("repo"), F.col("_path").alias("path"), F.col("_line").alias("cited")).distinct()
+    forms = lines.select("repo", "path", F.col("line").cast("long").alias("line"), quote_form(F.col("text")).alias("form"))
+    length = 2 * window
+    text = lambda rows: F.array_join(F.filter(F.transform(rows, lambda x: x["form"]), lambda f: f != ""), " ")
+    here = F.filter("lines", lambda x: x["at"].between(F.col("cited") - window, F.col("cited") + window))
+    blocks = line_blocks(forms, "line", window, length, window)
+    around = places.withColumn("block", F.floor(F.col("cited") / length)).join(blocks, ["repo", "path", "block"])
+    around = around.select("_q", "own", "repo", "path", F.exists("lines", lambda x: x["at"] == F.col("cited")).alias("exists"), ((F.col("own") != "") & text(here).contains(F.col("own"))).alias("near"))
+
+    left = around.where("exists and not near and own <> ''").select("_q", "own", "repo", "path", word_count(F.col("own")).alias("words"))
+    rank = F.row_number().over(Window.partitionBy("repo", "path").orderBy("line")) - 1
+    filled = forms.where("form <> ''").join(left.select("repo", "path").distinct(), ["repo", "path"], "left_semi")
+    dense = line_blocks(filled.withColumn("rank", rank.cast("long")), "rank", 0, length, length).select("repo", "path", text(F.col("lines")).alias("text"))
+    far = left.where(F.col("words") <= length).join(dense, ["repo", "path"]).where(F.col("text").contains(F.col("own"))).select("_q")
+    wordy = left.where(F.col("words") > length)
+    whole = filled.join(wordy.select("repo", "path").distinct(), ["repo", "path"], "left_semi").groupBy("repo", "path").agg(text(F.sort_array(F.collect_list(F.struct("line", "form")))).alias("text"))
+    far = far.unionByName(wordy.join(whole, ["repo", "path"]).where(F.col("text").contains(F.col("own"))).select("_q")).distinct().withColumn("in_file", F.lit(True))
+    joined = cited.join(around.select("_q", "exists", "near"), "_q", "left").join(far, "_q", "left")
     result = F.when(F.col("_c").isNull(), "malformed").when(~F.coalesce("exists", F.lit(False)), "no such place").when(F.col("near"), "ok").when(F.col("in_file"), "not near").otherwise("not found")
     return joined.select(*quotes.columns, result.alias("result"))
 

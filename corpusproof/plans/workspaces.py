@@ -518,7 +518,7 @@ def arrivals_ledger(spark, sf):
     home = scratch_folder(spark, "arrivals")
     start = rows.select(F.col("page_id").cast("string").alias("key"), F.lit("pending").alias("status"), F.lit("1").alias("attempts"), F.lit("").alias("notes"))
     schema = "page_id long, version string, html string"
-    body = lambda ok: F.when(ok, F.col("html")).otherwise(F.regexp_replace("html", "(?i)</html>", "<ac:broken>")).alias("html")
+    body = lambda ok: F.when(ok, F.col("html")).otherwise(F.concat("html", F.lit("<ac:broken>"))).alias("html")
     first = rows.select("page_id", F.lit("9").alias("version"), body(F.col("k") == 0))
     last = rows.where("k in (1, 2)").select("page_id", F.lit("10").alias("version"), body(F.col("k") == 1))
     late = rows.where("k = 0").select("page_id", F.lit("8").alias("version"), body(F.lit(False)))
