@@ -111,27 +111,53 @@ def chapter_ledger(old: DataFrame, areas: DataFrame, sizes: DataFrame) -> DataFr
 # ---- chapters ----
 
 
+#: Lines of a document that are scanned together; what goes from one such chunk to the next is one small row.
+CHUNK = 1000
+_MARKS = ["", "```", "~~~"]
+
+
+def _chunk(place: str) -> Column:
+    return F.floor(F.col(place) / CHUNK).cast("long")
+
+
+def _met(state: Column, mark: Column) -> Column:
+    """The open fence after a fence line: a fence opens where none is open, and closes its own kind."""
+    return F.when(state == "", mark).when(state == mark, F.lit("")).otherwise(state)
+
+
 def outside_fenced_lines(lines: DataFrame, doc: str = "area") -> DataFrame:
     """(doc, line, text) of the lines outside fenced blocks, fences left out too.
 
     A fence of three or more back ticks or tildes opens a block, and the next fence of the same character closes it; other
-    fences in between belong to the block.  A block that is not closed runs to the end.  Only a document's fence lines
-    are brought together.
+    fences in between belong to the block.  A block that is not closed runs to the end.
+
+    The scan is spread over a document's chunks of lines: the fences of a chunk make a map from the state before it to the
+    state after it, the maps of a document are applied one after another, and each chunk is then read from its own state.
     """
     mark = F.regexp_extract("text", "^\\s*(```|~~~)", 1)
-    state = "struct<mark:string,since:bigint,spans:array<struct<lo:bigint,hi:bigint>>>"
-    none = F.struct(F.lit("").alias("mark"), F.lit(0).cast("long").alias("since"), F.array().cast("array<struct<lo:bigint,hi:bigint>>").alias("spans")).cast(state)
+    rows = lines.select(doc, "line", "text", _chunk("line").alias("_c"), mark.alias("_mark"))
+    fence = F.when(F.col("_mark") != "", F.struct(F.col("line").cast("long").alias("line"), F.col("_mark").alias("mark")))
+    chunks = rows.groupBy(doc, "_c").agg(F.array_sort(F.collect_list(fence)).alias("f"))
+    leads_to = F.array(*(F.aggregate("f", F.lit(m), lambda now, x: _met(now, x["mark"])) for m in _MARKS))
+    maps = chunks.select(doc, F.struct(F.col("_c").alias("c"), leads_to.alias("to")).alias("m")).groupBy(doc).agg(F.array_sort(F.collect_list("m")).alias("maps"))
+    after = lambda state, m: F.element_at(m["to"], F.array_position(F.array(*map(F.lit, _MARKS)), state).cast("int"))
+    none = F.array().cast("array<string>")
+    states = F.aggregate("maps", F.struct(F.lit("").alias("now"), none.alias("at")), lambda s, m: F.struct(after(s["now"], m).alias("now"), F.concat(s["at"], F.array(s["now"])).alias("at")))
+    begun = maps.select(doc, F.explode(F.arrays_zip(F.transform("maps", lambda m: m["c"]).alias("c"), states["at"].alias("state"))).alias("s")).select(doc, F.col("s.c").alias("_c"), F.col("s.state").alias("_state"))
+
+    spans = "array<struct<lo:bigint,hi:bigint>>"
+    state = f"struct<mark:string,since:bigint,spans:{spans}>"
+    first = F.struct(F.col("_state").alias("mark"), F.lit(-(2**62)).alias("since"), F.array().cast(spans).alias("spans")).cast(state)
 
     def met(now: Column, x: Column) -> Column:
         closed = F.struct(F.lit("").alias("mark"), F.lit(0).cast("long").alias("since"), F.concat(now["spans"], F.array(F.struct(now["since"].alias("lo"), x["line"].alias("hi")))).alias("spans")).cast(state)
         opened = F.struct(x["mark"].alias("mark"), x["line"].alias("since"), now["spans"].alias("spans")).cast(state)
         return F.when(now["mark"] == "", opened).when(now["mark"] == x["mark"], closed).otherwise(now)
 
-    fences = lines.where(mark != "").groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col("line").cast("long").alias("line"), mark.alias("mark")))).alias("f"))
-    end = F.aggregate("f", none, met)
-    spans = fences.select(doc, end.alias("e")).select(doc, F.when(F.col("e.mark") != "", F.concat("e.spans", F.array(F.struct(F.col("e.since").alias("lo"), F.lit(2**62).alias("hi"))))).otherwise(F.col("e.spans")).alias("_spans"))
+    ends = chunks.join(begun, [doc, "_c"]).select(doc, "_c", F.aggregate("f", first, met).alias("e"))
+    ends = ends.select(doc, "_c", F.when(F.col("e.mark") != "", F.concat("e.spans", F.array(F.struct(F.col("e.since").alias("lo"), F.lit(2**62).alias("hi"))))).otherwise(F.col("e.spans")).alias("_spans"))
     inside = F.exists("_spans", lambda s: F.col("line").between(s["lo"], s["hi"]))
-    return lines.join(spans, doc, "left").where(~F.coalesce(inside, F.lit(False))).select(doc, "line", "text")
+    return rows.join(ends, [doc, "_c"]).where(~inside).select(doc, "line", "text")
 
 
 def chapter_blocks(lines: DataFrame, doc: str = "area") -> DataFrame:
@@ -140,30 +166,51 @@ def chapter_blocks(lines: DataFrame, doc: str = "area") -> DataFrame:
     A block ends at a blank line, a heading, a change between table and text, and before a list mark with fewer than two
     spaces.  Table separators, and the header row above one, and fenced lines are left out.  A section title that comes
     again goes on; sub-headings end with their section.
+
+    Lines are read in chunks, and what a chunk leaves to the next ones (its last title, sub-heading and kind of line) is one
+    row, so no task holds the lines of a long document.
     """
-    order = Window.partitionBy(doc).orderBy("line")
+    chunk = Window.partitionBy(doc, "_c").orderBy("line")
+    so_far = chunk.rowsBetween(Window.unboundedPreceding, 0)
+    chunks = Window.partitionBy(doc).orderBy("_c")  # a row for each chunk
+    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
     rows = outside_fenced_lines(lines, doc)
     head, sub = F.col("text").rlike("^## +\\S"), F.col("text").rlike("^###+ +\\S")
     table = F.trim("text").startswith("|")
     line = F.col("text").rlike("^\\s*\\|?[\\s:|-]*-{3,}[\\s:|-]*$") & F.col("text").contains("|")
     blank = F.trim("text") == ""
     item = F.col("text").rlike("^ ?(?:[-*+]|\\d+[.)])\\s+")
-    rows = rows.select(doc, "line", "text", head.alias("_h"), sub.alias("_u"), table.alias("_t"), line.alias("_sep"), blank.alias("_b"), item.alias("_i"))
-    rows = rows.withColumns({"_under": F.coalesce(F.lead("_sep").over(order), F.lit(False)), "_was": F.lag("_t").over(order), "_gap": F.lag(F.col("_b") | F.col("_h") | F.col("_u")).over(order)})
-    start = F.coalesce("_gap", F.lit(True)) | F.col("_i") | (F.coalesce("_was", F.lit(False)) != F.col("_t")) | F.col("_t")
+    rows = rows.select(doc, "line", "text", _chunk("line").alias("_c"), head.alias("_h"), sub.alias("_u"), table.alias("_t"), line.alias("_sep"), blank.alias("_b"), item.alias("_i"))
+    rows = rows.withColumns({"_title": F.when(F.col("_h"), F.trim(F.regexp_replace("text", "^## +", ""))), "_sub": F.when(F.col("_u"), F.trim(F.regexp_replace("text", "^#+ +", ""))).when(F.col("_h"), "")})
+    last = lambda value, where: F.max_by(value, F.when(F.col(where).isNotNull(), F.col("line")))
+    left = rows.groupBy(doc, "_c").agg(
+        F.min_by("_sep", "line").alias("sep"), F.max_by("_t", "line").alias("t"), F.max_by(F.col("_b") | F.col("_h") | F.col("_u"), "line").alias("gap"),
+        F.count_if("_h").alias("heads"), last("_title", "_title").alias("title"), last("_sub", "_sub").alias("sub"),
+    )
+    left = left.select(
+        doc, "_c", F.lead("sep").over(chunks).alias("sep_then"), F.lag("t").over(chunks).alias("t_before"), F.lag("gap").over(chunks).alias("gap_before"),
+        F.coalesce(F.sum("heads").over(earlier), F.lit(0)).alias("heads_before"), F.last("title", True).over(earlier).alias("title_before"), F.last("sub", True).over(earlier).alias("sub_before"),
+    )
+    rows = rows.join(left, [doc, "_c"])
+    rows = rows.withColumns({"_under": F.coalesce(F.lead("_sep").over(chunk), "sep_then", F.lit(False)), "_was": F.coalesce(F.lag("_t").over(chunk), "t_before", F.lit(False)), "_gap": F.coalesce(F.lag(F.col("_b") | F.col("_h") | F.col("_u")).over(chunk), "gap_before", F.lit(True))})
+    start = F.col("_gap") | F.col("_i") | (F.col("_was") != F.col("_t")) | F.col("_t")
     rows = rows.withColumns(
         {
-            "section": F.last(F.when(F.col("_h"), F.trim(F.regexp_replace("text", "^## +", ""))), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
-            "_sec": F.sum(F.col("_h").cast("int")).over(order),
-            "_blk": F.sum(start.cast("int")).over(order),
+            "section": F.coalesce(F.last("_title", True).over(so_far), "title_before"),
+            "subhead": F.coalesce(F.last("_sub", True).over(so_far), "sub_before", F.lit("")),
+            "_sec": F.sum(F.col("_h").cast("int")).over(so_far) + F.col("heads_before"),
+            "_begun": F.when(start, F.col("line")),
         }
     )
-    within = Window.partitionBy(doc, "_sec").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("subhead", F.coalesce(F.last(F.when(F.col("_u"), F.trim(F.regexp_replace("text", "^#+ +", ""))), ignorenulls=True).over(within), F.lit("")))
+    # a block has the number of the line that begins it
+    begun = rows.groupBy(doc, "_c").agg(F.max("_begun").alias("begun")).select(doc, "_c", F.last("begun", True).over(earlier).alias("begun_before"))
+    rows = rows.withColumn("_blk", F.last("_begun", True).over(so_far)).join(begun, [doc, "_c"]).withColumn("_blk", F.coalesce("_blk", "begun_before"))
     body = rows.where(~F.col("_h") & ~F.col("_u") & ~F.col("_b") & ~F.col("_sep") & ~(F.col("_t") & F.col("_under")) & F.col("section").isNotNull())
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "text"))), lambda x: x["text"]), "\n")
-    blocks = body.groupBy(doc, "section", "_sec", "_blk").agg(F.first("subhead").alias("subhead"), F.min("line").alias("_at"), text.alias("block"))
-    return blocks.withColumn("block_no", F.row_number().over(Window.partitionBy(doc).orderBy("_at"))).select(doc, "section", "subhead", "block_no", "block")
+    blocks = body.groupBy(doc, "section", "_sec", "_blk").agg(F.first("subhead").alias("subhead"), F.min("line").alias("line"), text.alias("block")).withColumn("_c", _chunk("line"))
+    counts = blocks.groupBy(doc, "_c").count().select(doc, "_c", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("blocks_before"))
+    numbered = blocks.join(counts, [doc, "_c"]).withColumn("block_no", (F.row_number().over(chunk) + F.col("blocks_before")).cast("int"))
+    return numbered.select(doc, "section", "subhead", "block_no", "block")
 
 
 def block_citations(blocks: DataFrame) -> DataFrame:

@@ -31,3 +31,25 @@ def test_a_line_is_shuffled_into_two_blocks(spark):
     blocks = entries.line_blocks(lines, "line", 20, 40, 20).collect()
     assert sum(len(b.lines) for b in blocks) <= 2 * 1000 + 40
     assert all({x.at for x in b.lines} == set(range(max(40 * b.block - 20, 1), min(40 * b.block + 60, 1001))) for b in blocks)
+
+
+def test_chapters_are_the_same_in_chunks_of_any_size(spark, monkeypatch):
+    from corpusproof.operators import handbook
+
+    rng = random.Random(8)
+    kinds = ["## Title {}", "### Sub {}", "- item {}", "  - inner {}", "| a | {} |", "|---|---|", "", "", "text {}", "more {}", "```", "~~~", "````sql"]
+    rows = [(f"d{d}", k, rng.choice(kinds).format(rng.randint(0, 3))) for d in range(8) for k in range(1, rng.randint(2, 120))]
+    lines = spark.createDataFrame(rows, "area string, line int, text string")
+    found = {}
+    for size in (10**6, 7, 1):
+        monkeypatch.setattr(handbook, "CHUNK", size)
+        found[size] = sorted(map(tuple, handbook.chapter_blocks(lines).collect()))
+        # lines outside fences, read one after another
+        want, state = [], {}
+        for d, k, text in rows:
+            mark = text[:3] if text[:3] in ("```", "~~~") else ""
+            now = state.get(d, "")
+            state[d] = mark if mark and not now else "" if mark == now else now
+            want += [(d, k, text)] if not mark and not now else []
+        assert sorted(map(tuple, handbook.outside_fenced_lines(lines).collect())) == sorted(want)
+    assert found[7] == found[1] == found[10**6] and len(found[7]) > 25
