@@ -154,6 +154,41 @@ def redacted(text: Column) -> Column:
     return plain
 
 
+def secret_places(text: Column) -> Column:
+    """array of (line, start, end, label) of the secrets, in order: lines count from 1, characters of the whole text from 0.
+
+    A secret inside or across another is part of the one that begins first (of two that begin together, the longer).
+    """
+    plain = text_of(text)
+    kind = "array<struct<start:int,less:int,label:string>>"
+
+    def matches(label: str, pattern: str) -> Column:
+        found = F.regexp_extract_all(plain, F.lit(pattern), F.lit(0))
+        between = F.transform(F.split(plain, pattern, -1), F.length)
+        sizes = F.transform(found, F.length)
+        sum_of = lambda numbers: F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
+        start = lambda i: sum_of(F.slice(between, F.lit(1), i + 1)) + sum_of(F.slice(sizes, F.lit(1), i))
+        at = F.transform(found, lambda m, i: F.struct(start(i).alias("start"), (-F.length(m)).alias("less"), F.lit(label).alias("label")))
+        return F.when(plain.rlike(pattern), at).otherwise(F.array().cast(kind))
+
+    def keep(kept: Column, x: Column) -> Column:
+        last = F.element_at(kept, -1)
+        return F.when((F.size(kept) == 0) | (x["start"] >= last["start"] - last["less"]), F.concat(kept, F.array(x))).otherwise(kept)
+
+    every = F.array_sort(F.concat(*(matches(*s) for s in SECRETS)))
+    line = lambda x: F.regexp_count(F.substring(plain, F.lit(1), x["start"]), F.lit("\n")).cast("int") + 1
+    return F.transform(F.aggregate(every, F.array().cast(kind), keep), lambda x: F.struct(line(x).alias("line"), x["start"].alias("start"), (x["start"] - x["less"]).alias("end"), x["label"].alias("label")))
+
+
+def redacted_at(text: Column, places: Column) -> Column:
+    """The text with each of ``places`` (see ``secret_places``) replaced."""
+    plain = text_of(text)
+    state = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+    step = lambda s, p: F.struct(F.concat(s["done"], F.substring(plain, s["at"] + 1, p["start"] - s["at"]), F.lit("[REDACTED]")).alias("done"), p["end"].alias("at"))
+    end = F.aggregate(places, state, step)
+    return F.concat(end["done"], F.substring(plain, end["at"] + 1, F.length(plain)))
+
+
 def ticket_keys(text: Column, projects: Iterable[str]) -> Column:
     """Ticket keys of the given projects, not touching letters or digits."""
     names = "|".join(sorted(set(projects), key=lambda p: (-len(p), p)))
@@ -232,12 +267,10 @@ INVISIBLE_TAGS = ["head", "ac:placeholder", "ac:task-id", "ac:task-uuid", "ac:ta
 
 
 def visible_text(html: Column) -> Column:
-    """Text that a reader of raw HTML sees, entities still in place: CDATA opened, invisible elements and parameters dropped."""
-    plain = text_of(html)
-    plain = F.regexp_replace(plain, "(?s)<!--.*?-->", " ")
+    """Text that a reader of raw HTML sees, entities still in place: what CDATA holds escaped, invisible elements and parameters dropped."""
+    plain = F.regexp_replace(escaped_cdata(html), "(?s)<!--.*?-->", " ")
     plain = F.regexp_replace(plain, "(?is)<(" + "|".join(INVISIBLE_TAGS) + ")(?=[\\s>])[^>]*>.*?</\\1\\s*>", " ")
     plain = F.regexp_replace(plain, "(?is)<ac:parameter\\b(?![^>]*ac:name=\"title\")[^>]*>.*?</ac:parameter>", " ")
-    plain = F.regexp_replace(plain, "(?s)<!\\[CDATA\\[(.*?)\\]\\]>", "$1")
     return F.regexp_replace(plain, "<[^>]*>", " ")
 
 

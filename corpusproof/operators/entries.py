@@ -237,3 +237,17 @@ def disagreements(first: DataFrame, second: DataFrame) -> DataFrame:
     """(norm, statement_a, source_a, statement_b, source_b): the same name in both catalogues with different statements."""
     side = lambda df, s: df.select(quote_form(F.col("name")).alias("norm"), F.col("statement").alias(f"statement_{s}"), F.col("source").alias(f"source_{s}"))
     return side(first, "a").join(side(second, "b"), "norm").where(quote_form(F.col("statement_a")) != quote_form(F.col("statement_b")))
+
+
+def disagreement_forms(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(norm, form, statement, n_first, n_second): the statements of names on which the two catalogues disagree.
+
+    There is a row for each normalised form of a name's statements, with one statement that has it and the numbers of
+    entries that say so in either catalogue.  Two entries of ``disagreements`` are any two of different rows of a name, one
+    counted in the first and one in the second catalogue, so a name costs what it has of different statements.
+    """
+    side = lambda df, n: df.select(quote_form(F.col("name")).alias("norm"), quote_form(F.col("statement")).alias("form"), "statement", F.lit(n).alias("side"))
+    both = side(first, 1).unionByName(side(second, 2)).where("form is not null")
+    forms = both.groupBy("norm", "form").agg(F.min("statement").alias("statement"), F.count_if(F.col("side") == 1).alias("n_first"), F.count_if(F.col("side") == 2).alias("n_second"))
+    names = forms.groupBy("norm").agg(F.count("*").alias("forms"), F.sum("n_first").alias("a"), F.sum("n_second").alias("b")).where("forms > 1 and a > 0 and b > 0")
+    return forms.join(names.select("norm"), "norm", "left_semi")

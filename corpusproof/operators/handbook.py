@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusproof.functions.text import bare_block, demoted_headings, is_exempt, mentions, page_citations, quote_form, secrets_in, specifics, squeeze, text_of, unescaped, word_count
 from corpusproof.operators.checks import check, checks_of, none_left, union_all
 from corpusproof.operators.entries import sample_checks
+from corpusproof.sources.shared import checkpointed
 
 MOST_PAGES, MOST_WORDS = 80, 40_000
 LEAST_SAMPLE = 12
@@ -304,7 +305,7 @@ def chapter_depth(blocks: DataFrame, area_pages: DataFrame, pages: DataFrame) ->
 def chapter_checks(areas: DataFrame, chapters: DataFrame, area_pages: DataFrame, pages: DataFrame, platforms: list[str], samples: DataFrame | None = None, modified: DataFrame | None = None) -> DataFrame:
     """H1 to H9 of ``chapters(area, text)``.  ``pages(page_id, text, n_words, entry_verdict)`` are the usable pages."""
     lines = chapters.select("area", F.posexplode(F.split("text", "\\n")).alias("line", "text"))
-    blocks = chapter_blocks(lines)
+    blocks = checkpointed(chapter_blocks(lines))  # every check reads them
     keys = areas.select("area")
     need = F.create_map(*(x for k, v in SECTIONS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
     wanted = areas.select("area", F.explode(F.try_element_at(need, F.col("kind"))).alias("section"))
@@ -352,9 +353,13 @@ def book_coverage(pages: DataFrame, blocks: DataFrame) -> DataFrame:
 
 def contents_lines(areas: DataFrame) -> DataFrame:
     """(seq, line) of the contents; a team's name stands above its first chapter only.  ``areas(area, title, team, seq)``."""
-    order = Window.partitionBy(F.lit(0)).orderBy("seq")  # one row for each chapter
-    before = F.lag("team").over(order)
-    rows = areas.withColumn("_new", (F.trim(text_of(F.col("team"))) != "") & ~F.coalesce(before == F.col("team"), F.lit(False)))
+    # chapters lie in ranges of their order, and the last team of a range is handed to the next
+    ranged = checkpointed(areas.repartitionByRange("seq").withColumn("_range", F.spark_partition_id()))
+    handed = F.lag("team").over(Window.orderBy("_range"))
+    ends = ranged.groupBy("_range").agg(F.max_by(F.struct("team"), "seq")["team"].alias("team")).select("_range", handed.alias("_handed"))  # a row for each range
+    order = Window.partitionBy("_range").orderBy("seq")
+    before = F.when(F.row_number().over(order) == 1, F.col("_handed")).otherwise(F.lag("team").over(order))
+    rows = ranged.join(ends, "_range").withColumn("_before", before).withColumn("_new", (F.trim(text_of(F.col("team"))) != "") & ~F.coalesce(F.col("_before") == F.col("team"), F.lit(False)))
     lines = F.when(F.col("_new"), F.array(F.concat(F.lit("**"), "team", F.lit("**")), F.concat(F.lit("- "), "title"))).otherwise(F.array(F.concat(F.lit("- "), "title")))
     return rows.select(F.struct("seq", F.lit(0).alias("k")).alias("seq"), F.posexplode(lines).alias("k", "line")).select(F.struct(F.col("seq.seq").alias("seq"), "k").alias("seq"), "line")
 

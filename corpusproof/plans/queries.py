@@ -266,6 +266,23 @@ def text_redacted(spark, sf):
     return docs.select("doc_id", F.md5("r").alias("redacted"), (F.col("r") != F.col("text")).alias("changed"))
 
 
+_SECRETS = [
+    ("AWS access key", "\\bAKIA[0-9A-Z]{16}\\b"), ("private key block", "-----BEGIN [A-Z ]*PRIVATE KEY-----"), ("GitHub token", "\\bgh[pousr]_[A-Za-z0-9]{36,}\\b"), ("Slack token", "\\bxox[baprs]-[A-Za-z0-9-]{10,}\\b"),
+    ("Atlassian API token", "\\bATATT[A-Za-z0-9_\\-=]{20,}\\b"), ("bearer token", "\\bBearer\\s+[A-Za-z0-9_\\-.=]{30,}\\b"), ("password assignment", "(?i)\\b(?:password|passwd|secret|api[_-]?key|token)\\b\\s*[:=]\\s*[''\"][^''\"\\s<\\[{$]{8,}[''\"]"),
+]
+_PLACES = " UNION ALL ".join(f"SELECT doc_id, text, '{label}' AS label, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS found FROM documents WHERE regexp_matches(text, '{pattern}')" for label, pattern in _SECRETS)
+
+
+@query(f"""WITH m AS ({_PLACES}), i AS (SELECT *, unnest(range(1, len(found) + 1)) AS k FROM m),
+p AS (SELECT doc_id, text, label, CAST(list_sum(list_transform(gaps[1:k], lambda g: length(g))) + coalesce(list_sum(list_transform(found[1:k - 1], lambda f: length(f))), 0) AS INT) AS start, length(found[k]) AS size FROM i)
+SELECT doc_id, CAST(length(substring(text, 1, start)) - length(replace(substring(text, 1, start), chr(10), '')) + 1 AS INT) AS line, start, label FROM p
+WHERE NOT EXISTS (SELECT 1 FROM p q WHERE q.doc_id = p.doc_id AND (q.start < p.start OR q.start = p.start AND (q.size > p.size OR q.size = p.size AND q.label < p.label)) AND q.start + q.size > p.start)""")
+def text_secret_places(spark, sf):
+    """Where each secret of the whole texts stands."""
+    docs = table(spark, sf, "documents").select("doc_id", F.explode(text.secret_places(F.col("text"))).alias("p"))
+    return docs.select("doc_id", "p.line", "p.start", "p.label")
+
+
 # ---- evidence ----
 
 
@@ -463,6 +480,14 @@ def entry_disagreements(spark, sf):
     return entries.disagreements(rows.where("cast(source as int) < 4"), rows.where("cast(source as int) >= 4"))
 
 
+@query(f"""WITH {ENTRIES}, f AS (SELECT norm, {norm_sql("statement")} AS form, min(statement) AS statement, count(*) FILTER (CAST(source AS INT) < 4) AS n_first, count(*) FILTER (CAST(source AS INT) >= 4) AS n_second FROM entries GROUP BY 1, 2)
+SELECT * FROM f WHERE norm IN (SELECT norm FROM f GROUP BY 1 HAVING count(*) > 1 AND sum(n_first) > 0 AND sum(n_second) > 0)""")
+def entry_disagreement_forms(spark, sf):
+    """The statements of names on which two catalogues disagree, one row for each form."""
+    rows = entry_rows(spark, sf)
+    return entries.disagreement_forms(rows.where("cast(source as int) < 4"), rows.where("cast(source as int) >= 4"))
+
+
 # ---- tickets ----
 
 

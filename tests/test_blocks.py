@@ -53,3 +53,26 @@ def test_chapters_are_the_same_in_chunks_of_any_size(spark, monkeypatch):
             want += [(d, k, text)] if not mark and not now else []
         assert sorted(map(tuple, handbook.outside_fenced_lines(lines).collect())) == sorted(want)
     assert found[7] == found[1] == found[10**6] and len(found[7]) > 25
+
+
+def test_secrets_have_places_and_overlaps_are_one(spark):
+    from corpusproof.functions import text
+
+    key, token = "AKIA" + "A" * 16, "ghp_" + "b" * 36
+    body = f"é one\n{key} two {key}\ntoken = '{token}' end\n"
+    rows = spark.createDataFrame([(body,), ("",), (None,)], "t string")
+    rows = rows.withColumn("p", text.secret_places(F.col("t")))
+    got = rows.withColumn("r", text.redacted_at(F.col("t"), F.col("p"))).collect()
+    assert [(p.line, body[p.start : p.end], p.label) for p in got[0].p] == [(2, key, "AWS access key"), (2, key, "AWS access key"), (3, f"token = '{token}'", "password assignment")]
+    assert got[0].r == "é one\n[REDACTED] two [REDACTED]\n[REDACTED] end\n" and [len(r.p) for r in got[1:]] == [0, 0]
+
+
+def test_a_run_of_signs_in_cdata_is_text(spark):
+    import time
+
+    from corpusproof.functions import text
+
+    html = "<p>a</p><![CDATA[" + "<" * 60_000 + " b]]><p>c</p>"
+    begin = time.time()
+    shown = spark.createDataFrame([(html,)], "h string").select(text.visible_text(F.col("h"))).first()[0].split()
+    assert shown[0] == "a" and shown[-2:] == ["b", "c"] and time.time() - begin < 10
