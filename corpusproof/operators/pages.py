@@ -294,3 +294,42 @@ def tree_listing(rows: DataFrame, key: str = "page_id", parent: str = "parent_id
     state = _jumped(rows, key, parent, {"path": F.array(order)}, grow)
     path = F.when(F.col("up").isNull(), F.col("path"))
     return state.select(F.col("node").alias(key), (F.size(path) - 1).alias("depth"), path.alias("path")).withColumn("depth", F.when(F.col("path").isNotNull(), F.col("depth"))).orderBy("path")
+
+
+def sums_before(rows: DataFrame, group: str, order: str, value: str, name: str) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows of the same group that come before, by a unique order.
+
+    Rows are cut into ranges of (group, order) and summed up inside each; a group that spans ranges carries its sums on, so
+    no task sees a whole large group.  Nulls are a group of their own.
+    """
+    ranged = checkpointed(rows.repartitionByRange(F.col(group).asc_nulls_first(), order).withColumn("_range", F.spark_partition_id()))
+    whole = ranged.groupBy("_range", group).agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range that a group is in
+    carried = whole.select(F.col("_range").alias("_r"), F.col(group).alias("_g"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carried"))
+    inside = Window.partitionBy("_range", group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    joined = summed.join(carried, (F.col("_range") == F.col("_r")) & F.col(group).eqNullSafe(F.col("_g")))
+    return joined.select(*rows.columns, (F.col("_inside") + F.col("_carried")).alias(name))
+
+
+def preorder(rows: DataFrame, key: str = "page_id", parent: str = "parent_id", order: str = "row_no") -> DataFrame:
+    """(key, depth, place): the tree's listing as numbers, place 0 first; siblings stand in the order of ``order``.
+
+    A row comes right behind its parent and the whole branches of its earlier siblings: its place is its parent's and one
+    more, and the sizes of those branches.  Sizes and places are added up by jumps of doubling length, so a chain of any
+    depth needs numbers only, never a path.  Rows that lead into a parent cycle have no depth and no place.
+    """
+    known = rows.select(F.col(key).alias("_up"), F.lit(True).alias("_known")).distinct()
+    sizes = subtree_totals(rows.select(key, parent, F.lit(0).alias("_w")), key, parent, "_w").select(key, F.coalesce("pages", F.lit(0)).alias("_size"))
+    linked = rows.select(key, F.col(parent).alias("_up"), F.col(order).alias("_order")).join(known, "_up", "left").join(sizes, key)
+    linked = linked.select(key, F.when(F.col("_known"), F.col("_up")).alias("_up"), "_order", "_size")
+    placed = sums_before(linked, "_up", "_order", "_size", "_before").withColumn("_step", F.col("_before") + F.col("_up").isNotNull().cast("long"))
+
+    def grow(state: DataFrame) -> DataFrame:
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("place").alias("_place"), F.col("depth").alias("_depth"))
+        zero = F.lit(0).cast("long")
+        return state.join(above, "up", "left").select("node", F.col("_up").alias("up"), (F.col("place") + F.coalesce("_place", zero)).alias("place"), (F.col("depth") + F.coalesce("_depth", zero)).alias("depth"))
+
+    state = _jumped(placed, key, "_up", {"place": F.col("_step"), "depth": F.col("_up").isNotNull().cast("long")}, grow)
+    ends = F.col("up").isNull()
+    return state.select(F.col("node").alias(key), F.when(ends, F.col("depth")).alias("depth"), F.when(ends, F.col("place")).alias("place"))

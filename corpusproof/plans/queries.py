@@ -166,6 +166,14 @@ def page_tree_listing(spark, sf):
     return pages.tree_listing(page_ledger(spark, sf)).select("page_id", "depth", F.array_join(F.transform("path", lambda x: x.cast("string")), "/").alias("path"))
 
 
+@query(f"""WITH RECURSIVE {PAGES}, walk AS (SELECT page_id, CAST(0 AS BIGINT) AS depth, [row_no] AS path FROM page_rows WHERE parent_id IS NULL
+UNION ALL SELECT p.page_id, w.depth + 1, list_append(w.path, p.row_no) FROM walk w JOIN page_rows p ON p.parent_id = w.page_id)
+SELECT page_id, depth, row_number() OVER (ORDER BY path) - 1 AS place FROM walk""")
+def page_preorder(spark, sf):
+    """The listing of the tree as numbers."""
+    return pages.preorder(page_ledger(spark, sf))
+
+
 def _visible(html: str) -> str:
     out = f"regexp_replace({html}, '(?s)<!--.*?-->', ' ', 'g')"
     for tag in ("script", "style", "head"):

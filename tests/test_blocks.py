@@ -76,3 +76,25 @@ def test_a_run_of_signs_in_cdata_is_text(spark):
     begin = time.time()
     shown = spark.createDataFrame([(html,)], "h string").select(text.visible_text(F.col("h"))).first()[0].split()
     assert shown[0] == "a" and shown[-2:] == ["b", "c"] and time.time() - begin < 10
+
+
+def test_preorder_numbers_are_those_of_the_paths(spark):
+    from corpusproof.operators import pages
+
+    rng = random.Random(5)
+    rows = [(k, rng.choice([None, 9999, *range(max(k - 6, 0), k)]) if k else None, rng.randint(0, 10**6) * 1000 + k, 1) for k in range(120)]
+    rows += [(1000, 1002, 1, 1), (1001, 1000, 2, 1), (1002, 1001, 3, 1), (1003, 1002, 4, 1)]  # a cycle, and a row below it
+    df = spark.createDataFrame(rows, "page_id int, parent_id int, row_no int, n_words int")
+    listed = {r.page_id: (r.depth, r.path) for r in pages.tree_listing(df).collect()}
+    got = {r.page_id: (r.depth, r.place) for r in pages.preorder(df).collect()}
+    inside = sorted((k for k in listed if listed[k][1]), key=lambda k: listed[k][1])
+    assert [got[k] for k in inside] == [(listed[k][0], n) for n, k in enumerate(inside)] and len(inside) == 120
+    assert all(got[k] == (None, None) for k in range(1000, 1004))
+
+
+def test_a_deep_chain_has_numbers_without_paths(spark):
+    from corpusproof.operators import pages
+
+    n = 1000
+    chain = spark.range(n).select(F.col("id").alias("page_id"), F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"), F.col("id").alias("row_no"))
+    assert pages.preorder(chain).agg(F.count_if((F.col("place") == F.col("page_id")) & (F.col("depth") == F.col("page_id")))).first()[0] == n
