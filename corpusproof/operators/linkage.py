@@ -17,9 +17,12 @@ LONGEST_LINE = 2000
 MOST_HITS = 300
 SAMPLES = 3
 # fixed values: identifiers too generic to search for
-GENERIC = """common utils util core shared tools infra config configs docs tests test scripts service services server client library base
-main master internal public private platform backend frontend deploy pipeline pipelines terraform ansible docker python example
-examples sample template templates default admin users data models model events event status health""".split()
+GENERIC = [
+    "common", "utils", "util", "core", "shared", "tools", "infra", "config", "configs", "docs", "tests", "test", "scripts", "service", "services",
+    "server", "client", "library", "base", "main", "master", "internal", "public", "private", "platform", "backend", "frontend", "deploy", "pipeline",
+    "pipelines", "terraform", "ansible", "docker", "python", "example", "examples", "sample", "template", "templates", "default", "admin", "users",
+    "data", "models", "model", "events", "event", "status", "health",
+]
 # fixed values: (label, crosses repositories, pattern) of trigger lines, the first that fits counts
 TRIGGERS = [
     ("gha_workflow_run", True, "^\\s*workflow_run\\s*:"),

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusproof.operators import entries, linkage, tickets
-from corpusproof.plans.bindings import ENTRIES, LEDGER, REFS, entry_rows, table, ticket_refs
+from corpusproof.operators import entries, ledger, linkage, tickets
+from corpusproof.plans.bindings import ENTRIES, LEDGER, REFS, SECOND, entry_rows, second_inventory, table, ticket_refs
 from corpusproof.plans.bindings import ledger as ledger_rows
 from corpusproof.plans.columns import _say
 from corpusproof.plans.queries import _EDGES, _edges
@@ -23,6 +23,16 @@ def files_ledger(spark, sf):
     return tables.read_ledger(spark, path, ["key", "status", "attempts", "notes", "owner"])
 
 
+@query(f"""WITH {SECOND} SELECT key, 'pending' AS status, '0' AS attempts, '' AS notes, version, 'added' AS merge FROM second""")
+def files_empty_ledger(spark, sf):
+    """A ledger that is created empty, read back and filled from an inventory."""
+    path = scratch_folder(spark, "ledger")
+    ledger.create_ledger(spark, path, ["key", "version"])
+    fields = ["key", "version", *ledger.REQUIRED]
+    filled = ledger.merged(tables.read_ledger(spark, path, fields), second_inventory(spark, sf).select("key", "version"), "key")
+    return filled.select("key", "status", "attempts", "notes", "version", "merge")
+
+
 @query("""SELECT CASE WHEN k IN (0, 1, 4) THEN CAST(doc_id AS VARCHAR) WHEN k = 2 THEN ' ' END AS key, CASE k WHEN 1 THEN 'unknown field: other' WHEN 2 THEN 'blank key' WHEN 3 THEN 'broken JSON' WHEN 4 THEN 'status verified cannot be set' END AS problem FROM (SELECT doc_id, doc_id % 6 AS k FROM documents) WHERE k < 5""")
 def files_inventory(spark, sf):
     """Lines of an inventory: sound, with an unknown field, a blank key, broken, verified by hand, blank."""

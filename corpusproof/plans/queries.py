@@ -356,6 +356,16 @@ def _identifiers(spark, sf):
 
 _GENERIC = ", ".join(f"'{g}'" for g in linkage.GENERIC)
 _IDS = f"""ids AS (SELECT DISTINCT w AS identifier, 'src' || CAST(item_id % 8 AS VARCHAR) AS target FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM benchmark) WHERE length(w) >= 5 AND w NOT IN ({_GENERIC}))"""
+
+
+@query(f"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS identifier, 'src' || CAST(item_id % 8 AS VARCHAR) AS target FROM benchmark)
+SELECT identifier, target, CASE WHEN length(identifier) < {linkage.SHORTEST} THEN 'shorter than {linkage.SHORTEST}' ELSE 'generic' END AS reason FROM w WHERE length(identifier) < {linkage.SHORTEST} OR identifier IN ({_GENERIC})""")
+def link_left_out(spark, sf):
+    """Identifiers that are not searched for, with their reasons."""
+    words = table(spark, sf, "benchmark").select("item_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))).alias("identifier"))
+    return linkage.searchable(words.select("identifier", F.concat(F.lit("src"), (F.col("item_id") % 8).cast("string")).alias("target")).distinct())[1]
+
+
 _TRIM = "regexp_replace(regexp_replace(regexp_replace(x, '^[./-]+|[./-]+$', '', 'g'), '\\.git$', ''), '^[./-]+|[./-]+$', '', 'g')"
 _TOKENS = f"""tok AS (SELECT repo, path, line, unnest(list_distinct(list_transform(list_filter(flatten(list_transform(regexp_extract_all(text, '[A-Za-z0-9_./:@\\-]+'), lambda t: list_transform(regexp_split_to_array(t, '[:@]'), lambda x: {_TRIM}))), lambda y: y <> '' AND NOT contains(y, '/')), lambda z: lower(z)))) AS identifier FROM doc_lines WHERE length(text) <= 2000)"""
 
