@@ -53,9 +53,20 @@ def usable_pages(ledger: DataFrame, entry_ledger: DataFrame | None = None) -> Da
 
 
 def platform_mentions(pages: DataFrame, platforms: list[str]) -> DataFrame:
-    """(page_id, platform) of pages whose text names a platform; one pass over the pages for a short list of names."""
-    hit = F.array_compact(F.array(*(F.when(mentions(F.col("text"), p), F.lit(p)) for p in platforms)))
-    return pages.select("page_id", F.explode(hit).alias("platform"))
+    """(page_id, platform) of pages whose text names a platform, case as given, not touching letters or digits.
+
+    Every run of letters and digits in a name is a whole run in a text that has it, so names are indexed by their longest
+    one.  A page's distinct runs are joined with that index, and only the names they bring up are looked for in its text:
+    the work is one pass over the texts, however many names there are.
+    """
+    runs = lambda c: F.regexp_extract_all(c, F.lit("[A-Za-z0-9]+"), F.lit(0))
+    longest = F.array_max(F.transform(runs(F.col("platform")), lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))["run"]
+    names = pages.sparkSession.createDataFrame([(p,) for p in dict.fromkeys(platforms)], "platform string").withColumn("run", F.coalesce(longest, F.lit("")))
+    found = pages.select("page_id", F.explode(F.array_distinct(F.concat(runs(unescaped(F.col("text"))), F.array(F.lit(""))))).alias("run"))  # a name may have no run
+    candidates = found.join(names, "run").groupBy("page_id").agg(F.collect_set("platform").alias("_names"))
+    plain = unescaped(F.col("text"))
+    quoted = lambda n: F.concat(F.lit("(?<![A-Za-z0-9])\\Q"), F.replace(n, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E(?![A-Za-z0-9])"))
+    return pages.join(candidates, "page_id").select("page_id", F.explode(F.filter("_names", lambda n: F.rlike(plain, quoted(n)))).alias("platform"))
 
 
 # ---- outline ----

@@ -98,3 +98,18 @@ def test_a_deep_chain_has_numbers_without_paths(spark):
     n = 1000
     chain = spark.range(n).select(F.col("id").alias("page_id"), F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"), F.col("id").alias("row_no"))
     assert pages.preorder(chain).agg(F.count_if((F.col("place") == F.col("page_id")) & (F.col("depth") == F.col("page_id")))).first()[0] == n
+
+
+def test_many_names_are_found_as_one_by_one(spark):
+    from corpusproof.functions.text import mentions
+    from corpusproof.operators import handbook
+
+    rng = random.Random(6)
+    parts = ["Git", "Hub", "Actions", "k8s", "C++", "***", ".net", "a\\Eb", " ", " ", "-", "é"]
+    names = ["GitHub", "GitHub Actions", "Git", "C++", "***", ".net", "k8s-Git", "a\\Eb", "Git"] + [f"name{k}" for k in range(2000)]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(60)] + ["name7 and name1999", None]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id int, text string")
+    got = sorted(map(tuple, handbook.platform_mentions(pages, names).collect()))
+    few = [n for n in names[:8]] + ["name7", "name1999"]
+    hit = F.array_compact(F.array(*(F.when(mentions(F.col("text"), n), F.lit(n)) for n in few)))
+    assert got == sorted(map(tuple, pages.select("page_id", F.explode(hit)).collect())) and len(got) > 40
