@@ -194,7 +194,8 @@ def page_checks(ledger: DataFrame, pages: DataFrame, markdown: DataFrame, attach
     """D1, D2, C4 to C11 of every ledger row; checks of the Markdown are left out where it is absent."""
     named = with_file_name(ledger)
     body = named.join(pages.select("page_id", "html"), "page_id", "left").join(markdown.select("page_id", "markdown"), "page_id", "left")
-    body = body.withColumns({"fm": front_matter(F.col("markdown")), "raw": text_of(F.col("html")), "shared": F.count("*").over(Window.partitionBy("md_path"))})
+    shared = named.where(text_of(F.col("md_path")) != "").groupBy("md_path").agg(F.count("*").alias("shared")).where("shared > 1")
+    body = body.join(shared, "md_path", "left").withColumns({"fm": front_matter(F.col("markdown")), "raw": text_of(F.col("html"))})
     empty = F.col("empty_body") == "yes"
     first = checks_of(
         body,
@@ -203,7 +204,7 @@ def page_checks(ledger: DataFrame, pages: DataFrame, markdown: DataFrame, attach
             "D1": ((F.trim("raw") != "") | empty, "raw body is absent"),
             "D2": (F.size(unbalanced_tags(F.col("html"))) == 0, F.array_join(unbalanced_tags(F.col("html")), ", ")),
             "C4": (F.col("markdown").isNotNull() & (F.col("fm.fields")["page_id"] == F.col("page_id").cast("string")) & (F.col("fm.fields")["version"] == F.col("version").cast("string")) & F.col("md_path").endswith(F.col("md_name")), "Markdown absent, or its front matter or name differs"),
-            "C5": ((F.col("shared") == 1) | (text_of(F.col("md_path")) == ""), "another row has this md_path"),
+            "C5": (F.col("shared").isNull(), "another row has this md_path"),
         },
     )
     there = body.where("markdown is not null").withColumn("body", F.coalesce("fm.body", "markdown"))
