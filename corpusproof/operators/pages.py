@@ -99,7 +99,7 @@ def resolved_targets(refs: DataFrame, ledger: DataFrame, base_url: str = "") ->
 
 def convert(pages: DataFrame, ledger: DataFrame, converted_from: str = "html") -> DataFrame:
     """(page_id, markdown, placeholders, warnings): front matter, title and body with links resolved against the ledger."""
-    made = converted_pages(pages)
+    made = checkpointed(converted_pages(pages))  # read for the links and for the bodies
     shape = "corpus-page:(id/)?([^)\\s]*)"
     links = made.select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit("corpus-page:[^)\\s]*"), F.lit(0)))).alias("token"))
     rest = F.regexp_extract("token", shape, 2)

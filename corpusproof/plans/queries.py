@@ -27,6 +27,7 @@ from corpusproof.plans.bindings import (
 )
 from corpusproof.plans.bindings import ledger as ledger_rows
 from corpusproof.plans.registry import ORACLES, QUERIES, query
+from corpusproof.sources.shared import checkpointed
 
 NOW = "2024-05-06 07:08:00"
 HTML_TAGS = ("table", "tr", "td", "th", "ul", "ol", "li", "p", "div", "pre")
@@ -233,7 +234,7 @@ def page_checks(spark, sf):
     rows = page_ledger(spark, sf).withColumns({"page_id": F.col("page_id").cast("string"), "version": F.lit("1"), "source_url": F.col("url"), "empty_body": F.lit("no"), "attachment_count": F.lit("0")})
     named = pages.with_file_name(rows).withColumn("md_path", F.concat(F.lit("pages/"), "md_name")).drop("md_name")
     bodies = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("page_id"), "html")
-    markdown = pages.convert(bodies, named)
+    markdown = checkpointed(pages.convert(bodies, named))  # every check reads it
     none = spark.createDataFrame([], "page_id string, filename string, size long")
     return pages.page_checks(named, bodies, markdown, none)
 
