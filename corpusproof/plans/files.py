@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusproof.operators import entries, ledger, linkage, tickets
@@ -10,7 +11,7 @@ from corpusproof.plans.bindings import ledger as ledger_rows
 from corpusproof.plans.columns import _say
 from corpusproof.plans.queries import _EDGES, _edges
 from corpusproof.plans.registry import query
-from corpusproof.sources import tables
+from corpusproof.sources import lines, tables
 from corpusproof.sources.shared import scratch_folder
 
 
@@ -43,13 +44,43 @@ def files_inventory(spark, sf):
     return tables.read_inventory(spark, path, ["key", "status"], "key").select("key", "problem")
 
 
-@query("""SELECT source AS repo, 'src/a.py' AS path, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS BIGINT) AS line, 'line of ' || lang AS text FROM documents UNION ALL SELECT source, 'src/a.py', count(*) + 1, '' FROM documents GROUP BY source""")
+_TEXT_LINES = """d AS (SELECT source, doc_id, text, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents WHERE text IS NOT NULL)"""
+
+
+def _documents_by_source(spark, sf):
+    """Whole texts as one document for each source: (doc, seq, line), with their lines in order of doc_id."""
+    cut = table(spark, sf, "documents").select("source", "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    return cut.select(F.col("source").alias("doc"), F.struct("doc_id", "at").alias("seq"), "line")
+
+
+@query(f"""WITH {_TEXT_LINES} SELECT source AS doc, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id, k, l) AS BIGINT) AS line, l AS text FROM d""")
+def files_documents(spark, sf):
+    """Documents as large as a source, written in ordered parts and read back in splits as numbered lines."""
+    path = scratch_folder(spark, "documents")
+    lines.write_ordered(_documents_by_source(spark, sf), path)
+    return lines.read_ordered(spark, path)
+
+
+@query(f"""WITH {_TEXT_LINES} SELECT source AS doc, CAST(count(*) AS BIGINT) AS lines, CAST(sum(strlen(l) + 1) AS BIGINT) AS bytes, true AS in_order FROM d GROUP BY source""")
+def files_manifest(spark, sf):
+    """What the manifest says of the parts of each document; each begins after the lines of those before."""
+    parts = lines.write_ordered(_documents_by_source(spark, sf), scratch_folder(spark, "documents"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("doc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    seen = parts.withColumn("fits", F.col("first_line") == before + 1)
+    return seen.groupBy("doc").agg(F.sum("lines").alias("lines"), F.sum("bytes").alias("bytes"), F.bool_and("fits").alias("in_order"))
+
+
+@query(f"""WITH {_TEXT_LINES}, w AS (SELECT source AS repo, l AS text FROM d UNION ALL SELECT source, '' FROM documents WHERE text IS NOT NULL GROUP BY source)
+SELECT repo, text, CAST(count(*) AS BIGINT) AS n FROM w GROUP BY ALL""")
 def files_lines(spark, sf):
-    """Files as numbered lines; a final line feed leaves one more, and skipped folders leave none."""
-    ordered = F.array_sort(F.collect_list(F.struct("doc_id", _say("line of ", "{lang}").alias("l"))))
-    made = table(spark, sf, "documents").groupBy(F.col("source").alias("repo")).agg(F.concat(F.array_join(F.transform(ordered, lambda x: x["l"]), "\n"), F.lit("\n")).alias("content"))
-    files = made.select("repo", F.explode(F.array(F.lit("src/a.py"), F.lit("vendor/b.py"), F.lit("go.sum"))).alias("path"), "content")
-    return tables.file_lines(files.where(tables.eligible_file(F.col("path"), F.col("content"), F.length("content"))))
+    """A tree of files below one folder for each source, read in splits as numbered lines; skipped folders and lock files leave none."""
+    path = scratch_folder(spark, "tree")
+    texts = table(spark, sf, "documents").where("text is not null")
+    kept = texts.select("text", F.col("source").alias("repo")).repartition(1 + texts.select("source").distinct().count(), "repo")
+    kept.write.partitionBy("repo").text(f"{path}/tree", lineSep="\n")
+    texts.select("text", F.concat("source", F.lit("/vendor")).alias("repo")).write.partitionBy("repo").text(f"{path}/tree/repo=vendored/vendor", lineSep="\n")
+    read = lines.read_lines(spark, f"{path}/tree", most_bytes=None)
+    return read.groupBy(F.regexp_replace("repo", "^repo=", "").alias("repo"), "text").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT CAST(page_id AS VARCHAR) AS page_id, unnest(['a ' || CAST(page_id AS VARCHAR) || '.png', 'b']) AS filename, unnest([CAST(page_id AS VARCHAR), 'big']) AS size FROM pages WHERE page_id % 3 <> 0""")
@@ -90,8 +121,11 @@ def files_references(spark, sf):
 
 
 @query(f"""WITH {ENTRIES}, l AS (SELECT type, 0 AS p, '' AS n, '' AS s, '## ' || type || ' (' || CAST(count(*) AS VARCHAR) || ')' AS line FROM entries GROUP BY type
- UNION ALL SELECT type, 1, norm, source, '- **' || name || '**: ' || statement || ' (' || source || ')' FROM entries)
-SELECT 'catalogue' AS doc, string_agg(line, chr(10) ORDER BY list_position(['rule','term','process','calculation','state','constraint','decision','role','integration','metric','policy'], type), p, n, s, line) AS body FROM l""")
+ UNION ALL SELECT type, 1, norm, source, '- **' || name || '**: ' || statement || ' (' || source || ')' FROM entries),
+c AS (SELECT *, unnest(string_split(line, chr(10))) AS text, generate_subscripts(string_split(line, chr(10)), 1) AS k FROM l)
+SELECT 'catalogue' AS doc, CAST(row_number() OVER (ORDER BY list_position(['rule','term','process','calculation','state','constraint','decision','role','integration','metric','policy'], type), p, n, s, line, k) AS BIGINT) AS line, text FROM c""")
 def entry_catalogue(spark, sf):
-    """The catalogue as one document."""
-    return tables.rendered(entries.catalogue_lines(entry_rows(spark, sf)))
+    """The catalogue as one document, written in ordered parts and read back."""
+    path = scratch_folder(spark, "catalogue")
+    lines.write_ordered(entries.catalogue_lines(entry_rows(spark, sf)), path)
+    return lines.read_ordered(spark, path)

@@ -13,6 +13,8 @@ SKIP_FOLDERS = [".git", "node_modules", "vendor", "dist", "build", "target", ".v
 LOCK_FILES = ["package-lock.json", "yarn.lock", "pnpm-lock.yaml", "poetry.lock", "go.sum", "Cargo.lock", "Gemfile.lock", "composer.lock", "Pipfile.lock"]
 BINARY_SUFFIXES = ["png", "jpg", "jpeg", "gif", "ico", "pdf", "zip", "gz", "tar", "jar", "war", "class", "so", "dll", "exe", "bin", "woff", "woff2", "ttf", "eot", "mp4", "mov", "parquet", "avro", "orc", "pyc", "svg", "min.js", "map", "lock"]
 MOST_BYTES = 1_000_000
+#: Characters at a file's start among which a NUL tells that it is no text.
+HEAD_CHARS = 4096
 
 
 def strings(fields: Sequence[str]) -> StructType:
@@ -59,20 +61,20 @@ def read_documents(spark: SparkSession, path: str, schema: str | StructType) ->
     return read.select("*", F.regexp_replace(F.col("_metadata.file_name"), "\\.json$", "").alias("key"))
 
 
-def eligible_file(path, content=None, size=None):
-    """Whether a file is text to be scanned: not in a skipped folder, no lock file, no binary suffix, not too large, no NUL near its start."""
+def eligible_file(path, content=None, size=None, most_bytes: int | None = MOST_BYTES):
+    """Whether a file is text to be scanned: not in a skipped folder, no lock file, no binary suffix, not over ``most_bytes`` (None: of any size), no NUL near its start."""
     name = F.substring_index(path, "/", -1)
     folders = F.array_intersect(F.slice(F.split(path, "/"), F.lit(1), F.greatest(F.size(F.split(path, "/")) - 1, F.lit(0))), F.array(*map(F.lit, SKIP_FOLDERS)))
     fine = (F.size(folders) == 0) & ~name.isin(LOCK_FILES) & ~F.lower(F.substring_index(name, ".", -1)).isin(BINARY_SUFFIXES) & ~F.lower(name).endswith(".min.js")
-    if size is not None:
-        fine &= size <= MOST_BYTES
+    if size is not None and most_bytes is not None:
+        fine &= size <= most_bytes
     if content is not None:
-        fine &= F.instr(F.substring(content, 1, 4096), F.lit("\x00")) == 0
+        fine &= F.instr(F.substring(content, 1, HEAD_CHARS), F.lit("\x00")) == 0
     return fine
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """(repo, path, size, content) below ``path/<repo>/...``, eligible text files only."""
+    """(repo, path, size, content) below ``path/<repo>/...``, eligible text files only; a row holds a file (``lines.read_lines`` has lines of any file)."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     root = path.rstrip("/").split("://")[-1]
     rest = F.regexp_replace(F.substring_index("path", root + "/", -1), "^/+", "")
