@@ -11,8 +11,9 @@ Scatter has a floor: measured in units of ``FLOOR`` (standard deviations of the
 eigenvalues is below 1, so a group in which most texts share a value does not reject a text for a small departure from
 it, and scatter above the floor counts as it is.  At the floor each statistic can reject a text by itself; distances are
 scaled down, never up, to the chi-square median.
-Groups of fewer than ``LEAST`` rows are pooled by language, and these pools, when still small, with each other; a last
-pool that is too small rejects nothing.
+Every group is judged by its own estimate, whatever its size: scatter is at least that of the floor, so that even the
+estimate of a few rows has an inverse.  A row that is alone in its group, or one of two, lies at the centre or as near to it
+as the other, and is kept.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from corpusproof.llm.textbytes import chunks, ngrams
 SUPPORT = 0.75
 #: Fall of a log determinant below which a concentration step changes nothing more.
 SETTLED = 1e-3
-LEAST = 60
 #: Squared distance beyond which a text is rejected: the 0.999 quantile of chi-square with five degrees of freedom.
 CUTOFF = 20.515
 #: Groups up to which their estimates are broadcast (about 300 bytes each), so that a large group stays spread over tasks.
@@ -104,18 +104,6 @@ def _vector() -> list:
     ]
 
 
-def _pooled(rows: DataFrame) -> DataFrame:
-    """Add ``pool``: the group whose estimate judges a row; null where too few rows are left for any."""
-    groups = rows.groupBy("lang", "source").agg(F.count("*").alias("m"))
-    few = F.col("m") < LEAST
-    of_lang = groups.where(few).groupBy("lang").agg(F.sum("m").alias("m_lang"))
-    rest = of_lang.where(F.col("m_lang") < LEAST).agg(F.coalesce(F.sum("m_lang"), F.lit(0)).alias("m_rest"))
-    named = groups.join(of_lang, "lang", "left").crossJoin(F.broadcast(rest))  # one row
-    pool = F.when(~few, F.to_json(F.array("lang", "source"))).when(F.col("m_lang") >= LEAST, F.to_json(F.array("lang"))).when(F.col("m_rest") >= LEAST, F.lit("[]"))
-    pools = written(named.select("lang", "source", pool.alias("pool")), "pools")
-    return rows.join(small(pools, GROUPS), ["lang", "source"])
-
-
 def _floored(cov: np.ndarray) -> np.ndarray:
     """``cov`` with eigenvalues of at least 1 in units of ``FLOOR``."""
     unit = np.outer(FLOOR, FLOOR)
@@ -156,8 +144,8 @@ def judged(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """
     rows = written(with_statistics(documents), "statistics")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    fit = _pooled(rows.where(~failed).select("lang", "source", F.array(*_vector()).alias("x")))
-    fit = written(fit.where("pool is not null"), "fit")
+    rows = rows.withColumn("pool", F.to_json(F.array("lang", "source")))
+    fit = written(rows.where(~failed).select("pool", F.array(*_vector()).alias("x")), "fit")
 
     robust = fit.groupBy("pool").agg(*(F.percentile_approx(F.col("x")[i], 0.5, 1000).alias(f"m{i}") for i in range(_P)))
     spread = fit.join(small(written(robust, "medians"), GROUPS), "pool").groupBy("pool").agg(*(F.first(f"m{i}").alias(f"m{i}") for i in range(_P)), *(F.percentile_approx(F.abs(F.col("x")[i] - F.col(f"m{i}")), 0.5, 1000).alias(f"s{i}") for i in range(_P)))
@@ -183,9 +171,7 @@ def judged(documents: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     final = best.join(median, "pool").select("pool", "start", "centre", "inverse", F.greatest(F.lit(1.0), F.col("median") / _MEDIAN).alias("scale"))
     final = written(final, "estimates")
 
-    names = written(fit.select("lang", "source", "pool").distinct(), "pools")
-    named = rows.withColumn("base_failed", failed).withColumn("x", F.array(*_vector())).join(small(names, GROUPS), ["lang", "source"], "left")
-    joined = named.join(small(final, GROUPS), "pool", "left")
+    joined = rows.withColumn("base_failed", failed).withColumn("x", F.array(*_vector())).join(small(final, GROUPS), "pool", "left")
     gap = [F.col("x")[i] - F.col("centre")[i] for i in range(_P)]
     d2 = sum((gap[i] * gap[j] * F.col("inverse")[_P * i + j] for i in range(_P) for j in range(_P)), F.lit(0.0)) / F.col("scale")
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance2") <= cutoff, F.lit(True))

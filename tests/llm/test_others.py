@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusproof.llm import outliers
 from corpusproof.llm.licenses import RULES, license_matches
 from corpusproof.llm.log_bilinear import lm_scores
 from corpusproof.llm.mixing import document_rates, fit_rates, mixed
@@ -117,6 +118,65 @@ def test_each_statistic_rejects_alone(spark):
     assert [name for k, name in enumerate(planted) if got[1000 + k].kept] == []
 
 
+def plain_mcd(groups, floor, support, settled, median):
+    """Squared distances of the rows of each group, by concentration steps over whole arrays."""
+    at = lambda x, q: np.sort(x, axis=0)[math.ceil(q * len(x)) - 1]
+    far = lambda x, c, inverse: np.einsum("ni,ij,nj->n", x - c, inverse, x - c)
+    state = {}
+    for g, x in groups.items():
+        centre = at(x, 0.5)
+        for start, scale in enumerate([np.maximum(at(np.abs(x - centre), 0.5) * 1.4826, floor), 3 * floor]):
+            state[g, start] = [centre, np.diag(1 / scale**2), 0.0, math.inf]
+    moving = True
+    while moving:
+        moving = False
+        for (g, _), s in state.items():
+            d2 = far(groups[g], s[0], s[1])
+            near = groups[g][d2 <= at(d2, support)]
+            scatter = (near.T @ near / len(near) - np.outer(near.mean(0), near.mean(0))) / np.outer(floor, floor)
+            values, vectors = np.linalg.eigh(scatter)
+            scatter = vectors @ np.diag(np.maximum(values, 1)) @ vectors.T * np.outer(floor, floor)
+            s[:3] = near.mean(0), np.linalg.inv(scatter), np.linalg.slogdet(scatter)[1]
+            moving |= s[3] - s[2] > settled
+            s[3] = min(s[3], s[2])
+    found = {}
+    for g, x in groups.items():
+        best = min((state[g, k] for k in (0, 1)), key=lambda s: s[2])
+        d2 = far(x, best[0], best[1])
+        found[g] = d2 / max(1, at(d2, 0.5) / median)
+    return found
+
+
+def test_verdicts_of_groups_of_any_size(spark):
+    """Groups of one row up to 150 are each judged by their own estimate, as a plain computation has it."""
+    draw = np.random.RandomState(4)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    rows = []
+    for size in (1, 2, 3, 5, 9, 59, 60, 61, 150):
+        for k in range(size):
+            text = list(draw.choice(vocabulary, draw.randint(50, 200)))
+            if k % 7 == 3:
+                text = [w + "#" * draw.randint(0, 3) for w in text]
+            if k % 11 == 5:
+                text = [w.upper() if draw.rand() < 0.4 else w for w in text]
+            rows.append((1000 * size + k, " ".join(text), None if size == 9 else "en", f"s{size}"))
+    rows.append((7, "short text", "en", "s150"))
+    got = judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).toPandas().set_index("doc_id")
+    texts = {r[0]: r[1] for r in rows}
+    fine = got[~got.base_failed]
+    upper = np.array([sum(c.isupper() for c in texts[d]) for d in fine.index])
+    lines = np.array([texts[d].count("\n") + 1 for d in fine.index])
+    x = np.stack([np.log(fine.word_chars / fine.n_words), np.log1p(100 * fine.n_symbols / fine.word_chars), upper / fine.word_chars, np.sqrt(fine.n_dup_lines / lines), np.sqrt(fine.n_repeat_words / fine.n_words)], axis=1)
+    groups = {g: x[(fine.source == g).to_numpy()] for g in fine.source.unique()}
+    want = plain_mcd(groups, np.array(outliers.FLOOR), outliers.SUPPORT, outliers.SETTLED, 4.351)
+    for g in groups:
+        own = fine[fine.source == g]
+        assert np.allclose(own.distance2, want[g], rtol=1e-6, atol=1e-6), g
+        assert (own.kept == (want[g] <= outliers.CUTOFF)).all()
+    assert not got.loc[7].kept and got.loc[[1000, 2000, 2001]].kept.all()
+    assert (~fine.kept).sum() > 10 and fine.kept.mean() > 0.6
+
+
 # ---- URLs ----
 
 
