@@ -291,6 +291,40 @@ def two_domains(spark):
     return spark.createDataFrame(rows, "doc_id long, text string"), labels
 
 
+def least_squares(a, wanted, weight):
+    """The least (a r - wanted)' weight (a r - wanted) over r >= 0, for two rows in ``a``: some best r has at most two entries."""
+    worth = lambda gap: np.einsum("in,ij,jn->n", gap, weight, gap)
+    one = np.maximum(0, (a.T @ weight @ wanted) / worth(a))
+    best = min(worth(-wanted[:, None])[0], worth(a * one - wanted[:, None]).min())
+    i, j = np.triu_indices(a.shape[1], 1)
+    det = a[0, i] * a[1, j] - a[0, j] * a[1, i]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x, y = (wanted[0] * a[1, j] - wanted[1] * a[0, j]) / det, (wanted[1] * a[0, i] - wanted[0] * a[1, i]) / det
+    return 0.0 if ((x >= 0) & (y >= 0) & (np.abs(det) > 1e-12)).any() else best
+
+
+@pytest.mark.parametrize("targets, close", [({"sea": 0.5, "hill": 0.5}, 1e-5), ({"sea": 0.05, "hill": 0.95}, 1e-5), ({"sea": 1.0}, 1e-3), ({"hill": 1.0}, 1e-3)])
+def test_rates_against_least_squares(spark, two_domains, targets, close):
+    """The fit's own sums are worked out anew from its rows; what it leaves is compared with what any rates must leave.
+
+    Where a domain is to vanish the fit stops short of the best rates, which put all words on very few documents: it leaves
+    up to ``close`` of the target's own worth, in words of that domain.
+    """
+    docs, labels = two_domains
+    fit = fit_rates(docs, labels, targets, total=30_000)
+    rows = fit.rows.toPandas()
+    a = np.stack(rows.p.map(np.array)).T * rows.n_words.to_numpy()
+    wanted = 30_000 * np.array([targets.get(d, 0) for d in fit.domains])
+    reached = a @ rows.rate.to_numpy()
+    assert len(rows) == 400 and (rows.rate >= 0).all() and rows.n_words.sum() == sum(len(words(r.text)) for r in docs.collect())
+    assert np.allclose(reached, fit.reached) and np.allclose(wanted, fit.wanted) and np.allclose(a.sum(1), fit.had)
+    p = a / rows.n_words.to_numpy()
+    weight = np.linalg.inv(a @ p.T)
+    gap = reached - wanted
+    least, scale = least_squares(a, wanted, weight), wanted @ weight @ wanted
+    assert least * (1 - 1e-9) <= gap @ weight @ gap <= least + close * scale
+
+
 def test_totals_meet_targets(spark, two_domains, awkward, nothing):
     docs, labels = two_domains
     rated = document_rates(docs, labels, {"sea": 0.5, "hill": 0.5}).toPandas()
