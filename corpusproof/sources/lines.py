@@ -16,7 +16,7 @@ from corpusproof.sources.tables import HEAD_CHARS, MOST_BYTES, eligible_file
 #: Splits that are broadcast to the lines, in at most so many bytes of names; more of them are joined by a shuffle.
 SPLITS = 100_000
 SPLIT_BYTES = 32 << 20
-_BOM = "﻿"
+_BOM = "\ufeff"
 
 
 def _decoded(name: Column) -> Column:
