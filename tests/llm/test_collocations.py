@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpusproof.llm.collocations as module
@@ -85,6 +86,45 @@ def test_awkward_rows(awkward, nothing):
     assert collocations(nothing).count() == 0
 
 
+def made(spark, node, since):
+    """Rows that came out of the plan nodes so described, in executions from ``since`` on."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs, total = store.executionsList(), 0
+    for i in range(since, runs.size()):
+        nodes, values = store.planGraph(runs.apply(i).executionId()).allNodes(), store.executionMetrics(runs.apply(i).executionId())
+        for each in (nodes.apply(j) for j in range(nodes.size())):
+            metrics = each.metrics()
+            for metric in (metrics.apply(k) for k in range(metrics.size()) if node in each.desc()):
+                if metric.name() == "number of output rows" and values.get(metric.accumulatorId()).isDefined():
+                    total += int(values.get(metric.accumulatorId()).get().replace(",", ""))
+    return total
+
+
+def test_the_counting_pass_makes_rows_by_cores_and_not_by_the_size_of_the_input(spark):
+    spark.range(0, 64, 1, 32).selectExpr("'en' AS lang", "repeat('one two three four five. ', 16000) || id AS text").createOrReplaceTempView("large")
+    before = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    got = {r[2]: r[3] for r in found(spark.table("large"))}
+    assert got == {"one two three four five": 64 * 16_000}
+    # ten phrases, two tasks for each of four cores; a task reads 3 MB
+    assert 10 <= made(spark, "MapInArrow count", before) <= 10 * 8
+
+
+def test_combined_counts_lose_nothing(monkeypatch):
+    monkeypatch.setattr(module, "COUNTS", 40)
+    rng, want, handed = random.Random(6), Counter(), []
+    for size, of in [(0, 1)] + [(9, 20)] * 40 + [(0, 1), (90, 2**62)] + [(30, 2**62)] * 4:
+        # keys on both sides of 2**63; sometimes another phrase or language has the key
+        keys = sorted({rng.randint(1, of) * 3 % 2**64 for _ in range(size)})
+        rows = [(rng.choice([1, 1, 1, 2]), key - 2**64 * (key >= 2**63), f"{rng.choice('ééée')} {key}", rng.randint(1, 2**40)) for key in keys]
+        for *told, n in rows:
+            want[tuple(told)] += n
+        handed.append(pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [()] * 4, [pa.int64(), pa.int64(), pa.string(), pa.int64()])], names=module._COUNTED))
+    got, batches = Counter(), list(module._combined(iter(handed)))
+    for r in (r for b in batches for r in b.to_pylist()):
+        got[r["lang_key"], r["key"], r["phrase"]] += r["n"]
+    assert got == want and len(batches) > 2 and sum(map(len, batches)) < sum(map(len, handed)) and list(module._combined(iter([]))) == []
+
+
 def test_the_query_equals_its_sql(spark):
     d = "/root/testdata/sf0.01"
     db = duckdb.connect()
