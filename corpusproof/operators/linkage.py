@@ -256,9 +256,10 @@ def graph_pipelines(facts: DataFrame, links: DataFrame) -> DataFrame:
 
 def graph_nodes(repos: DataFrame, edges: DataFrame, pipelines: DataFrame | None = None) -> DataFrame:
     """(repo, out_degree, in_degree, pipelines) of every repository."""
-    out = edges.groupBy(F.col("from_repo").alias("repo")).agg(F.count("*").alias("out_degree"))
-    into = edges.groupBy(F.col("to_repo").alias("repo")).agg(F.count("*").alias("in_degree"))
-    rows = repos.select("repo").join(out, "repo", "left").join(into, "repo", "left")
+    end = lambda c: F.struct(F.col(c).alias("repo"), F.lit(c == "from_repo").alias("leaves"))
+    ends = edges.select(F.explode(F.array(end("from_repo"), end("to_repo"))).alias("e")).select("e.*")
+    degrees = ends.groupBy("repo").agg(F.count_if("leaves").alias("out_degree"), F.count_if(~F.col("leaves")).alias("in_degree"))
+    rows = repos.select("repo").join(degrees, "repo", "left")
     if pipelines is not None:
         rows = rows.join(pipelines.groupBy("repo").agg(F.countDistinct("pipeline").alias("pipelines")), "repo", "left")
     else:

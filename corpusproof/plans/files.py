@@ -103,13 +103,15 @@ def files_flat_entries(spark, sf):
 
 @query(f"""WITH {_EDGES} SELECT from_repo, to_repo, kind, identifier, '' AS evidence_from, '' AS evidence_to, 'high' AS confidence FROM edges""")
 def files_graph(spark, sf):
-    """The graph's edges as CSV in their fixed order of columns, read back."""
+    """The graph's edges as CSV in their fixed order of columns, read back; degrees are counted from what was written."""
     path = scratch_folder(spark, "graph")
     edges = _edges(spark, sf).withColumns({"evidence_from": F.lit(""), "evidence_to": F.lit(""), "confidence": F.lit("high")})
+    tables.write_graph({"edges": edges}, path, "gzip")
+    written = tables.read_graph(spark, path, "edges")
     repos = table(spark, sf, "nation").select(F.col("n_name").alias("repo"))
     pipelines = repos.select("repo", *(F.lit("x").alias(c) for c in tables.GRAPH_COLUMNS["pipelines"][1:]))
-    tables.write_graph({"edges": edges, "pipelines": pipelines, "nodes": linkage.graph_nodes(repos, edges)}, path)
-    return tables.read_ledger(spark, f"{path}/edges", tables.GRAPH_COLUMNS["edges"])
+    tables.write_graph({"pipelines": pipelines, "nodes": linkage.graph_nodes(repos, written)}, path, "gzip")
+    return written
 
 
 @query(f"WITH {REFS} SELECT key, source_kind, source, location FROM refs")

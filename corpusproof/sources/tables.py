@@ -119,9 +119,18 @@ GRAPH_COLUMNS = {
 }
 
 
-def write_graph(tables: dict[str, DataFrame], folder: str) -> None:
-    for name, fields in GRAPH_COLUMNS.items():
-        tables[name].select(*fields).write.csv(f"{folder}/{name}", header=True)
+def write_graph(tables: dict[str, DataFrame], folder: str, compression: str = "none") -> None:
+    """The given tables of a graph as CSV in their fixed order of columns, each in a folder of its name.
+
+    Edges repeat the same few names, so that ``gzip`` leaves a small part of them; ``read_graph`` reads either.
+    """
+    for name, rows in tables.items():
+        rows.select(*GRAPH_COLUMNS[name]).write.csv(f"{folder}/{name}", header=True, compression=compression)
+
+
+def read_graph(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table that ``write_graph`` has written, all strings."""
+    return read_ledger(spark, f"{folder}/{name}", GRAPH_COLUMNS[name])
 
 
 def write_references(references: DataFrame, path: str) -> None:

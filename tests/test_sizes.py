@@ -1,0 +1,44 @@
+"""What queries keep on disk, and how often they read what they are given."""
+
+import gzip
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusproof.operators import linkage
+from corpusproof.plans import queries
+from corpusproof.sources import tables
+from corpusproof.sources.shared import shared_folder
+
+SF = "/root/testdata/sf0.001"
+on_tables = pytest.mark.skipif(not Path(SF).is_dir(), reason="no tables")
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# ---- the graph ----
+
+
+@on_tables
+def test_stored_edges_are_a_small_part_of_their_text(spark):
+    top = Path(shared_folder(spark).removeprefix("file://")) / "corpusproof"
+    before = set(top.glob("graph-*"))
+    got = rows(queries.QUERIES["files_graph"](spark, SF))
+    (folder,) = set(top.glob("graph-*")) - before
+    parts = list(folder.glob("edges/part-*"))
+    text = [gzip.open(p, "rt").read() for p in parts if p.name.endswith(".csv.gz")]
+    assert sum(len(t.splitlines()) for t in text) == len(got) + len(parts)  # a header in each
+    assert sum(p.stat().st_size for p in parts) < sum(map(len, text)) / 4
+    nodes = {r.repo: (int(r.out_degree), int(r.in_degree)) for r in tables.read_graph(spark, str(folder), "nodes").collect()}
+    assert nodes == {n: (sum(g[0] == n for g in got), sum(g[1] == n for g in got)) for n in nodes} and len(nodes) == 25
+
+
+def test_degrees_come_from_one_pass_over_the_edges(spark):
+    edges = spark.range(7).select(*(F.concat(F.lit("r"), (F.col("id") % k).cast("string")).alias(c) for c, k in (("from_repo", 2), ("to_repo", 3))))
+    repos = spark.createDataFrame([("r0",), ("r1",), ("r2",), ("r9",)], "repo string")
+    nodes = linkage.graph_nodes(repos, edges)
+    assert nodes._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert rows(nodes) == [("r0", 4, 3, 0), ("r1", 3, 2, 0), ("r2", 0, 2, 0), ("r9", 0, 0, 0)]
