@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusproof.functions.text import field_citation, node_id, text_of, token_parts, word_count
-from corpusproof.operators.checks import check, none_left, union_all
+from corpusproof.operators.checks import check, left_out, none_left_each, union_all
 from corpusproof.operators.repos import suffix_of, unresolved_citations
 from corpusproof.sources.shared import checkpointed
 from corpusproof.sources.tables import walk_order
@@ -165,8 +167,11 @@ def link_problems(links: DataFrame, repos: DataFrame) -> DataFrame:
     every = repos.select("repo").join(links.withColumn("_there", F.lit(True)), "repo", "left")
     shape = every.select("repo", F.when(F.col("_there").isNull(), F.array(F.lit("links are absent"))).otherwise(problems).alias("problems"))
     targets = links.select("repo", F.explode(F.concat(F.coalesce(F.transform(F.filter("consumes", lambda c: c["resolution"] == "internal"), lambda c: c["to_repo"]), none), F.coalesce(F.transform("edges", lambda e: e["to_repo"]), none))).alias("target"))
-    known = repos.select(F.col("repo").alias("target"))
-    strange = targets.join(known, "target", "left_anti").union(targets.where("target = repo").select("target", "repo")).groupBy("repo").agg(F.sort_array(F.collect_set(F.concat(F.lit("target "), text_of(F.col("target"))))).alias("more"))
+    pairs = targets.distinct()
+    # a target that most links name is compared once
+    unknown = pairs.select("target").distinct().join(repos.select(F.col("repo").alias("target")), "target", "left_anti").select(F.col("target").alias("_unknown"))
+    named = pairs.join(unknown, F.col("target").eqNullSafe(F.col("_unknown"))).select("repo", "target").union(pairs.where("target = repo"))
+    strange = named.groupBy("repo").agg(F.sort_array(F.collect_set(F.concat(F.lit("target "), text_of(F.col("target"))))).alias("more"))
     return shape.join(strange, "repo", "left").select("repo", F.concat("problems", F.coalesce("more", none)).alias("problems"))
 
 
@@ -178,28 +183,57 @@ def link_targets(links: DataFrame) -> DataFrame:
 
 
 def link_checks(links: DataFrame, facts: DataFrame, repos: DataFrame, mention_table: DataFrame, hits: DataFrame, stats: DataFrame) -> DataFrame:
-    """L1 to L7; L2 to L7 only for repositories that pass L1."""
-    problems = link_problems(links, repos)
+    """L1 to L7; L2 to L7 only for repositories that pass L1.
+
+    What L2, L3, L4 and L7 want and have are rows of one grouping by repository, read from links and facts in one pass each.
+    """
+    problems = checkpointed(link_problems(links, repos))  # short rows that take long to find
     shape = check(problems, "repo", "L1", F.size("problems") == 0, F.array_join("problems", "; "))
-    fine = problems.where(F.size("problems") == 0).select("repo")
-    good = links.join(fine, "repo")
-    own = lambda df: df.join(fine, "repo", "left_semi")
-    used = own(facts).select("repo", F.explode("consumes").alias("c")).select("repo", F.col("c.kind").alias("kind"), F.lower("c.id").alias("id"))
-    solved = good.select("repo", F.explode("consumes").alias("c")).select("repo", F.col("c.kind").alias("kind"), F.lower("c.id").alias("id"))
-    l2 = none_left(fine, used.join(solved, ["repo", "kind", "id"], "left_anti"), "repo", "L2", "id")
-    seen = good.select("repo", F.explode("mentions_reviewed").alias("m")).select("repo", F.col("m.target_repo").alias("target"), F.lower("m.identifier").alias("identifier"), F.col("m.is_edge").alias("is_edge"))
-    l3 = none_left(fine, own(mention_table).select("repo", "target", F.lower("identifier").alias("identifier")).join(seen, ["repo", "target", "identifier"], "left_anti"), "repo", "L3", "identifier")
-    wanted = own(facts).select("repo", F.explode("pipelines").alias("p")).select("repo", F.col("p.name").alias("name"))
-    have = good.select("repo", F.explode("pipelines").alias("p")).select("repo", F.col("p.name").alias("name"))
-    l4 = none_left(fine, wanted.join(have, ["repo", "name"], "left_anti"), "repo", "L4", "name")
-    cites = all_citations(good)
-    dismissed = good.select("repo", F.explode("trigger_hits_dismissed").alias("t")).select("repo", F.col("t.path").alias("path"), F.col("t.line").cast("long").alias("line"))
-    open_hits = uncited_lines(own(hits).where("cross").select("repo", "path", "line"), cites).join(dismissed, ["repo", "path", "line"], "left_anti")
-    l5 = none_left(fine, open_hits.select("repo", F.concat_ws(":", "path", F.col("line").cast("string")).alias("place")), "repo", "L5", "place")
-    bad = unresolved_citations(cites.select(F.col("cited_repo").alias("repo"), "path", "lo", "hi", F.col("repo").alias("citing")), stats)
-    l6 = none_left(fine, bad.select(F.col("citing").alias("repo"), F.concat_ws(":", "path", F.col("lo").cast("string")).alias("cite")), "repo", "L6", "cite")
-    l7 = none_left(fine, seen.where("is_edge").join(link_targets(good), ["repo", "target"], "left_anti"), "repo", "L7", "target")
-    return union_all([shape, l2, l3, l4, l5, l6, l7])
+    fine = problems.where(F.size("problems") == 0).select("repo").distinct()
+    used = lambda c: (c["kind"], F.lower(c["id"]))
+    name = lambda p: (F.lit(""), p["name"])
+    internal = F.filter("consumes", lambda c: c["resolution"] == "internal")
+    wanted = union_all(
+        [
+            facts.select("repo", F.explode(F.concat(_items("L2", "consumes", used), _items("L4", "pipelines", name))).alias("x")),
+            links.select("repo", F.explode(_items("L7", F.filter("mentions_reviewed", lambda m: m["is_edge"]), lambda m: (F.lit(""), m["target_repo"]))).alias("x")),
+            mention_table.select("repo", _item("L3", F.col("target"), F.lower("identifier")).alias("x")),
+        ]
+    )
+    have = F.concat(
+        _items("L2", "consumes", used),
+        _items("L3", "mentions_reviewed", lambda m: (m["target_repo"], F.lower(m["identifier"]))),
+        _items("L4", "pipelines", name),
+        _items("L7", "edges", lambda e: (F.lit(""), e["to_repo"])),
+        _items("L7", internal, lambda c: (F.lit(""), c["to_repo"])),
+    )
+    lost = left_out(wanted.select("repo", "x.*"), links.select("repo", F.explode(have).alias("x")).select("repo", "x.*"), ["repo", "check", "of", "item"])
+    cites = all_citations(links)
+    dismissed = links.select("repo", F.explode("trigger_hits_dismissed").alias("t")).select("repo", F.col("t.path").alias("path"), F.col("t.line").cast("long").alias("line"))
+    # a repository's own short ranges need no shuffle; others close what these leave open
+    closed = cites.where("cited_repo = repo and hi >= lo and hi - lo < 1000").select("repo", "path", F.explode(F.sequence("lo", "hi")).alias("line"))
+    open_hits = left_out(hits.where("cross").select("repo", "path", F.col("line").cast("long").alias("line")), closed.unionByName(dismissed), ["repo", "path", "line"])
+    others = checkpointed(cites.where("cited_repo <> repo or hi - lo >= 1000").join(fine, "repo"))
+    open_hits = uncited_lines(open_hits, others)
+    unresolved_cites = unresolved_citations(cites.select(F.col("cited_repo").alias("repo"), "path", "lo", "hi", F.col("repo").alias("citing")), stats)
+    place = lambda line: F.concat_ws(":", "path", F.col(line).cast("string")).alias("detail")
+    bad = union_all(
+        [
+            lost.select("repo", "check", F.col("item").alias("detail"), "n"),
+            open_hits.select("repo", F.lit("L5").alias("check"), place("line"), "n"),
+            unresolved_cites.select(F.col("citing").alias("repo"), F.lit("L6").alias("check"), place("lo"), F.lit(1).cast("long").alias("n")),
+        ]
+    )
+    return shape.unionByName(none_left_each(fine, bad, "repo", ["L2", "L3", "L4", "L5", "L6", "L7"]))
+
+
+def _item(check: str, of: Column, item: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), of.cast("string").alias("of"), item.cast("string").alias("item"))
+
+
+def _items(check: str, rows: Column | str, parts: Callable[[Column], tuple[Column, Column]]) -> Column:
+    """An array of (check, of, item); a null array has none."""
+    return F.coalesce(F.transform(rows, lambda x: _item(check, *parts(x))), F.array().cast("array<struct<check:string,of:string,item:string>>"))
 
 
 def all_citations(links: DataFrame) -> DataFrame:
@@ -210,7 +244,8 @@ def all_citations(links: DataFrame) -> DataFrame:
         F.coalesce(F.flatten(F.transform("edges", lambda e: F.array(e["evidence_from"], e["evidence_to"]))), none),
         F.coalesce(F.flatten(F.transform("pipelines", lambda p: F.transform(p["triggers"], lambda t: t["evidence"]))), none),
     )
-    rows = links.select("repo", F.explode(F.filter(fields, lambda x: F.trim(text_of(x)) != "")).alias("v")).select("repo", field_citation(F.col("v")).alias("c"), "v")
+    values = links.select("repo", F.explode(fields).alias("v")).where(F.trim(text_of(F.col("v"))) != "").distinct()
+    rows = values.select("repo", "v", F.explode(F.array(field_citation(F.col("v")))).alias("c"))  # parsed once, whatever is asked of its fields
     return rows.select("repo", F.coalesce("c.repo", "repo").alias("cited_repo"), F.coalesce("c.path", "v").alias("path"), F.coalesce("c.start", F.lit(0)).alias("lo"), F.coalesce("c.end", F.lit(0)).alias("hi")).distinct()
 
 

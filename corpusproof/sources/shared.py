@@ -25,9 +25,20 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/corpusproof/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder."""
+def checkpointed(df: DataFrame, by: str | None = None) -> DataFrame:
+    """``df`` computed once and kept in the shared folder.
+
+    With ``by``, its rows lie by that column and in its order, and Spark goes on knowing it: what is derived from the
+    result is grouped and joined by it without another shuffle or sort.  (An adaptive plan does not tell how its rows lie.)
+    """
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    if by is None:
+        return df.checkpoint()
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(by).sortWithinPartitions(by).checkpoint()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from corpusproof.functions.text import word_count
 from corpusproof.operators import linkage, repos
+from corpusproof.operators.checks import left_out
 from corpusproof.plans import queries, workspaces  # noqa: F401
 from corpusproof.sources import tables
-from corpusproof.sources.shared import shared_folder
+from corpusproof.sources.shared import checkpointed, shared_folder
 
 SF = "/root/testdata/sf0.001"
 on_tables = pytest.mark.skipif(not Path(SF).is_dir(), reason="no tables")
@@ -89,3 +90,48 @@ def test_documents_and_their_lines_are_dealt_out_by_repository_alone(spark):
 def test_orders_are_dealt_out_once_by_repository(spark):
     plan = workspaces._orders(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall("Exchange hashpartitioning", plan)) == 1 and re.search(r"Exchange hashpartitioning\(repo#", plan)
+
+
+# ---- reviewed links ----
+
+LINKS = "repo string, consumes array<struct<kind:string,id:string,resolution:string,to_repo:string,evidence_from:string,evidence_to:string,note:string>>, edges array<struct<to_repo:string,kind:string,identifier:string,evidence_from:string,evidence_to:string,confidence:string>>, mentions_reviewed array<struct<target_repo:string,identifier:string,is_edge:boolean,reason:string>>, pipelines array<struct<name:string,triggers array<struct<evidence:string>>,searched:string>>, trigger_hits_dismissed array<struct<path:string,line:int,reason:string>>".replace("triggers array", "triggers:array")
+
+
+def test_links_are_checked_by_what_lies_with_their_repository(spark):
+    every = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "repo string")
+    a = ("a", [("db", "T1", "internal", "b", "b:x.py:1-2000", "", "")], [], [("b", "Lib", True, ""), ("c", "no", True, "")], [("p", [("ci.yml:3-4",), ("ci.yml:3-4",), ("odd",)], "")], [("ci.yml", 9, "")])
+    b = ("b", None, None, None, None, None)
+    c = ("c", [], [(None, "imports", "x", "", "", "high"), ("c", "imports", "y", "", "", "high"), ("z", "imports", "y", "a:ci.yml:6", "", "high")], [], [], [])
+    d = ("d", [], [("a", "imports", "x", "a:ci.yml:5", "", "high")], [], [], [])
+    facts = spark.createDataFrame([("a", [("db", "t1"), ("db", "T2"), ("db", "t2"), (None, "t1")], [("p",), ("q",)])], "repo string, consumes array<struct<kind:string,id:string>>, pipelines array<struct<name:string>>")
+    mentions = spark.createDataFrame([("a", "b", "LIB"), ("a", "b", "tool"), ("b", "a", "x")], "repo string, target string, identifier string")
+    hits = spark.createDataFrame([("a", "ci.yml", k, True) for k in (2, 3, 4, 5, 6, 9, 10)] + [("a", "ci.yml", 11, False), ("b", "x.py", 7, True), ("b", "x.py", 2001, True)], "repo string, path string, line long, cross boolean")
+    stats = spark.createDataFrame([("a", "ci.yml", 20), ("b", "x.py", 1000)], "repo string, path string, n_lines long")
+    got = linkage.link_checks(spark.createDataFrame([a, b, c, d], LINKS), facts, every, mentions, hits, stats)
+    assert {(r.key, r.check, r.detail) for r in got.collect() if not r.ok} == {
+        ("a", "L2", "3 missing or wrong: t1, t2"),
+        ("a", "L3", "1 missing or wrong: tool"),
+        ("a", "L4", "1 missing or wrong: q"),
+        ("a", "L5", "3 missing or wrong: ci.yml:10, ci.yml:2, ci.yml:6"),  # line 5 is cited by d, line 6 only by c, which fails L1
+        ("a", "L6", "2 missing or wrong: odd:0, x.py:1"),
+        ("a", "L7", "1 missing or wrong: c"),
+        ("b", "L3", "1 missing or wrong: x"),
+        ("b", "L5", "1 missing or wrong: x.py:2001"),
+        ("c", "L1", "target ; target c; target z"),
+    }
+    assert got.count() == 3 * 7 + 1
+
+
+def test_rows_kept_by_a_column_are_not_shuffled_again(spark):
+    kept = checkpointed(spark.range(1000).select((F.col("id") % 50).cast("string").alias("repo"), "id"), by="repo")
+    again = kept.groupBy("repo", "id").count().join(kept.groupBy("repo").agg(F.max("id").alias("top")), "repo")
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and again.count() == 1000 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    both = left_out(kept.select("repo", "id"), kept.where("id > 3").select("repo", "id"), ["repo", "id"])
+    assert rows(both) == [(str(k), k, 1) for k in range(4)]
+
+
+@on_tables
+def test_planted_links_shuffle_their_orders_once(spark):
+    plan = workspaces.link_planted_checks(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and len(re.findall(r"Exchange hashpartitioning\(", plan)) <= 8
